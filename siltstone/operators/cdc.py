@@ -78,6 +78,7 @@ def scd2(
     sequence_by: str,
     deletes: str | Column | None = None,
     except_cols: Sequence[str] = (),
+    distinct: bool = False,
     shares: int = SHARES,
 ) -> DataFrame:
     """All versions with ``__START_AT`` and ``__END_AT`` (NULL: still current).
@@ -85,16 +86,20 @@ def scd2(
     A delete closes the open version and yields none itself.  The history of a
     hot key is cut into chunks by sequence, so that no task sorts all of it;
     the end of a chunk's last version is the first sequence of the next chunk.
+
+    ``distinct`` promises that no key and sequence occur twice in the feed; it
+    saves the shuffle that settles repetitions.
     """
     keys = list(keys)
     payload = _payload(changes, keys, except_cols)
     feed = changes.withColumn(_SEQ, F.col(sequence_by)).withColumn(_GONE, _gone(deletes))
     cuts = _cuts(feed.select(*keys, _SEQ), keys, shares)
 
-    versions = (
-        feed.groupBy(*keys, _SEQ)
-        .agg(F.max(F.struct(_GONE, *payload)).alias("__version"))
-    )
+    version = F.struct(_GONE, *payload)
+    if distinct:
+        versions = feed.select(*keys, _SEQ, version.alias("__version"))
+    else:
+        versions = feed.groupBy(*keys, _SEQ).agg(F.max(version).alias("__version"))
     chunked = _with_chunk(versions, keys, cuts)
     follower = F.lead(_SEQ).over(Window.partitionBy(*keys, _CHUNK).orderBy(_SEQ))
     ended = (

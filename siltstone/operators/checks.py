@@ -213,19 +213,33 @@ def validate_checks(
     schema: str | StructType,
     refs: Mapping[str, DataFrame] | None = None,
 ) -> list[str]:
-    """What is wrong with a check list, found by analysing it against an empty table."""
+    """What is wrong with a check list, found by analysing it against an empty table.
+
+    A sound list is analysed once; only a broken one is taken apart.
+    """
     empty = spark.createDataFrame([], struct_of(schema))
+    if all(_shape_problem(spec) is None for spec in specs) and _analysis_problem(empty, specs, refs) is None:
+        return []
     problems = []
     for position, spec in enumerate(specs):
-        label = spec.get("name") or f"check {position}"
-        check = spec.get("check") or {}
-        if spec.get("criticality", "error") not in CRITICALITIES:
-            problems.append(f"{label}: unknown criticality {spec['criticality']!r}")
-        elif check.get("function") not in FUNCTIONS:
-            problems.append(f"{label}: unknown function {check.get('function')!r}")
-        else:
-            try:
-                apply_checks(empty, [spec], refs).schema  # noqa: B018 - forces analysis
-            except (PySparkException, TypeError, ValueError, KeyError) as fault:
-                problems.append(f"{label}: {str(fault).splitlines()[0]}")
+        problem = _shape_problem(spec) or _analysis_problem(empty, [spec], refs)
+        if problem:
+            problems.append(f"{spec.get('name') or f'check {position}'}: {problem}")
     return problems
+
+
+def _shape_problem(spec: Mapping[str, Any]) -> str | None:
+    function = (spec.get("check") or {}).get("function")
+    if spec.get("criticality", "error") not in CRITICALITIES:
+        return f"unknown criticality {spec['criticality']!r}"
+    return None if function in FUNCTIONS else f"unknown function {function!r}"
+
+
+def _analysis_problem(
+    empty: DataFrame, specs: Sequence[Mapping[str, Any]], refs: Mapping[str, DataFrame] | None
+) -> str | None:
+    try:
+        apply_checks(empty, specs, refs).schema  # noqa: B018 - forces analysis
+    except (PySparkException, TypeError, ValueError, KeyError) as fault:
+        return str(fault).strip().splitlines()[0]
+    return None

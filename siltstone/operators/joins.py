@@ -61,14 +61,23 @@ def readings_by(
     return per_key.join(dim.select(on, by), on).groupBy(by).agg(*measures)
 
 
-def known(facts: DataFrame, ref: DataFrame, on: Sequence[str]) -> DataFrame:
+def known(
+    facts: DataFrame, ref: DataFrame, on: Sequence[str], max_broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Rows whose key occurs in the reference."""
-    return facts.join(ref.select(*on).distinct(), list(on), "left_semi")
-
+    return _by_membership(facts, ref.select(*on), list(on), True, max_broadcast_rows)
 
-def unknown(facts: DataFrame, ref: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key does not."""
-    return facts.join(ref.select(*on).distinct(), list(on), "left_anti")
 
+def unknown(
+    facts: DataFrame, ref: DataFrame, on: Sequence[str], max_broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Rows whose key does not, those with a NULL in it included."""
+    return _by_membership(facts, ref.select(*on), list(on), False, max_broadcast_rows)
 
 
+def _by_membership(facts: DataFrame, keys: DataFrame, on: list[str], member: bool, max_rows: int) -> DataFrame:
+    if fits_broadcast(keys, max_rows):
+        return facts.join(F.broadcast(keys), on, "left_semi" if member else "left_anti").select(*facts.columns)
+    marked = skew_left_join(facts, keys.distinct().withColumn("__member", F.lit(True)), on)
+    found = F.col("__member").isNotNull()
+    return marked.where(found if member else ~found).drop("__member")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltstone.functions.casts import iso_timestamp, struct_of
+from siltstone.functions.casts import iso_timestamp
 from siltstone.functions.rules import range_arms, range_rule
+from siltstone.functions.text import open_json
 from siltstone.operators.joins import enrich
 from siltstone.operators.quality import expect_or_drop, quarantine, with_reason
 
@@ -40,7 +40,7 @@ LOG_COLUMNS = ("log_partition", "log_offset", "enqueued_ts")
 
 def open_messages(raw: DataFrame, schema: str | StructType = MESSAGE, keep: Sequence[str] = LOG_COLUMNS) -> DataFrame:
     """JSON text to columns, all values as sent; unreadable text gives NULLs."""
-    return raw.select(F.from_json("raw_json", struct_of(schema)).alias("j"), *keep).select("j.*", *keep)
+    return open_json(raw, "raw_json", schema, keep)
 
 
 def parse_messages(

@@ -9,6 +9,7 @@ bucket that has to be rewritten.  :func:`compact` keeps the log short.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from siltstone.operators.cdc import latest_changes, scd1, scd2
 from siltstone.streaming.ingest import BATCH, run_batches, write_batch
 
+RUN = "run_id"
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -44,14 +47,17 @@ def scd_stream(changes: DataFrame, feed: Feed, scd_type: int, target: str, check
     batch may bring an older change.  Type 2 keeps all of them and does not shuffle.
     """
 
+    # batch numbers start again with a new checkpoint, and must not meet older ones
+    folder = f"{target}/{RUN}={hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(feed.latest(batch) if scd_type == 1 else batch, batch_id, target)
+        write_batch(feed.latest(batch) if scd_type == 1 else batch, batch_id, folder)
 
     return run_batches(changes, checkpoint, write)
 
 
 def read_log(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop(BATCH)
+    return spark.read.parquet(target).drop(RUN, BATCH)
 
 
 def read_scd(spark: SparkSession, feed: Feed, scd_type: int, target: str) -> DataFrame:
@@ -67,5 +73,5 @@ def compact(spark: SparkSession, feed: Feed, scd_type: int, target: str, new_tar
     """
     log = read_log(spark, target)
     kept = feed.latest(log) if scd_type == 1 else log.distinct()
-    kept.write.mode("error").parquet(f"{new_target}/{BATCH}=-1")
+    kept.write.mode("error").parquet(f"{new_target}/{RUN}=compacted/{BATCH}=-1")
     return new_target

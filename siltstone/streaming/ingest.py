@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from siltstone.functions.rules import Rules
 from siltstone.operators.quality import BROKEN, PASSED, VERDICT, with_verdict
@@ -89,7 +89,7 @@ def read_outcome(spark: SparkSession, path: str, verdict: str, schema: StructTyp
     """
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(StructType(list(schema.fields)).add(VERDICT, "string").add(BATCH, "bigint"))
+        reader = reader.schema(StructType(list(schema.fields)).add(VERDICT, StringType()).add(BATCH, LongType()))
     return reader.parquet(path).where(F.col(VERDICT) == verdict).drop(VERDICT, BATCH)
 
 

@@ -9,7 +9,7 @@ from siltstone.operators.checks import ERRORS, WARNINGS, apply_checks, split_che
 from siltstone.operators.scan import NON_NULL, RANGE, REGEX, SET, scan_report, scan_verdict
 from siltstone.plans import telemetry
 from siltstone.session import fresh_path
-from siltstone.sources.writers import read_split, write_split
+from siltstone.sources.writers import read_split, write_split, write_table
 from siltstone.workloads.enrichment import MESSAGES_SQL, raw_messages, users
 from siltstone.workloads.registry import query, table
 
@@ -149,11 +149,12 @@ _DEVICES_SQL = "(SELECT 'SN-' || CAST(c_custkey AS VARCHAR) AS device_id FROM cu
     "concat_ws(',', CASE WHEN w1 THEN 'battery_healthy' END, CASE WHEN w2 THEN 'signal_ok' END) AS warnings FROM f",
 )
 def telemetry_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full telemetry check list over parsed messages."""
+    """The full telemetry check list, over messages parsed and stored once."""
     devices = users(spark, sf_dir).where("model <> 'MACHINERY'").select(
         F.concat(F.lit("SN-"), F.col("user_id").cast("string")).alias("device_id")
     )
-    parsed = telemetry.parse_messages(raw_messages(spark, sf_dir))
+    messages = telemetry.parse_messages(raw_messages(spark, sf_dir))
+    parsed = spark.read.schema(messages.schema).parquet(write_table(messages, fresh_path(spark, "parsed-messages")))
     checks = telemetry.stored_checks()
     refs = {"device_reference": devices}
     problems = validate_checks(spark, checks, parsed.schema, refs)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.text import open_json
 from siltstone.operators import governance as gov
 from siltstone.operators.eventlog import expectation_entries, expectation_log, flow_history
 from siltstone.operators.reconcile import reconcile_sets
@@ -66,8 +67,7 @@ def _rule(column: str, dimension: str, kind: str, low: Column, high: Column) ->
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = inventory_documents(spark, sf_dir)
-    return documents.select(F.from_json("value", gov.INVENTORY).alias("i")).select("i.*")
+    return open_json(inventory_documents(spark, sf_dir), "value", gov.INVENTORY)
 
 
 _NAME = "'part_' || CAST(p_partkey AS VARCHAR)"
