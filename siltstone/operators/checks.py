@@ -22,11 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltstone.functions.casts import struct_of
-from siltstone.operators.skew import any_null, key_counts, skew_left_join
+from siltstone.operators.skew import ROWS, any_null, fits_broadcast, is_hot, key_counts, skew_left_join
+from siltstone.session import fresh_path
 
 ERRORS = "_errors"
 WARNINGS = "_warnings"
 
+_BAD = "__bad"
+_HOT = "__hot"
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -45,15 +49,32 @@ class Frame:
     source: DataFrame
     refs: Mapping[str, DataFrame]
     as_of: Any = None
+    run: bool = True
     flags: list[str] = field(default_factory=list)
 
-    def flag(self, verdicts: DataFrame, keys: Sequence[str], counts: DataFrame) -> Column:
-        """Join per-key verdicts back on; returns whether the row's key is among them."""
+    def flag(self, verdicts: DataFrame, keys: Sequence[str]) -> Column:
+        """Mark the rows whose key has ``__bad`` set in ``verdicts`` (one row per key, with counts).
+
+        Bad and hot keys are worked out first and stored in the shared folder.
+        While the bad ones are few, which is what a check is for, marking rows
+        is a broadcast join on the way through the table and its rows never
+        shuffle; only a large set of bad keys is joined by shuffle.
+        """
         name = f"__flag_{len(self.flags)}"
-        self.df = skew_left_join(
-            self.df, verdicts.select(*keys, F.lit(True).alias(name)), keys, counts=counts
-        )
         self.flags.append(name)
+        marks = verdicts.select(*keys, _BAD, is_hot(verdicts).alias(_HOT)).where(F.col(_BAD) | F.col(_HOT))
+        if not self.run:
+            marks.schema  # noqa: B018 - analysed only
+            return F.lit(False)
+        spark = self.source.sparkSession
+        path = fresh_path(spark, "flagged-keys")
+        marks.write.parquet(path)
+        stored = spark.read.schema(marks.schema).parquet(path)
+        bad = stored.where(_BAD).select(*keys, F.lit(True).alias(name))
+        if fits_broadcast(bad):
+            self.df = self.df.join(F.broadcast(bad), list(keys), "left")
+        else:
+            self.df = skew_left_join(self.df, bad, keys, hot=stored.where(_HOT).select(*keys))
         return F.coalesce(F.col(name), F.lit(False))
 
     def reference(self, args: Mapping[str, Any]) -> DataFrame:
@@ -95,12 +116,11 @@ def is_not_in_future(frame: Frame, column: str, offset: int = 0, null_fails: boo
 def is_unique(frame: Frame, columns: Sequence[str]) -> Outcome:
     """Every member of a repeated key is flagged; a key with a NULL part passes.
 
-    Keys are counted first (combined before the shuffle) and only repeated ones
-    are joined back, so no task ever holds a whole group of copies.
+    Keys are counted, combined before the shuffle, and only repeated ones are
+    joined back, so no task ever holds a whole group of copies.
     """
-    counts = key_counts(frame.source, columns)
-    repeated = counts.where(F.col(counts.columns[-1]) > 1)
-    return Outcome(frame.flag(repeated, columns, counts), f"{', '.join(columns)} not unique", columns)
+    counts = key_counts(frame.source, columns).withColumn(_BAD, F.col(ROWS) > 1)
+    return Outcome(frame.flag(counts, columns), f"{', '.join(columns)} not unique", columns)
 
 
 def foreign_key(
@@ -116,9 +136,9 @@ def foreign_key(
     known = frame.reference({"ref_table": ref_table, "ref": ref}).select(
         *(F.col(r).alias(c) for r, c in zip(ref_columns, columns, strict=True))
     )
-    counts = key_counts(frame.source, columns)
-    orphans = counts.join(known, columns, "left_anti")
-    broken = frame.flag(orphans, columns, counts)
+    found = known.distinct().withColumn("__found", F.lit(True))
+    verdicts = key_counts(frame.source, columns).join(found, columns, "left")
+    broken = frame.flag(verdicts.withColumn(_BAD, F.col("__found").isNull()), columns)
     if null_fails:
         broken = broken | any_null(columns)
     return Outcome(broken, f"{', '.join(columns)} not in {ref_table or 'reference'}", columns)
@@ -160,8 +180,16 @@ def apply_checks(
     refs: Mapping[str, DataFrame] | None = None,
     as_of: Any = None,
 ) -> DataFrame:
-    """Attach diagnostics; never adds, drops or reorders columns or rows of the input."""
-    frame = Frame(df, df, refs or {}, as_of)
+    """Attach diagnostics; never adds, drops or reorders columns or rows of the input.
+
+    Row checks are one projection.  A uniqueness or reference check first runs
+    over the key columns alone, so apply this to a stored table rather than to
+    a frame that is costly to compute.
+    """
+    return _annotated(df, specs, Frame(df, df, refs or {}, as_of))
+
+
+def _annotated(df: DataFrame, specs: Sequence[Mapping[str, Any]], frame: Frame) -> DataFrame:
     found: dict[str, list[Column]] = {ERRORS: [], WARNINGS: []}
     for spec in specs:
         function, args = spec["check"]["function"], dict(spec["check"].get("arguments", {}))
@@ -239,7 +267,7 @@ def _analysis_problem(
     empty: DataFrame, specs: Sequence[Mapping[str, Any]], refs: Mapping[str, DataFrame] | None
 ) -> str | None:
     try:
-        apply_checks(empty, specs, refs).schema  # noqa: B018 - forces analysis
+        _annotated(empty, specs, Frame(empty, empty, refs or {}, run=False)).schema  # noqa: B018 - forces analysis
     except (PySparkException, TypeError, ValueError, KeyError) as fault:
         return str(fault).strip().splitlines()[0]
     return None

@@ -21,14 +21,17 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
 
 
-def hot_keys(counts: DataFrame, shares: int = SHARES) -> DataFrame:
-    """Keys that hold more than one ``shares``-th of the counted rows.
+def is_hot(counts: DataFrame, shares: int = SHARES) -> Column:
+    """Whether a counted key holds more than one ``shares``-th of all counted rows.
 
     Fewer than ``shares`` such keys can exist whatever the data, which makes
-    the result safe to broadcast.
+    them safe to broadcast.
     """
-    total = counts.agg(F.sum(ROWS)).scalar()
-    return counts.where(F.col(ROWS) * F.lit(shares) > total)
+    return F.col(ROWS) * F.lit(shares) > counts.agg(F.sum(ROWS)).scalar()
+
+
+def hot_keys(counts: DataFrame, shares: int = SHARES) -> DataFrame:
+    return counts.where(is_hot(counts, shares))
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -39,7 +42,7 @@ def skew_left_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    counts: DataFrame | None = None,
+    hot: DataFrame | None = None,
     fanout: int = 128,
 ) -> DataFrame:
     """Left equi-join that spreads hot and NULL keys of ``left`` over ``fanout`` tasks.
@@ -47,10 +50,10 @@ def skew_left_join(
     A hot row is salted with the number of the partition it sits in, and the
     matching rows on the right are repeated once per salt.  The partition
     number does not change when a task runs again, so a lost executor cannot
-    send the same row to two places.
+    send the same row to two places.  ``hot`` takes hot keys already known.
     """
     keys = list(keys)
-    hot = hot_keys(key_counts(left, keys) if counts is None else counts)
+    hot = hot_keys(key_counts(left, keys)) if hot is None else hot
     hot = F.broadcast(hot.select(*keys, F.lit(True).alias(_HOT)))
     spot = F.pmod(F.spark_partition_id(), F.lit(fanout))
     salted = left.join(hot, keys, "left").withColumn(
@@ -67,5 +70,9 @@ def skew_left_join(
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than it must to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    Looks for one row beyond them.  Spark reads a few partitions first and
+    more only while it has not found it, so a large table is not counted.
+    """
+    return not df.select(F.lit(1).alias("one")).offset(max_rows).limit(1).collect()

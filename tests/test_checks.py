@@ -1,7 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from siltstone.operators import checks
 from siltstone.operators.checks import (
     apply_checks,
     has_errors,
@@ -93,6 +95,14 @@ def test_null_fails_option(spark):
     assert annotate(spark, strict).where(has_errors()).count() == 3
 
 
+def test_rows_do_not_shuffle_for_few_bad_keys(spark, tmp_path, capsys):
+    path = str(tmp_path / "t")
+    spark.createDataFrame(DATA, SCHEMA).write.parquet(path)
+    apply_checks(spark.read.parquet(path), CHECKS[:-1], {"devices": devices(spark)}, AS_OF).explain()
+    main = capsys.readouterr().out
+    assert "BroadcastHashJoin" in main and "hashpartitioning" not in main
+
+
 def test_split_and_counts(spark, tmp_path):
     annotated = annotate(spark)
     valid, bad = split_checks(annotated)
@@ -109,7 +119,9 @@ def test_no_checks_and_no_rows(spark):
     assert tuple(verdict_counts(annotate(spark, CHECKS, [])).first()) == (0, 0, 0, 0)
 
 
-def test_unique_on_a_hot_key_keeps_every_row(spark):
+@pytest.mark.parametrize("few", [True, False], ids=["few bad keys", "many bad keys"])
+def test_unique_on_a_hot_key_keeps_every_row(spark, monkeypatch, few):
+    monkeypatch.setattr(checks, "fits_broadcast", lambda df: few)
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id")
     got = apply_checks(df, [spec("unique", "error", "is_unique", columns=["k"])])
     assert got.count() == 9000
