@@ -10,12 +10,14 @@ bucket that has to be rewritten.  :func:`compact` keeps the log short.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from siltstone.operators.cdc import latest_changes, scd1, scd2
+from siltstone.sources.writers import publish, write_table
 from siltstone.streaming.ingest import BATCH, run_batches, write_batch
 
 RUN = "run_id"
@@ -66,6 +68,20 @@ def read_scd(spark: SparkSession, feed: Feed, scd_type: int, target: str) -> Dat
     return feed.current(log) if scd_type == 1 else feed.history(log)
 
 
+def refresh_target(
+    spark: SparkSession, changes: DataFrame, feed: Feed, scd_type: int, root: str, name: str
+) -> int:
+    """One run of a target that readers know as ``name``; returns the rows taken in.
+
+    New changes go to the log below ``root``, then the table is computed,
+    written to a new folder there and published, so readers pay no merge.
+    """
+    taken = scd_stream(changes, feed, scd_type, f"{root}/log", f"{root}/checkpoint")
+    state = read_scd(spark, feed, scd_type, f"{root}/log")
+    publish(spark, name, write_table(state, f"{root}/state-{uuid.uuid4().hex}", mode="error"))
+    return taken
+
+
 def compact(spark: SparkSession, feed: Feed, scd_type: int, target: str, new_target: str) -> str:
     """Rewrite the log into a new folder, superseded (type 1) or repeated (type 2) changes removed.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.operators.cdc import scd1, scd2
 from siltstone.session import fresh_path
-from siltstone.streaming.cdc import Feed, compact, read_scd, scd_stream
+from siltstone.streaming.cdc import Feed, compact, read_scd, refresh_target, scd_stream
 from siltstone.workloads.registry import query, stream_of, table
 
 FEED = Feed(["user_id"], "event_id", "event_type = 'error'", ["event_type", "event_id"])
@@ -65,6 +65,13 @@ def scd2_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_scd(spark, FEED, 2, f"{_streamed(spark, sf_dir, 2)}/log")
 
 
+@query("scd1_published", SCD1_SQL)
+def scd1_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = stream_of(spark, sf_dir, "events").select(*COLUMNS)
+    refresh_target(spark, feed, FEED, 1, fresh_path(spark, "users"), "siltstone_users")
+    return spark.table("siltstone_users")
+
+
 @query("scd1_compacted", SCD1_SQL)
 def scd1_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _streamed(spark, sf_dir, 1)

@@ -29,7 +29,7 @@ INVENTORY = {
     },
     "aspects": {
         "patients": {
-            "aspect_type": "803880923651.asia-northeast3.data-classification",
+            "aspect_type": "tenant.zone.data-classification",
             "data": {"steward": "data-team", "sensitivity": "high", "pii_category": "PHI"},
         }
     },

@@ -7,7 +7,7 @@ from test_cdc import FEED, SCHEMA, expected_scd1, expected_scd2
 from siltstone.operators.joins import enrich
 from siltstone.operators.quality import expect_or_drop, quarantine
 from siltstone.sources.readers import message_columns, message_log_options, stream_table
-from siltstone.streaming.cdc import Feed, compact, read_log, read_scd, scd_stream
+from siltstone.streaming.cdc import Feed, compact, read_log, read_scd, refresh_target, scd_stream
 from siltstone.streaming.ingest import (
     full_refresh,
     read_quarantine,
@@ -132,6 +132,14 @@ def test_new_checkpoint_does_not_overwrite_old_batches(spark, tmp_path, rows):
     assert rows(read_scd(spark, FLOW, 2, log)) == expected_scd2(FEED)
 
 
+def test_published_target_follows_the_feed(spark, tmp_path, rows):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "target")
+    for part in (FEED[:4], FEED[4:]):
+        land_changes(spark, landing, part)
+        refresh_target(spark, stream_table(spark, landing, SCHEMA), FLOW, 2, root, "customer_history")
+    assert rows(spark.table("customer_history")) == expected_scd2(FEED)
+
+
 def test_composite_key(spark, rows):
     data = [(a, b, s, f"{a}{b}{s}") for a, b, s in itertools.product((1, 2), ("x", "y"), (1, 2))]
     feed = spark.createDataFrame(data, "a int, b string, s int, v string")
@@ -141,7 +149,7 @@ def test_composite_key(spark, rows):
 
 
 def test_message_log_options():
-    options = message_log_options("host:9093", "device-telemetry", "login")
+    options = message_log_options("host:9093", "readings", "login")
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
     assert options["maxOffsetsPerTrigger"] == "2000" and options["kafka.security.protocol"] == "SASL_SSL"
     assert "kafka.sasl.mechanism" not in message_log_options("host:9093", "t")
