@@ -9,12 +9,13 @@ values, so the outcome never depends on partitioning.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.rules import holds
-from siltstone.operators.skew import ROWS, SHARES, hot_keys, key_counts
+from siltstone.operators.skew import ROWS, SHARES, hot_keys
 
 START = "__START_AT"
 END = "__END_AT"
@@ -22,7 +23,9 @@ END = "__END_AT"
 _SEQ = "__seq"
 _GONE = "__gone"
 _CHUNK = "__chunk"
+_NEXT = "__next_chunk"
 _SAMPLES_PER_CHUNK = 32
+_BLOCK = 16
 
 
 def _gone(deletes: str | Column | None) -> Column:
@@ -85,7 +88,7 @@ def scd2(
 
     A delete closes the open version and yields none itself.  The history of a
     hot key is cut into chunks by sequence, so that no task sorts all of it;
-    the end of a chunk's last version is the first sequence of the next chunk.
+    a chunk's last version ends at the cut that begins the next chunk.
 
     ``distinct`` promises that no key and sequence occur twice in the feed; it
     saves the shuffle that settles repetitions.
@@ -102,16 +105,9 @@ def scd2(
         versions = feed.groupBy(*keys, _SEQ).agg(F.max(version).alias("__version"))
     chunked = _with_chunk(versions, keys, cuts)
     follower = F.lead(_SEQ).over(Window.partitionBy(*keys, _CHUNK).orderBy(_SEQ))
-    ended = (
-        chunked.withColumn(END, follower)
-        .join(F.broadcast(_chunk_ends(feed.select(*keys, _SEQ), keys, cuts)), [*keys, _CHUNK], "left")
-        .where(~F.col(f"__version.{_GONE}"))
-    )
+    ended = chunked.withColumn(END, F.coalesce(follower, _NEXT)).where(~F.col(f"__version.{_GONE}"))
     return ended.select(
-        *keys,
-        *(F.col(f"__version.`{c}`") for c in payload),
-        F.col(_SEQ).alias(START),
-        F.coalesce(END, "__next_chunk").alias(END),
+        *keys, *(F.col(f"__version.`{c}`") for c in payload), F.col(_SEQ).alias(START), F.col(END)
     )
 
 
@@ -122,32 +118,48 @@ def _cuts(positions: DataFrame, keys: list[str], shares: int) -> DataFrame:
     in whatever order they are computed.  With fewer than ``shares`` hot keys
     and a fixed number of samples per chunk, the result is small by design.
     """
-    counts = key_counts(positions, keys)
+    counts = positions.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
     total = counts.agg(F.sum(ROWS)).scalar()
     step = F.greatest(F.floor(total / F.lit(shares * _SAMPLES_PER_CHUNK)), F.lit(1)).cast("bigint")
+    hot = hot_keys(counts, shares).select(*_renamed(keys))
     sampled = (
-        positions.join(F.broadcast(hot_keys(counts, shares).select(*keys)), keys, "left_semi")
-        .withColumn("__step", step)
-        .where(F.pmod(F.xxhash64(_SEQ), F.col("__step")) == 0)
+        positions.join(F.broadcast(hot), _same(keys), "left_semi")
+        .where(F.pmod(F.xxhash64(_SEQ), step) == 0)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set(_SEQ)).alias("__sample"))
     )
-    every = F.filter("__sample", lambda _, i: (i + 1) % _SAMPLES_PER_CHUNK == 0)
-    return sampled.select(*keys, every.alias("__cuts"))
+    return sampled.select(*keys, _every("__sample", _SAMPLES_PER_CHUNK).alias("__cuts"))
 
 
 def _with_chunk(rows: DataFrame, keys: list[str], cuts: DataFrame) -> DataFrame:
-    below = F.size(F.filter("__cuts", lambda cut: cut <= F.col(_SEQ)))
-    return (
-        rows.join(F.broadcast(cuts), keys, "left")
-        .withColumn(_CHUNK, F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(below))
-        .drop("__cuts")
+    """Number of the chunk a row belongs to, and the first sequence of the next one.
+
+    Cuts are sequences that occur, so a chunk starts exactly at its cut.  The
+    number is found in two short steps, first among every ``_BLOCK``-th cut.
+    """
+    lookup = cuts.select(*_renamed(keys), "__cuts", _every("__cuts", _BLOCK).alias("__heads"))
+    found = rows.join(F.broadcast(lookup), _same(keys), "left")
+    skipped = _not_above("__heads") * _BLOCK
+    rest = F.slice("__cuts", skipped + 1, F.lit(_BLOCK - 1))
+    chunk = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(skipped + _not_above(rest))
+    return found.withColumn(_CHUNK, chunk).select(
+        *rows.columns, _CHUNK, F.get("__cuts", F.col(_CHUNK)).alias(_NEXT)
     )
 
 
-def _chunk_ends(positions: DataFrame, keys: list[str], cuts: DataFrame) -> DataFrame:
-    """First sequence of the following chunk, per chunk of a hot key."""
-    hot = positions.join(F.broadcast(cuts.select(*keys)), keys, "left_semi")
-    starts = _with_chunk(hot, keys, cuts).groupBy(*keys, _CHUNK).agg(F.min(_SEQ).alias("__start"))
-    following = F.lead("__start").over(Window.partitionBy(*keys).orderBy(_CHUNK))
-    return starts.select(*keys, _CHUNK, following.alias("__next_chunk"))
+def _every(array: str, n: int) -> Column:
+    """Each ``n``-th element, beginning with number ``n``."""
+    return F.filter(array, lambda _, i: (i + 1) % n == 0)
+
+
+def _not_above(array: str | Column) -> Column:
+    return F.size(F.filter(array, lambda cut: cut <= F.col(_SEQ)))
+
+
+def _renamed(keys: list[str]) -> list[Column]:
+    return [F.col(k).alias(f"__cut_{i}") for i, k in enumerate(keys)]
+
+
+def _same(keys: list[str]) -> Column:
+    """Equal keys, NULL included."""
+    return reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__cut_{i}")) for i, k in enumerate(keys)))

@@ -117,9 +117,11 @@ def test_hot_key_history_is_cut_into_chunks(spark):
     assert len(sizes) >= 12 and max(sizes) < 2000 / 5
 
 
-@pytest.mark.parametrize("kind", ["bigint", "string", "timestamp"])
+@pytest.mark.parametrize("kind", ["bigint", "string", "timestamp", "NULL key"])
 def test_hot_key_history_is_exact(spark, rows, kind):
     feed = skewed(spark)
+    if kind == "NULL key":
+        feed = feed.withColumn("k", F.nullif("k", F.lit(0)))
     if kind == "string":
         feed = feed.withColumn("seq", F.lpad(F.col("seq").cast("string"), 8, "0"))
     if kind == "timestamp":
