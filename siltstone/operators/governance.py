@@ -55,13 +55,15 @@ def lineage_edges(inventory: DataFrame) -> DataFrame:
 
 
 def inventory_comments(described: DataFrame) -> DataFrame:
-    """Comments of tables (``column_name`` NULL) and columns; absent ones give no row."""
-    own = F.struct(F.lit(None).cast("string").alias("column_name"), F.col("description").alias("comment"))
+    """Comments of tables (``column_name`` NULL, position 0) and columns; absent ones give no row."""
+    own = F.struct(
+        F.lit(0).alias("position"), F.lit(None).cast("string").alias("column_name"), F.col("description").alias("comment")
+    )
     inner = F.transform(
-        F.map_entries("columns"), lambda e: F.struct(e["key"].alias("column_name"), e["value"].alias("comment"))
+        F.map_entries(F.coalesce("columns", F.create_map().cast("map<string,string>"))),
+        lambda e, i: F.struct((i + 1).alias("position"), e["key"].alias("column_name"), e["value"].alias("comment")),
     )
-    every = F.concat(F.array(own), F.coalesce(inner, F.array().cast("array<struct<column_name:string,comment:string>>")))
-    return described.select("table_name", F.inline(every)).where(
+    return described.select("table_name", F.inline(F.concat(F.array(own), inner))).where(
         F.col("comment").isNotNull() & (F.col("comment") != "")
     )
 
@@ -100,14 +102,29 @@ def rules_to_checks(rule_rows: DataFrame) -> DataFrame:
     )
 
 
+def scan_rules(rule_rows: DataFrame, target: str, most: int = 10_000) -> list[dict[str, str]]:
+    """The rules of one table in the form :func:`siltstone.operators.scan.scan_report` takes.
+
+    Rules are configuration and are brought to the driver; a table with more
+    than ``most`` of them is refused.  Types without their values are skipped.
+    """
+    wanted = rule_rows.where((F.col("table_name") == target) & F.col("type").isin(NON_NULL, RANGE)).drop("table_name")
+    found = wanted.take(most + 1)
+    if len(found) > most:
+        raise ValueError(f"more than {most} rules for {target}")
+    return [{name: value for name, value in row.asDict().items() if value is not None} for row in found]
+
+
 def lineage_of(edges: DataFrame, target: str | Column) -> DataFrame:
     """Distinct direct sources of a target."""
     wanted = F.lit(target) if isinstance(target, str) else target
     return edges.where((F.col("target") == wanted) & F.col("source").isNotNull()).select("source", "target").distinct()
 
 
-def list_comments(comments: DataFrame, order: Sequence[str] = ("table_name", "column_name")) -> DataFrame:
-    return comments.where(F.col("column_name").isNotNull() & F.col("comment").isNotNull()).orderBy(*order)
+def list_comments(comments: DataFrame) -> DataFrame:
+    """Described columns in the order of their tables."""
+    described = comments.where(F.col("column_name").isNotNull() & F.col("comment").isNotNull())
+    return described.select("table_name", "position", "column_name", "comment").orderBy("table_name", "position")
 
 
 def list_tags(tags: DataFrame) -> DataFrame:

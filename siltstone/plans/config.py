@@ -8,6 +8,10 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+# How the example's change feed reads, and its one rule that stops a run.
+CDC = {"keys": ["id"], "sequence_by": "seq", "deletes": "op = 'DELETE'", "except_cols": ["op", "seq"]}
+ORDER_RULES = {"amount_non_negative": "amount >= 0"}
+
 
 @dataclass(frozen=True)
 class Config:
@@ -20,6 +24,9 @@ class Config:
     landing_table: str | None = None
     cdc_source: str | None = None
     orders_source: str | None = None
+    cdc: dict[str, Any] = field(default_factory=lambda: dict(CDC))
+    order_rules: dict[str, str] = field(default_factory=lambda: dict(ORDER_RULES))
+    minimum_column: str = "fare_amount"
 
     @property
     def dimensions(self) -> dict[str, str]:
@@ -37,8 +44,8 @@ def load_config(source: str | Path | Mapping[str, Any]) -> Config:
     unknown = values.keys() - Config.__dataclass_fields__.keys()
     if missing or unknown:
         raise ValueError(f"config: missing {sorted(missing)}, unknown {sorted(unknown)}")
-    values["expectations"] = values.get("expectations") or {}
-    values["measures"] = values.get("measures") or {}
+    for block in ("expectations", "measures"):
+        values[block] = values.get(block) or {}
     return Config(**values)
 
 

@@ -6,6 +6,7 @@ whole dependency order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +14,21 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.means import rounded_mean
 from siltstone.operators.aggregates import by_all_dimensions, by_dimension
-from siltstone.operators.quality import BROKEN, PASSED, VERDICT, expect_or_drop, quarantine, with_verdict
+from siltstone.operators.quality import (
+    BROKEN,
+    PASSED,
+    VERDICT,
+    at_least,
+    expect_or_drop,
+    quarantine,
+    validated_table,
+    with_verdict,
+)
 from siltstone.plans.config import Config
-from siltstone.sources.readers import read_table
+from siltstone.sources.readers import read_table, stream_table
 from siltstone.sources.writers import write_table
+from siltstone.streaming.cdc import Feed, read_scd, scd_stream
+from siltstone.streaming.ingest import run_incremental
 
 
 def bronze(spark: SparkSession, config: Config) -> DataFrame:
@@ -78,3 +90,34 @@ def materialize(spark: SparkSession, config: Config, root: str) -> dict[str, Dat
     for name, table in gold_tables(tables[config.silver_table], config).items():
         tables[name] = stored(name, table)
     return tables
+
+
+def update(spark: SparkSession, config: Config, root: str, minimum: float = 0.0) -> dict[str, DataFrame]:
+    """One run of everything a configuration names; returns readers by dataset name.
+
+    Layers are recomputed.  Landing and change feed are taken in from where the
+    last run below the same ``root`` stopped.  Orders come last, since a broken
+    order stops the run and the other tables do not depend on it.
+    """
+    tables = materialize(spark, config, f"{root}/layers")
+    tables["gold_high_value"] = at_least(tables[config.silver_table], config.minimum_column, minimum)
+    if config.landing_table:
+        schema = read_table(spark, config.landing_table).schema
+        path = f"{root}/streamed/data"
+        run_incremental(stream_table(spark, config.landing_table, schema), path, f"{root}/streamed/checkpoint")
+        tables["streamed"] = spark.read.schema(schema).parquet(path)
+    if config.cdc_source:
+        feed, schema = Feed(**config.cdc), read_table(spark, config.cdc_source).schema
+        # both tables are computed from one log, so the feed is read once
+        log = f"{root}/changes/log"
+        scd_stream(stream_table(spark, config.cdc_source, schema), feed, 2, log, f"{root}/changes/checkpoint")
+        for scd_type in (1, 2):
+            state = read_scd(spark, feed, scd_type, log)
+            stored = write_table(state, f"{root}/changes/scd{scd_type}-{uuid.uuid4().hex}", mode="error")
+            tables[f"scd{scd_type}"] = spark.read.schema(state.schema).parquet(stored)
+    if config.orders_source:
+        orders = read_table(spark, config.orders_source)
+        tables["validated"] = validated_table(
+            spark, orders, config.order_rules, f"{root}/validated-{uuid.uuid4().hex}"
+        )
+    return tables

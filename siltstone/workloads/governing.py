@@ -82,8 +82,8 @@ _TAGS_SQL = (
 
 @query(
     "inventory_comments",
-    f"SELECT {_NAME} AS table_name, NULL AS column_name, p_name AS comment FROM part WHERE p_size > 10 "
-    f"UNION ALL SELECT {_NAME}, 'size', {_SIZE_TEXT} FROM part",
+    f"SELECT {_NAME} AS table_name, 0 AS position, NULL AS column_name, p_name AS comment FROM part WHERE p_size > 10 "
+    f"UNION ALL SELECT {_NAME}, 1, 'size', {_SIZE_TEXT} FROM part",
 )
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gov.inventory_comments(gov.tables(inventory(spark, sf_dir)))
@@ -149,7 +149,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "listed_comments",
-    f"SELECT {_NAME} AS table_name, 'size' AS column_name, {_SIZE_TEXT} AS comment FROM part ORDER BY 1, 2",
+    f"SELECT {_NAME} AS table_name, 1 AS position, 'size' AS column_name, {_SIZE_TEXT} AS comment FROM part ORDER BY 1, 2",
 )
 def listed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gov.list_comments(comments(spark, sf_dir))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from siltstone.plans import medallion
 from siltstone.plans.config import Config, load_config
 from siltstone.session import fresh_path
 from siltstone.sources.readers import read_table
+from siltstone.sources.writers import write_table
 from siltstone.workloads.registry import mean_sql, query, table
 
 EVENT_RULES = {
@@ -234,3 +237,41 @@ def medallion_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     return medallion.materialize(spark, config, fresh_path(spark, "medallion"))["gold_by_flag"]
+
+
+@query(
+    "update_row_counts",
+    f"SELECT 'silver_lines' AS dataset, count(*) AS n FROM lineitem WHERE {LINE_FILTER} "
+    f"UNION ALL SELECT 'quarantine', count(*) FROM lineitem WHERE NOT coalesce({LINE_FILTER}, false) "
+    f"UNION ALL SELECT 'gold_high_value', count(*) FROM lineitem WHERE {LINE_FILTER} AND l_extendedprice >= 50000 "
+    "UNION ALL SELECT 'streamed', count(*) FROM events "
+    "UNION ALL SELECT 'scd1', count(*) FROM (SELECT arg_max(event_type, event_id) AS last FROM events GROUP BY user_id) "
+    "WHERE last <> 'error' "
+    "UNION ALL SELECT 'scd2', count(*) FROM events WHERE event_type <> 'error' "
+    "UNION ALL SELECT 'validated', count(*) FROM orders",
+)
+def update_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run of a whole configuration: layers, landing, change feed and validated orders."""
+    root = fresh_path(spark, "update")
+    events = write_table(table(spark, sf_dir, "events"), f"{root}/landing")
+    config = load_config(
+        {
+            "source": f"{sf_dir}/lineitem.parquet",
+            "bronze_table": "bronze_lines",
+            "silver_table": "silver_lines",
+            "expectations": LINE_RULES,
+            "gold_tables": [],
+            "minimum_column": "l_extendedprice",
+            "landing_table": events,
+            "cdc_source": events,
+            "cdc": {"keys": ["user_id"], "sequence_by": "event_id", "deletes": "event_type = 'error'"},
+            "orders_source": f"{sf_dir}/orders.parquet",
+            "order_rules": {"amount_non_negative": "o_totalprice >= 0"},
+        }
+    )
+    tables = medallion.update(spark, config, f"{root}/run", minimum=50000)
+    counted = [
+        tables[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dataset"), "n")
+        for name in ("silver_lines", "quarantine", "gold_high_value", "streamed", "scd1", "scd2", "validated")
+    ]
+    return reduce(DataFrame.unionByName, counted)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from siltstone.operators import governance as gov
 from siltstone.operators.eventlog import expectation_log, flow_history, run_metrics
 from siltstone.operators.reconcile import reconciliation_passes
+from siltstone.operators.scan import scan_report
 from siltstone.sources.readers import load_event_log, load_inventory
 
 # The health example with its two described tables and one derived one.
@@ -62,22 +63,23 @@ def described(inventory):
 def test_comments(described, rows):
     assert rows(gov.inventory_comments(described)) == sorted(
         [
-            ("patients", None, "patient master"),
-            ("patients", "patient_id", "identifier (PHI)"),
-            ("patients", "name", "full name (PHI)"),
-            ("patients", "birth_year", "year"),
-            ("patients", "region", "home"),
-            ("vitals", "patient_id", "identifier (PHI)"),
-            ("vitals", "heart_rate", "bpm"),
+            ("patients", 0, None, "patient master"),
+            ("patients", 1, "patient_id", "identifier (PHI)"),
+            ("patients", 2, "name", "full name (PHI)"),
+            ("patients", 3, "birth_year", "year"),
+            ("patients", 4, "region", "home"),
+            ("vitals", 1, "patient_id", "identifier (PHI)"),
+            ("vitals", 2, "heart_rate", "bpm"),
         ],
         key=repr,
     )
-    assert gov.list_comments(gov.inventory_comments(described)).first()["column_name"] == "birth_year"
+    listed = gov.list_comments(gov.inventory_comments(described)).collect()
+    assert [r["column_name"] for r in listed] == ["patient_id", "name", "birth_year", "region", "patient_id", "heart_rate"]
 
 
 def test_derived_table_has_no_column_comments(inventory, rows):
     derived = gov.tables(inventory).where("table_name = 'vitals_daily'")
-    assert rows(gov.inventory_comments(derived)) == [("vitals_daily", None, "derived")]
+    assert rows(gov.inventory_comments(derived)) == [("vitals_daily", 0, None, "derived")]
 
 
 def test_tags(described, inventory, rows):
@@ -113,6 +115,17 @@ def test_checks(inventory, rows):
     assert inventory.select("data_quality.latest_result.row_count").first()[0] == 5
 
 
+def test_rules_are_measured(spark, inventory):
+    vitals = spark.createDataFrame([("P001", 72, 120), ("P002", 310, 118)], "patient_id string, heart_rate int, systolic int")
+    rules = gov.scan_rules(gov.rules(inventory), "vitals")
+    report = scan_report(vitals, rules).collect()
+    assert [(r["column"], r["passed"], r["pass_ratio"]) for r in report] == [
+        ("patient_id", True, 1.0), ("heart_rate", False, 0.5), ("systolic", True, 1.0),
+    ]
+    with pytest.raises(ValueError, match="more than 2"):
+        gov.scan_rules(gov.rules(inventory), "vitals", most=2)
+
+
 def test_lineage(spark, inventory, rows):
     assert gov.lineage_edges(inventory).count() == 0
     edges = spark.createDataFrame([("a", "t"), ("a", "t"), (None, "t"), ("b", "u")], "source string, target string")

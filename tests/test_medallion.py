@@ -1,12 +1,14 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from test_cdc import FEED, SCHEMA, expected_scd1, expected_scd2
 
 from siltstone.operators.aggregates import totals
 from siltstone.operators.ordering import page, top_k
 from siltstone.plans.config import load_config
-from siltstone.plans.medallion import bronze, gold_in_one_scan, gold_tables, materialize, quarantined, silver
+from siltstone.plans.medallion import bronze, gold_in_one_scan, gold_tables, materialize, quarantined, silver, update
 
 YAML = """
 source: {source}
@@ -59,6 +61,32 @@ def test_stored_layers(spark, config, rows, tmp_path):
     assert {name: rows(tables[name]) for name in GOLD} == GOLD
 
 
+def test_update_in_two_runs(spark, config, rows, tmp_path):
+    landing, changes, orders = (str(tmp_path / p) for p in ("landing", "changes", "orders"))
+    full = load_config({**vars(config), "landing_table": landing, "cdc_source": changes, "orders_source": orders})
+
+    def arrive(ids, feed, amounts):
+        spark.createDataFrame([(i,) for i in ids], "id long").write.mode("append").parquet(landing)
+        spark.createDataFrame(feed, SCHEMA).write.mode("append").parquet(changes)
+        spark.createDataFrame([(i, a) for i, a in enumerate(amounts)], "order_id long, amount double").write.mode(
+            "append"
+        ).parquet(orders)
+
+    root = str(tmp_path / "root")
+    arrive(range(1000), FEED[:3], [1.0, 0.0, 5.0])
+    first = update(spark, full, root, minimum=6.0)
+    assert (first["streamed"].count(), first["scd1"].count(), first["scd2"].count()) == (1000, 3, 3)
+    assert (first["validated"].count(), first["gold_high_value"].count(), first["quarantine"].count()) == (3, 2, 3)
+    arrive(range(1000, 1050), FEED[3:], [2.0, 3.0])
+    second = update(spark, full, root, minimum=10.0)
+    assert (second["streamed"].count(), second["validated"].count(), second["gold_high_value"].count()) == (1050, 5, 1)
+    assert rows(second["scd1"]) == expected_scd1(FEED) and rows(second["scd2"]) == expected_scd2(FEED)
+    arrive([1050], FEED[:1], [-50.0])
+    with pytest.raises(PySparkException, match="amount_non_negative"):
+        update(spark, full, root)
+    assert second["validated"].count() == 5
+
+
 def test_null_dimension_is_a_group(spark, config, rows):
     by_dropoff = load_config({**vars(config), "gold_tables": [{"name": "g", "dimension": "dropoff_zip"}]})
     assert (None, 1, 15.0, 3.0) in rows(gold_tables(silver(bronze(spark, config), config), by_dropoff)["g"])
