@@ -22,14 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltstone.functions.casts import struct_of
-from siltstone.operators.skew import ROWS, any_null, fits_broadcast, is_hot, key_counts, skew_left_join
+from siltstone.operators.skew import FAN, ROWS, any_null, fan_of, fits_broadcast, key_counts, skew_left_join
 from siltstone.session import fresh_path
 
 ERRORS = "_errors"
 WARNINGS = "_warnings"
 
 _BAD = "__bad"
-_HOT = "__hot"
 
 
 @dataclass(frozen=True)
@@ -62,7 +61,7 @@ class Frame:
         """
         name = f"__flag_{len(self.flags)}"
         self.flags.append(name)
-        marks = verdicts.select(*keys, _BAD, is_hot(verdicts).alias(_HOT)).where(F.col(_BAD) | F.col(_HOT))
+        marks = verdicts.select(*keys, _BAD, fan_of(verdicts).alias(FAN)).where(F.col(_BAD) | (F.col(FAN) > 1))
         if not self.run:
             marks.schema  # noqa: B018 - analysed only
             return F.lit(False)
@@ -74,7 +73,7 @@ class Frame:
         if fits_broadcast(bad):
             self.df = self.df.join(F.broadcast(bad), list(keys), "left")
         else:
-            self.df = skew_left_join(self.df, bad, keys, hot=stored.where(_HOT).select(*keys))
+            self.df = skew_left_join(self.df, bad, keys, hot=stored.where(F.col(FAN) > 1))
         return F.coalesce(F.col(name), F.lit(False))
 
     def reference(self, args: Mapping[str, Any]) -> DataFrame:

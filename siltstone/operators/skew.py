@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS = "__rows"
-SHARES = 512
+FAN = "__fan"
+SHARES = 4096
 BROADCAST_ROWS = 200_000
 
-_HOT = "__hot"
 _SALT = "__salt"
 
 
@@ -21,17 +21,20 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
 
 
-def is_hot(counts: DataFrame, shares: int = SHARES) -> Column:
-    """Whether a counted key holds more than one ``shares``-th of all counted rows.
+def fan_of(counts: DataFrame, shares: int = SHARES) -> Column:
+    """Into how many parts a counted key should be split: one per ``shares``-th of all rows.
 
-    Fewer than ``shares`` such keys can exist whatever the data, which makes
-    them safe to broadcast.
+    All parts beyond each key's first together number less than ``shares``,
+    and fewer than ``shares`` keys have more than one, whatever the data.
+    That makes hot keys safe to broadcast and their matches safe to repeat.
     """
-    return F.col(ROWS) * F.lit(shares) > counts.agg(F.sum(ROWS)).scalar()
+    share = F.col(ROWS) * F.lit(shares) / counts.agg(F.sum(ROWS)).scalar()
+    return F.greatest(F.ceil(share), F.lit(1)).cast("int")
 
 
 def hot_keys(counts: DataFrame, shares: int = SHARES) -> DataFrame:
-    return counts.where(is_hot(counts, shares))
+    """Keys that hold more than one share, with their number of parts."""
+    return counts.withColumn(FAN, fan_of(counts, shares)).where(F.col(FAN) > 1)
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -43,30 +46,24 @@ def skew_left_join(
     right: DataFrame,
     keys: Sequence[str],
     hot: DataFrame | None = None,
-    fanout: int = 128,
+    shares: int = SHARES,
 ) -> DataFrame:
-    """Left equi-join that spreads hot and NULL keys of ``left`` over ``fanout`` tasks.
+    """Left equi-join that spreads hot and NULL keys of ``left`` over many tasks.
 
     A hot row is salted with the number of the partition it sits in, and the
-    matching rows on the right are repeated once per salt.  The partition
-    number does not change when a task runs again, so a lost executor cannot
-    send the same row to two places.  ``hot`` takes hot keys already known.
+    matching rows on the right are repeated once per part of their key.  The
+    partition number does not change when a task runs again, so a lost executor
+    cannot send the same row to two places.  ``hot`` takes hot keys already known.
     """
     keys = list(keys)
-    hot = hot_keys(key_counts(left, keys)) if hot is None else hot
-    hot = F.broadcast(hot.select(*keys, F.lit(True).alias(_HOT)))
-    spot = F.pmod(F.spark_partition_id(), F.lit(fanout))
-    salted = left.join(hot, keys, "left").withColumn(
-        _SALT, F.when(F.col(_HOT) | any_null(keys), spot).otherwise(F.lit(0))
-    )
-    repeated = right.join(hot, keys, "left").withColumn(
-        _SALT,
-        F.explode(
-            F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(fanout - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
+    hot = hot_keys(key_counts(left, keys), shares) if hot is None else hot
+    hot = F.broadcast(hot.select(*keys, FAN))
+    spread = F.when(any_null(keys), F.lit(shares)).otherwise(F.coalesce(FAN, F.lit(1)))
+    salted = left.join(hot, keys, "left").withColumn(_SALT, F.pmod(F.spark_partition_id(), spread))
+    parts = F.sequence(F.lit(0), F.coalesce(FAN, F.lit(1)) - 1)
+    repeated = right.join(hot, keys, "left").withColumn(_SALT, F.explode(parts))
     added = [c for c in right.columns if c not in keys]
-    return salted.drop(_HOT).join(repeated.drop(_HOT), [*keys, _SALT], "left").select(*left.columns, *added)
+    return salted.drop(FAN).join(repeated.drop(FAN), [*keys, _SALT], "left").select(*left.columns, *added)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:

@@ -95,11 +95,12 @@ def materialize(spark: SparkSession, config: Config, root: str) -> dict[str, Dat
 def update(spark: SparkSession, config: Config, root: str, minimum: float = 0.0) -> dict[str, DataFrame]:
     """One run of everything a configuration names; returns readers by dataset name.
 
-    Layers are recomputed.  Landing and change feed are taken in from where the
+    Layers are recomputed into new folders, so readers of an earlier run keep
+    their tables.  Landing and change feed are taken in from where the
     last run below the same ``root`` stopped.  Orders come last, since a broken
     order stops the run and the other tables do not depend on it.
     """
-    tables = materialize(spark, config, f"{root}/layers")
+    tables = materialize(spark, config, f"{root}/layers-{uuid.uuid4().hex}")
     tables["gold_high_value"] = at_least(tables[config.silver_table], config.minimum_column, minimum)
     if config.landing_table:
         schema = read_table(spark, config.landing_table).schema

@@ -12,7 +12,9 @@ from siltstone.plans import telemetry
 from siltstone.session import fresh_path
 from siltstone.sources.readers import message_columns, stream_table
 from siltstone.sources.writers import write_table
+from siltstone.streaming.enrich import run_enriched
 from siltstone.streaming.ingest import (
+    BATCH,
     full_refresh,
     read_quarantine,
     read_silver,
@@ -59,11 +61,29 @@ def streaming_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_quarantine(spark, _split(spark, sf_dir), table(spark, sf_dir, "events").schema)
 
 
-@query(
-    "streaming_enriched",
+_ENRICHED_SQL = (
     "SELECT event_id, e.user_id, event_type, value, model, region, status AS device_status FROM events e "
-    f"LEFT JOIN (SELECT * FROM {USERS_SQL} WHERE model = 'BUILDING') b ON e.user_id = b.user_id",
+    f"LEFT JOIN (SELECT * FROM {USERS_SQL} WHERE model = 'BUILDING') b ON e.user_id = b.user_id"
 )
+
+
+@query("streaming_enriched_fresh", _ENRICHED_SQL)
+def streaming_enriched_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference is read again for every batch."""
+    root = fresh_path(spark, "enriched-fresh")
+    run_enriched(
+        event_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "value"),
+        lambda: users(spark, sf_dir, "BUILDING"),
+        ["user_id"],
+        ["model", "region", "status"],
+        {"status": "device_status"},
+        f"{root}/data",
+        f"{root}/checkpoint",
+    )
+    return spark.read.parquet(f"{root}/data").drop(BATCH)
+
+
+@query("streaming_enriched", _ENRICHED_SQL)
 def streaming_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "enriched")
     facts = event_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "value")

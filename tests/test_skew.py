@@ -19,8 +19,8 @@ def reference(spark):
 
 def test_hot_keys_are_few_and_right(spark, rows):
     counts = key_counts(facts(spark), ["k"])
-    assert rows(hot_keys(counts).select("k")) == [(-1,)]
-    assert hot_keys(key_counts(spark.range(100), ["id"]), 50).count() == 0
+    assert rows(hot_keys(counts, 64).select("k", "__fan")) == [(-1, 32)]
+    assert hot_keys(key_counts(spark.range(100), ["id"]), 100).count() == 0
 
 
 def test_join_equals_plain_left_join(spark):
@@ -30,13 +30,14 @@ def test_join_equals_plain_left_join(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_hot_and_null_rows_are_spread(spark):
+@pytest.mark.parametrize("shares", [32, 4096])
+def test_hot_and_null_rows_are_spread(spark, shares):
     old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
     try:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.shuffle.partitions", "16")
-        joined = skew_left_join(facts(spark), reference(spark).where("k >= 0 OR a = 7"), ["k"])
+        joined = skew_left_join(facts(spark), reference(spark).where("k >= 0 OR a = 7"), ["k"], shares=shares)
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         for key, value in old.items():

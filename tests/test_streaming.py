@@ -8,6 +8,7 @@ from siltstone.operators.joins import enrich
 from siltstone.operators.quality import expect_or_drop, quarantine
 from siltstone.sources.readers import message_columns, message_log_options, stream_table
 from siltstone.streaming.cdc import Feed, compact, read_log, read_scd, refresh_target, scd_stream
+from siltstone.streaming.enrich import run_enriched
 from siltstone.streaming.ingest import (
     full_refresh,
     read_quarantine,
@@ -89,6 +90,17 @@ def test_stream_enriched_like_batch(spark, tmp_path, rows):
         assert rows(spark.read.parquet(f"{out}{limit}")) == rows(enrich(spark.read.parquet(landing), ref, ["id"], ["model"]))
 
 
+def test_each_batch_sees_the_reference_as_it_is_then(spark, tmp_path, rows):
+    landing, out, mark = (str(tmp_path / p) for p in ("landing", "out", "mark"))
+    models = iter(["old", "new"])
+    reference = lambda: spark.range(40).select("id", F.lit(next(models)).alias("model"))
+    for start in (0, 20):
+        land(spark, landing, start, 20)
+        run_enriched(stream_table(spark, landing, LANDING), reference, ["id"], ["model"], None, out, mark)
+    got = spark.read.parquet(out).groupBy("model").agg(F.min("id"), F.count("*"))
+    assert rows(got) == [("new", 20, 20), ("old", 0, 20)]
+
+
 @pytest.mark.parametrize("scd_type,expected", [(1, expected_scd1), (2, expected_scd2)])
 def test_change_feed_in_several_runs(spark, tmp_path, rows, scd_type, expected):
     """Shuffled arrival, a replay, a late change older than the delete, an insert after it."""
