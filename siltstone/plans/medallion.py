@@ -122,3 +122,9 @@ def update(spark: SparkSession, config: Config, root: str, minimum: float = 0.0)
             spark, orders, config.order_rules, f"{root}/validated-{uuid.uuid4().hex}"
         )
     return tables
+
+
+def register(tables: Mapping[str, DataFrame]) -> None:
+    """Make datasets known to SQL under their names, for queries with bound parameters."""
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)

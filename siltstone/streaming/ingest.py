@@ -18,9 +18,18 @@ BATCH = "batch_id"
 
 
 def finish(query: StreamingQuery) -> int:
-    """Wait for an available-now query; returns the rows it read."""
-    query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+    """Wait for an available-now query; returns the rows it read.
+
+    Spark keeps the progress of the last batches only, so it is gathered while
+    the query runs.
+    """
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        for progress in query.recentProgress:
+            rows[progress.batchId] = max(rows.get(progress.batchId, 0), progress.numInputRows)
+    return sum(rows.values())
 
 
 def run_incremental(
@@ -41,14 +50,21 @@ def run_incremental(
     return finish(writer.option("checkpointLocation", checkpoint).options(**(options or {})).start(path))
 
 
-def full_refresh(spark: SparkSession, stream: DataFrame, label: str, name: str | None = None) -> str:
+def full_refresh(
+    spark: SparkSession,
+    stream: DataFrame,
+    label: str,
+    name: str | None = None,
+    run: Callable[[DataFrame, str, str], int] = run_incremental,
+) -> str:
     """Recompute from the start into a new folder with a new checkpoint.
 
     The old table stays as it is until the new one is complete; with ``name``
-    its readers are then switched over.
+    its readers are then switched over.  ``run`` takes the stream, the folder
+    and the checkpoint, and may be any of the incremental runs.
     """
     root = fresh_path(spark, label)
-    run_incremental(stream, f"{root}/data", f"{root}/checkpoint")
+    run(stream, f"{root}/data", f"{root}/checkpoint")
     if name is not None:
         publish(spark, name, f"{root}/data")
     return f"{root}/data"
@@ -73,7 +89,8 @@ def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
 def silver_and_quarantine(stream: DataFrame, rules: Rules, path: str, checkpoint: str) -> int:
     """Send passing and broken rows to separate folders in one pass over the stream.
 
-    Source and JSON are read once for both outcomes.
+    Source and JSON are read once for both outcomes.  A folder belongs to one
+    checkpoint; to start over, use :func:`full_refresh`.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -206,6 +206,16 @@ def gold_high_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at_least(table(spark, sf_dir, "orders"), "o_totalprice", 400000)
 
 
+@query("gold_high_value_sql", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice >= 400000 GROUP BY 1")
+def gold_high_value_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset read by name in SQL, the limit bound as a parameter."""
+    medallion.register({"siltstone_silver_orders": table(spark, sf_dir, "orders")})
+    return spark.sql(
+        "SELECT o_orderstatus, count(*) AS n FROM siltstone_silver_orders WHERE o_totalprice >= :minimum GROUP BY 1",
+        args={"minimum": 400000},
+    )
+
+
 @query("orders_validated", "SELECT * FROM orders WHERE o_totalprice >= 0")
 def orders_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = {"amount_non_negative": "o_totalprice >= 0"}

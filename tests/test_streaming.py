@@ -13,6 +13,7 @@ from siltstone.streaming.ingest import (
     full_refresh,
     read_quarantine,
     read_silver,
+    run_batches,
     run_incremental,
     silver_and_quarantine,
     write_batch,
@@ -52,6 +53,30 @@ def test_full_refresh_switches_readers(spark, tmp_path):
     assert first != second and spark.read.parquet(first).count() == 10
 
 
+def test_full_refresh_of_a_split_and_a_feed(spark, tmp_path, rows):
+    landing, changes = str(tmp_path / "landing"), str(tmp_path / "changes")
+    land(spark, landing, 0, 20)
+    land_changes(spark, changes, FEED)
+    split = lambda s, path, mark: silver_and_quarantine(s, {"small": "v < 7"}, path, mark)
+    assert read_silver(spark, full_refresh(spark, stream_table(spark, landing, LANDING), "split", run=split)).count() == 14
+    log = lambda s, path, mark: scd_stream(s, FLOW, 2, path, mark)
+    rebuilt = full_refresh(spark, stream_table(spark, changes, SCHEMA), "log", run=log)
+    assert rows(read_scd(spark, FLOW, 2, rebuilt)) == expected_scd2(FEED)
+
+
+def test_batches_beyond_the_kept_progress_are_counted(spark, tmp_path):
+    landing, setting = str(tmp_path / "landing"), "spark.sql.streaming.numRecentProgressUpdates"
+    spark.range(0, 24, 1, 24).selectExpr("id", "0.0D AS v").write.parquet(landing)
+    old, seen = spark.conf.get(setting), []
+    spark.conf.set(setting, "12")
+    try:
+        stream = stream_table(spark, landing, LANDING, max_files=1)
+        read = run_batches(stream, str(tmp_path / "mark"), lambda batch, batch_id: seen.append(batch.count()))
+    finally:
+        spark.conf.set(setting, old)
+    assert read == 24 == sum(seen) and len(seen) == 24
+
+
 def test_split_equals_batch_over_several_batches(spark, tmp_path):
     landing, out, mark = (str(tmp_path / p) for p in ("landing", "out", "mark"))
     rules = {"small": "v < 7", "odd": "id % 2 = 1"}
