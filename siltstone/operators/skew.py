@@ -7,11 +7,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 ROWS = "__rows"
 FAN = "__fan"
 SHARES = 4096
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 256 * 1024**2
+_FIXED_WIDTH = (NumericType, BooleanType, DatetimeType)
 
 _SALT = "__salt"
 
@@ -66,10 +69,21 @@ def skew_left_join(
     return salted.drop(FAN).join(repeated.drop(FAN), [*keys, _SALT], "left").select(*left.columns, *added)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows with ``max_bytes`` of text in all.
 
     Looks for one row beyond them.  Spark reads a few partitions first and
     more only while it has not found it, so a large table is not counted.
+    Bytes are summed only once the rows are known to be few.
     """
-    return not df.select(F.lit(1).alias("one")).offset(max_rows).limit(1).collect()
+    if df.select(F.lit(1).alias("one")).offset(max_rows).limit(1).collect():
+        return False
+    of_any_length = [f.name for f in df.schema.fields if not isinstance(f.dataType, _FIXED_WIDTH)]
+    if not of_any_length:
+        return True
+    width = reduce(lambda a, b: a + b, (_text_bytes(F.col(f"`{name}`")) for name in of_any_length))
+    return (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes
+
+
+def _text_bytes(column: Column) -> Column:
+    return F.coalesce(F.octet_length(column.cast("string")), F.lit(0)).cast("bigint")

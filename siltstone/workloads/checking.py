@@ -14,7 +14,11 @@ from siltstone.workloads.enrichment import MESSAGES_SQL, raw_messages, users
 from siltstone.workloads.registry import query, table
 
 LINE_CHECKS = [
-    {"name": "price_present", "criticality": "error", "check": {"function": "is_not_null", "arguments": {"column": "l_extendedprice"}}},
+    {
+        "name": "price_present",
+        "criticality": "error",
+        "check": {"function": "is_not_null", "arguments": {"column": "l_extendedprice"}},
+    },
     {
         "name": "returned_small",
         "criticality": "error",

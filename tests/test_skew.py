@@ -64,3 +64,6 @@ def test_readings_by_sums_before_the_join(spark, rows):
 
 def test_fits_broadcast(spark):
     assert fits_broadcast(spark.range(10), 10) and not fits_broadcast(spark.range(11), 10)
+    wide = spark.range(10).select("id", F.repeat(F.lit("é"), 100).alias("t"), F.array("id").alias("a"), F.lit(None).alias("n"))
+    assert fits_broadcast(wide, 10, 2100) and not fits_broadcast(wide, 10, 2000)
+    assert fits_broadcast(wide.where("false"), 10, 0)
