@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
 
 from siltstone.functions.means import rounded_mean
 from siltstone.operators.aggregates import by_all_dimensions, by_dimension
@@ -30,6 +32,8 @@ from siltstone.sources.writers import write_table
 from siltstone.streaming.cdc import Feed, read_scd, scd_stream
 from siltstone.streaming.ingest import run_incremental
 
+_NOT_FROM_TEXT = (ArrayType, BinaryType, MapType, StructType)
+
 
 def bronze(spark: SparkSession, config: Config) -> DataFrame:
     return read_table(spark, config.source)
@@ -75,7 +79,9 @@ def materialize(spark: SparkSession, config: Config, root: str) -> dict[str, Dat
     """Write every dataset below ``root``; returns readers of the stored tables by name.
 
     Rows are judged once and stored by verdict; silver and quarantine are two
-    partitions of that one table.  Gold reads the stored silver rows.
+    partitions of that one table.  The stored silver rows are read once for all
+    gold tables, which are partitions of one table too, except those whose
+    dimension cannot be kept as text.
     """
 
     def stored(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -87,8 +93,18 @@ def materialize(spark: SparkSession, config: Config, root: str) -> dict[str, Dat
     )
     for name, verdict in ((config.silver_table, PASSED), ("quarantine", BROKEN)):
         tables[name] = judged.where(F.col(VERDICT) == verdict).drop(VERDICT)
-    for name, table in gold_tables(tables[config.silver_table], config).items():
-        tables[name] = stored(name, table)
+    gold = gold_tables(tables[config.silver_table], config)
+    kinds = {name: table.schema["dimension_value"].dataType for name, table in gold.items()}
+    plain = {name: kind for name, kind in kinds.items() if not isinstance(kind, _NOT_FROM_TEXT)}
+    if plain:
+        wanted = replace(config, gold_tables=[spec for spec in config.gold_tables if spec["name"] in plain])
+        together = stored("gold", gold_in_one_scan(tables[config.silver_table], wanted), ["gold"])
+    for name, table in gold.items():
+        if name in plain:
+            one = together.where(F.col("gold") == name).drop("gold")
+            tables[name] = one.withColumn("dimension_value", F.col("dimension_value").cast(plain[name]))
+        else:
+            tables[name] = stored(name, table)
     return tables
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from siltstone.functions.casts import struct_of, typed
+from siltstone.functions.casts import iso_timestamp, struct_of, typed
 from siltstone.operators.governance import INVENTORY
 
 # Fixed value: fields of a device document that form the reference table.
@@ -84,13 +84,13 @@ def load_documents(spark: SparkSession, path: str, schema: str | StructType = DE
 
 def load_event_log(spark: SparkSession, path: str) -> DataFrame:
     """Run events; ``details`` stays JSON text whatever it contains."""
-    raw = spark.read.text(path)
-    return raw.select(
-        F.try_to_timestamp(F.get_json_object("value", "$.timestamp")).alias("timestamp"),
-        F.get_json_object("value", "$.flow").alias("flow"),
-        F.get_json_object("value", "$.status").alias("status"),
-        F.get_json_object("value", "$.output_rows").try_cast("bigint").alias("output_rows"),
-        F.get_json_object("value", "$.details").alias("details"),
+    text = "timestamp string, flow string, status string, output_rows string, details string"
+    return spark.read.schema(text).json(path).select(
+        iso_timestamp("timestamp").alias("timestamp"),
+        "flow",
+        "status",
+        F.col("output_rows").try_cast("bigint").alias("output_rows"),
+        "details",
     )
 
 

@@ -61,6 +61,16 @@ def test_stored_layers(spark, config, rows, tmp_path):
     assert {name: rows(tables[name]) for name in GOLD} == GOLD
 
 
+def test_stored_gold_keeps_dimension_types(spark, config, rows, tmp_path):
+    dimensions = {"n": "fare_amount", "b": "fare_amount > 6", "a": "array(pickup_zip)", "z": "nullif(pickup_zip, 1)"}
+    more = load_config({**vars(config), "gold_tables": [{"name": k, "dimension": v} for k, v in dimensions.items()]})
+    tables = materialize(spark, more, str(tmp_path / "run"))
+    lazily = gold_tables(tables["silver_trips_clean"], more)
+    for name in dimensions:
+        assert tables[name].dtypes == lazily[name].dtypes
+        assert rows(tables[name]) == rows(lazily[name])
+
+
 def test_update_in_two_runs(spark, config, rows, tmp_path):
     landing, changes, orders = (str(tmp_path / p) for p in ("landing", "changes", "orders"))
     full = load_config({**vars(config), "landing_table": landing, "cdc_source": changes, "orders_source": orders})
