@@ -83,8 +83,11 @@ def test_range_rule_quotes_and_bounds(spark):
 
 
 def test_fail_fast_names_the_rule(spark, trips, tmp_path):
+    # rows that break this one rule; with several broken, whichever task fails first is reported
     with pytest.raises(PySparkException, match="valid_fare"):
-        validated_table(spark, trips, RULES, str(tmp_path / "bad"))
+        validated_table(spark, trips.where("fare <= 0"), RULES, str(tmp_path / "bad"))
+    with pytest.raises(PySparkException, match="rule .* broken"):
+        validated_table(spark, trips, RULES, str(tmp_path / "worse"))
     good = trips.where("fare = 5")
     assert validated_table(spark, good, RULES, str(tmp_path / "good")).count() == 1
 
