@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate
+from siltstone.llm import bpe, decontaminate, language, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(column: str = "doc_id") -> Column:
+    """Documents of remainder 2 are held out of training; those without an id train nothing either."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % 4
+
+
+def _held_out() -> Column:
+    return F.coalesce(remainder() == 2, F.lit(False)).alias("held_out")
+
+
+@_query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    profiles = language.prototypes(language.gram_counts(docs.where(remainder() != 2)))
+    found = language.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", _held_out(), "lang_pred", "score")
+
+
+@_query("op10_quality_classifier")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.learn(docs.where(remainder() != 2), labels)
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", _held_out(), "score", "predicted")
+
+
 @_query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
