@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate, language, quality
+from siltstone.llm import bpe, decontaminate, language, lines, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +54,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(), "score", "predicted")
 
 
+@_query("op4_line_chunks")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_repeated_chunks(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return kept.select("doc_id", "n_lines", "n_removed_lines", digest.alias("kept_sha256"))
+
+
 @_query("op5_byte_bpe")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
