@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate, language, lines, quality
+from siltstone.llm import bpe, decontaminate, language, lines, minhash, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,6 +68,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, path, public_tokenizers.PATTERN, ids=False).drop("text")
 
 
+@_query("op7_dart_minhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.classify(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "kept")
+
+
 @_query("op9_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
