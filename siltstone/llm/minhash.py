@@ -205,7 +205,22 @@ def classify(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **
     key, named = fresh_name(docs, "fp"), fresh_name(docs, "class")
     joined = docs.withColumn(key, fingerprint(text_col)).join(found.toDF(key, named), key, "left")
     own = F.col(f"`{id_col}`")
-    kind = docs.schema[id_col].dataType
     # without words there is no class
-    class_id = F.coalesce(F.col(named), own).cast(kind)
+    class_id = F.coalesce(F.col(named), own)
     return joined.select(*(F.col(f"`{c}`") for c in docs.columns), class_id.alias("class_id"), own.eqNullSafe(class_id).alias("kept"))
+
+
+def survivors(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that are kept, one of each class; of rows with equal id and text, one."""
+    kept = classify(docs, text_col, id_col, **options).where("kept").select(docs.columns)
+    key = fresh_name(docs, "fp")
+    keyed = kept.withColumn(key, F.struct(F.col(f"`{id_col}`").alias("id"), fingerprint(text_col).alias("fp")))
+    # few or none: they are looked for in ids and fingerprints alone
+    twice = stored(keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(key), "repeated-rows")
+    if twice.isEmpty():
+        return kept
+    twice = twice.withColumnRenamed(key, "k")
+    repeated = F.col(key).eqNullSafe(F.col("k"))
+    once = keyed.join(twice, repeated, "left_anti")
+    one = keyed.join(twice, repeated, "left_semi").dropDuplicates([key])
+    return once.unionByName(one).select(docs.columns)
