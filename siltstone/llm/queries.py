@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate, language, lines, minhash, quality
+from siltstone.llm import bpe, decontaminate, language, lines, minhash, quality, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +74,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "kept")
 
 
+@_query("op8_suffix_family")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.drop_repeated_bytes(_table(spark, sf_dir, "documents").select("doc_id", "text"), texts=False)
+    return kept.drop("text")
+
+
 @_query("op9_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
