@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate, language, lines, minhash, quality, suffixes
+from siltstone.llm import bpe, decontaminate, fm_index, language, lines, minhash, quality, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +54,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(), "score", "predicted")
 
 
+@_query("op3_fm_index")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = fm_index.drop_repeated_words(_table(spark, sf_dir, "documents").select("doc_id", "text"), texts=False)
+    return kept.drop("text")
+
+
 @_query("op4_line_chunks")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_repeated_chunks(_table(spark, sf_dir, "documents").select("doc_id", "text"))
