@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate, fm_index, language, lines, minhash, quality, suffixes
+from siltstone.llm import bpe, decontaminate, fm_index, language, lines, minhash, quality, suffixes, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,12 @@ def _held_out() -> Column:
     return F.coalesce(remainder() == 2, F.lit(False)).alias("held_out")
 
 
+@_query("op1_grid_order_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+    return linked.select("vec_id", "n_links", "component_id", "kept")
+
+
 @_query("op2_language_id")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
