@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate, fm_index, language, lines, minhash, quality, suffixes, vectors
+from siltstone.llm import bpe, chat, decontaminate, fm_index, language, lines, minhash, quality, sql, suffixes, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,7 +38,7 @@ def _held_out() -> Column:
     return F.coalesce(remainder() == 2, F.lit(False)).alias("held_out")
 
 
-@_query("op1_grid_order_join")
+@_query("op1_grid_order_join", sql.LINKED_VECTORS)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
     return linked.select("vec_id", "n_links", "component_id", "kept")
@@ -60,7 +60,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(), "score", "predicted")
 
 
-@_query("op3_fm_index")
+@_query("op3_fm_index", sql.REPEATED_WORDS)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = fm_index.drop_repeated_words(_table(spark, sf_dir, "documents").select("doc_id", "text"), texts=False)
     return kept.drop("text")
@@ -80,6 +80,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, path, public_tokenizers.PATTERN, ids=False).drop("text")
 
 
+_SAID = "</s>[INST] ok [/INST]"
+
+@_query("op6_chat_events", sql.CHATS)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", _SAID), (-7, 1, "assistant", _SAID)], kinds))
+    # every row is a message of its own, also where turns are tied
+    target = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text"))
+    events = rows.select("conv_id", target.alias("target"), F.col("turn").alias("seq"), F.lit("message").alias("kind"), "role", "text")
+    rendered = chat.format_events(events, conversation="conv_id")
+    return chat.read_back(rendered).withColumnRenamed("conversation", "conv_id")
+
+
 @_query("op7_dart_minhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.classify(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -92,7 +106,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.drop("text")
 
 
-@_query("op9_decontamination")
+@_query("op9_decontamination", sql.CONTAMINATION)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     found = decontaminate.decontaminate(docs.select("doc_id", "text"), items, columns=["doc_id"])
