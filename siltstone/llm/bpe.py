@@ -56,7 +56,7 @@ class Vocabulary:
 
     def merged(self, piece: bytes) -> list[bytes]:
         """The defining procedure: merge the lowest-ranked neighbours, leftmost first, until none are left."""
-        return self._merge(piece)[0]
+        return self._merge(piece)[0] if piece else []
 
     def _merge(self, piece: bytes) -> tuple[list[bytes], list[tuple[bytes, int]], list[tuple[bytes, int]]]:
         """The parts left, and what the first and the last part were, each with the rank that ended it."""
