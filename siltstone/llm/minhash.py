@@ -16,6 +16,7 @@ from siltstone.llm.stored import stored
 from siltstone.llm.text import NOT_SPACE, Rolling, Words, fingerprint, flat, fresh_name, mix, ranges, signed, slices
 
 BANDS, ROWS = 32, 4
+_COUNTERS = 1 << 20
 
 _LAYER, _DART = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
@@ -149,18 +150,22 @@ def near_duplicates(
     Texts are linked when the weighted Jaccard similarity of their word shingles is at least
     ``threshold``; classes are connected components of links.  Candidates agree in a band; a
     pair of similarity s agrees in none with probability (1 - s**rows)**bands, 5e-8 at 0.8.
-    Equal texts are one candidate.  In each band the members of a bucket are compared with one
-    of them, a different one in each band; what is then still apart is compared with all that is
-    in other classes of the same bucket, so no link between classes is lost and a large class
-    is never expanded into its pairs.  Ids that are null name no class; if all are, class_id is null.
+    Equal texts are one candidate.  In each band the members of a bucket are compared with the one
+    of them that shares the most bands with others.  What is then still apart from others of its
+    bucket goes through an exact prefix filter, so no link between classes is lost, a large class
+    is never expanded into its pairs, nor are texts that have one passage in common.  Ids that are null name no class; if all are, class_id is null.
     """
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     reps = stored(sketches(plain, "text", size, bands, rows).where(F.col("weight") > 0).dropDuplicates(["fp"]), "sketches")
     members = reps.select("fp", "weight", F.explode("bands").alias("band"))
-    turn = F.struct(F.xxhash64("fp", "band").alias("turn"), "fp", "weight")
-    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(turn).alias("centre")).where(F.col("n") > 1)
-    shared = stored(shared.select("band", F.col("centre.fp").alias("centre"), F.col("centre.weight").alias("centre_weight")), "buckets")
-    buckets = stored(members.join(shared, "band"), "bucket-members")
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    buckets = stored(members.join(stored(sizes, "bucket-sizes").hint("merge"), "band"), "bucket-members")
+    # the text that others are copies of agrees with more of them than they do with each other
+    popular = stored(buckets.groupBy("fp").agg(F.sum("n").alias("popular")), "popular")
+    rated = buckets.drop("n").join(popular.hint("merge"), "fp")
+    best = F.max(F.struct("popular", "fp", "weight")).alias("best")
+    centres = rated.groupBy("band").agg(best).select("band", F.col("best.fp").alias("centre"), F.col("best.weight").alias("centre_weight"))
+    buckets = stored(buckets.drop("n").join(stored(centres, "centres").hint("merge"), "band"), "bucket-centres")
     close = F.least("weight", "centre_weight") >= threshold * F.greatest("weight", "centre_weight")
     pairs = buckets.where((F.col("fp") != F.col("centre")) & close)
     pairs = pairs.select(F.least("fp", "centre").alias("a"), F.greatest("fp", "centre").alias("b"))
@@ -168,7 +173,7 @@ def near_duplicates(
     sets = stored(shingle_sets(plain, bloom.build(keys, "key"), "text", size), "shingle-sets")
     links = stored(similar(stored(pairs.distinct(), "pairs"), sets, threshold), "near-links")
     labels = components(links)
-    more = _across(buckets, labels, threshold)
+    more = _across(buckets, labels, sets, threshold)
     if not more.isEmpty():
         links = links.unionByName(stored(similar(more, sets, threshold), "near-links"))
         labels = components(links)
@@ -179,19 +184,79 @@ def near_duplicates(
     return stored(named.join(classes, "label").select("fp", "class_id"), "near-classes")
 
 
-def _across(buckets: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of a bucket that are in different classes, each once."""
-    known = labels.toDF("fp", "label")
-    named = buckets.join(known, "fp", "left").select("band", "fp", "weight", F.coalesce("label", "fp").alias("label"))
+def _across(buckets: DataFrame, labels: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs that may be linked though in different classes, each once, by prefix filtering.
+
+    Looks at texts that share a band with one of another class.  When the elements of all texts
+    are put in the same order, rare ones first, linked texts of n elements have one in common
+    among their first n - ceil(threshold * n) + 1.  What many texts share comes late in that order,
+    where its place bounds how much they can have in common.
+    """
+    known = stored(labels.toDF("fp", "label"), "labels").hint("merge")
+    named = buckets.join(known, "fp", "left").select("band", "fp", F.coalesce("label", "fp").alias("label"))
     named = stored(named, "bucket-labels")
     mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") < F.col("high"))
-    named = stored(named.join(stored(mixed.select("band"), "mixed"), "band"), "mixed-members")
-    left, right = named.toDF("band", "a", "weight_a", "label_a"), named.toDF("band", "b", "weight_b", "label_b")
-    close = F.least("weight_a", "weight_b") >= threshold * F.greatest("weight_a", "weight_b")
-    pairs = left.join(right, "band").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & close)
+    named = named.join(stored(mixed.select("band"), "mixed").hint("merge"), "band").select("fp", "label").distinct()
+    named = stored(sets.join(stored(named, "mixed-members").hint("merge"), "fp"), "mixed-sets")
+    prefixed = stored(_prefixes(named, _element_counts(named), threshold), "prefixes")
+    left, right = (prefixed.toDF("element", x, f"label_{x}", f"weight_{x}", f"at_{x}") for x in "ab")
+    # no more can be common than what stands from there on; at the first common element that is a bound
+    most = F.least(F.col("weight_a") - F.col("at_a"), F.col("weight_b") - F.col("at_b"))
+    enough = most >= threshold / (1 + threshold) * (F.col("weight_a") + F.col("weight_b")) - 1e-6
+    apart = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
+    pairs = left.join(right.hint("merge"), "element").where(apart & enough)
     return stored(pairs.select("a", "b").distinct(), "more-pairs")
 
 
+def _element_counts(sets: DataFrame) -> np.ndarray:
+    """Occurrences of elements, added up in ``_COUNTERS`` places by hash: a bounded table that gives an order."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_COUNTERS, np.int64)
+        for batch in batches:
+            for packed in batch.column("elements"):
+                np.add.at(total, _counter(np.frombuffer(packed.as_buffer(), np.uint64)), 1)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"place": found, "n": total[found]})
+
+    added = sets.select("elements").mapInArrow(count, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(_COUNTERS, np.int64)
+    counts[added.column("place").to_numpy()] = added.column("n").to_numpy()
+    return counts
+
+
+def _counter(elements: np.ndarray) -> np.ndarray:
+    return (elements >> np.uint64(44)).astype(np.int64)
+
+
+def _prefixes(sets: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
+    sent = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen, weights, places = [], [], []
+            for packed in batch.column("elements"):
+                elements = np.frombuffer(packed.as_buffer(), np.uint64)
+                order = np.lexsort((elements, sent.value[_counter(elements)]))
+                # a little more than needed, for rounding
+                chosen.append(elements[order[: len(elements) - math.ceil(threshold * len(elements) - 1e-9) + 1]])
+                weights.append(len(elements))
+                places.append(np.arange(len(chosen[-1])))
+            rows = np.repeat(np.arange(len(chosen)), [len(x) for x in chosen])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(signed(np.concatenate([*chosen, np.zeros(0, np.uint64)]))),
+                    batch.column("fp").take(pa.array(rows)),
+                    batch.column("label").take(pa.array(rows)),
+                    pa.array(np.array(weights, np.int64)[rows]),
+                    pa.array(np.concatenate([*places, np.zeros(0, np.int64)])),
+                ],
+                names=["element", "fp", "label", "weight", "at"],
+            )
+
+    return sets.select("fp", "label", "elements").mapInArrow(cut, "element bigint, fp binary, label binary, weight bigint, at bigint")
+
+
 def classify(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
     """All rows of ``docs`` with class_id and kept.
 
@@ -203,7 +268,7 @@ def classify(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **
         raise ValueError(f"rename these columns first: {sorted(clash)}")
     found = near_duplicates(docs, text_col, id_col, **options)
     key, named = fresh_name(docs, "fp"), fresh_name(docs, "class")
-    joined = docs.withColumn(key, fingerprint(text_col)).join(found.toDF(key, named), key, "left")
+    joined = docs.withColumn(key, fingerprint(text_col)).join(found.toDF(key, named).hint("merge"), key, "left")
     own = F.col(f"`{id_col}`")
     # without words there is no class
     class_id = F.coalesce(F.col(named), own)
