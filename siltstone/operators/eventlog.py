@@ -46,6 +46,19 @@ def flow_history(
 
 
 def run_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Rows read per micro-batch of a finished or running query."""
+    """Rows read per micro-batch of a finished or running query, of which Spark keeps the last 100.
+
+    :func:`recorded_metrics` has all of them.
+    """
     progress = [(p.batchId, p.timestamp, p.numInputRows) for p in query.recentProgress]
     return spark.createDataFrame(progress, "batch_id long, started_at string, input_rows long")
+
+
+def recorded_metrics(spark: SparkSession, record: str) -> DataFrame:
+    """Per run of a stream with a progress record: batches, rows read and when it began, oldest first by ``started_at``."""
+    progress = spark.read.schema("run string, batch bigint, started_at string, input_rows bigint").parquet(record)
+    # a batch that ran again after a failure counts once, under the run that finished it
+    last = progress.groupBy("batch").agg(F.max_by(F.struct("run", "started_at", "input_rows"), "started_at").alias("p"))
+    return last.groupBy("p.run").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("p.input_rows").alias("input_rows"), F.min("p.started_at").alias("started_at")
+    )

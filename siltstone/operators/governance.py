@@ -90,27 +90,40 @@ def flatten_aspects(aspect_rows: DataFrame) -> DataFrame:
 
 
 def rules_to_checks(rule_rows: DataFrame) -> DataFrame:
-    """Constraints: ``table_name, constraint_name, column_name, clause``; other rule types are skipped."""
+    """Constraints: ``table_name, constraint_name, column_name, clause``; other rule types and ranges without bounds are skipped."""
     column, kind = F.col("`column`"), F.col("type")
-    return rule_rows.where(kind.isin(NON_NULL, RANGE)).select(
+    bounded = (kind != RANGE) | F.col("min").isNotNull() | F.col("max").isNotNull()
+    return rule_rows.where(kind.isin(NON_NULL, RANGE) & bounded).select(
         "table_name",
         F.when(kind == RANGE, F.concat(F.lit("chk_"), column)).alias("constraint_name"),
         column.alias("column_name"),
         F.when(kind == NON_NULL, F.concat(column, F.lit(" IS NOT NULL")))
+        .when(F.col("max").isNull(), F.concat(column, F.lit(" >= "), F.col("min")))
+        .when(F.col("min").isNull(), F.concat(column, F.lit(" <= "), F.col("max")))
         .otherwise(F.concat(column, F.lit(" BETWEEN "), F.col("min"), F.lit(" AND "), F.col("max")))
         .alias("clause"),
     )
 
 
-def scan_rules(rule_rows: DataFrame, target: str, most: int = 10_000) -> list[dict[str, str]]:
+def invalid_rules(rule_rows: DataFrame) -> DataFrame:
+    """Rules that cannot be checked, with ``problem``: range rules without any bound, rules without a column."""
+    unbounded = (F.col("type") == RANGE) & F.col("min").isNull() & F.col("max").isNull()
+    problem = F.when(F.col("`column`").isNull(), "no column").when(unbounded, "no bound")
+    return rule_rows.withColumn("problem", problem).where(F.col("problem").isNotNull())
+
+
+def scan_rules(rule_rows: DataFrame, target: str, most: int | None = None) -> list[dict[str, str]]:
     """The rules of one table in the form :func:`siltstone.operators.scan.scan_report` takes.
 
-    Rules are configuration and are brought to the driver; a table with more
-    than ``most`` of them is refused.  Types without their values are skipped.
+    The rules of one table are configuration and are brought to the driver; with ``most``
+    a table that has more of them is refused.  Types without their values and range rules
+    without bounds are skipped, see :func:`invalid_rules`.
     """
-    wanted = rule_rows.where((F.col("table_name") == target) & F.col("type").isin(NON_NULL, RANGE)).drop("table_name")
-    found = wanted.take(most + 1)
-    if len(found) > most:
+    bounded = (F.col("type") != RANGE) | F.col("min").isNotNull() | F.col("max").isNotNull()
+    of_table = (F.col("table_name") == target) & F.col("type").isin(NON_NULL, RANGE)
+    wanted = rule_rows.where(of_table & bounded).drop("table_name")
+    found = wanted.collect() if most is None else wanted.take(most + 1)
+    if most is not None and len(found) > most:
         raise ValueError(f"more than {most} rules for {target}")
     return [{name: value for name, value in row.asDict().items() if value is not None} for row in found]
 

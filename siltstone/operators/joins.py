@@ -21,9 +21,15 @@ def enrich(
     """Left join of a batch or a stream with a reference table; unmatched rows stay.
 
     The reference is broadcast once a bounded count has shown that it is small.
-    A larger one is joined by shuffle, hot keys of a batch being spread out.
+    A larger one is joined by shuffle, hot keys of a batch being spread out; for
+    a stream with such a reference :func:`siltstone.streaming.enrich.run_enriched`
+    does that batch by batch.  A column that both sides have needs a new name.
     """
     rename = rename or {}
+    added = [rename.get(c, c) for c in select]
+    taken = {c.lower() for c in facts.columns}
+    if clash := [c for c in added if c.lower() in taken]:
+        raise ValueError(f"both sides have {', '.join(clash)}: rename the columns of the reference")
     dims = ref.select(*on, *(F.col(c).alias(rename.get(c, c)) for c in select))
     if fits_broadcast(dims, max_broadcast_rows):
         joined = facts.join(F.broadcast(dims), list(on), "left")
@@ -31,7 +37,6 @@ def enrich(
         joined = facts.join(dims, list(on), "left")
     else:
         return skew_left_join(facts, dims, on)
-    added = [rename.get(c, c) for c in select]
     return joined.select(*facts.columns, *added)
 
 

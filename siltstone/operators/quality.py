@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.names import VERDICT, refuse_reserved
 from siltstone.functions.rules import NULL_RULE_INPUT, Rules, conjunction, first_reason, holds, passes
 from siltstone.sources.writers import write_table
 
-VERDICT = "verdict"
 PASSED = "silver"
 BROKEN = "quarantine"
 
@@ -41,7 +41,7 @@ def with_reason(
 
 def with_verdict(df: DataFrame, rules: Rules) -> DataFrame:
     """Both outcomes in one frame, so a partitioned write splits in a single pass."""
-    return df.withColumn(VERDICT, F.when(passes(rules), F.lit(PASSED)).otherwise(F.lit(BROKEN)))
+    return refuse_reserved(df).withColumn(VERDICT, F.when(passes(rules), F.lit(PASSED)).otherwise(F.lit(BROKEN)))
 
 
 def assert_rows(df: DataFrame, condition: str | Column, message: str, enabled: bool = True) -> DataFrame:

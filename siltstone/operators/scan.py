@@ -28,6 +28,8 @@ def rule_holds(df: DataFrame, rule: Mapping[str, Any]) -> Column:
             for end, compare in (("min", column.__ge__), ("max", column.__le__))
             if rule.get(end) is not None
         ]
+        if not limits:
+            raise ValueError(f"range rule on {rule['column']} has neither min nor max")
         ok = limits[0] & limits[1] if len(limits) == 2 else limits[0]
     elif kind == SET:
         ok = column.isin(list(rule["values"]))

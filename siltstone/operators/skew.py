@@ -53,22 +53,30 @@ def skew_left_join(
 ) -> DataFrame:
     """Left equi-join that spreads hot and NULL keys of ``left`` over many tasks.
 
-    A hot row is salted with the number of the partition it sits in, and the
-    matching rows on the right are repeated once per part of their key.  The
-    partition number does not change when a task runs again, so a lost executor
-    cannot send the same row to two places.  ``hot`` takes hot keys already known.
+    A hot row is salted with a hash of its values and of the partition it sits
+    in, and the matching rows on the right are repeated once per part of their
+    key.  Rows are spread both where they lie in many partitions and where the
+    left side is clustered by the key already.  Neither values nor partition
+    change when a task runs again, so a lost executor cannot send the same row
+    to two places.  ``hot`` takes hot keys already known.
     """
     keys = list(keys)
     hot = hot_keys(key_counts(left, keys), shares) if hot is None else hot
     hot = F.broadcast(hot.select(*keys, FAN))
     spread = F.when(any_null(keys), F.lit(shares)).otherwise(F.coalesce(FAN, F.lit(1)))
-    salted = left.join(hot, keys, "left").withColumn(_SALT, F.pmod(F.spark_partition_id(), spread))
+    salt = F.xxhash64(F.spark_partition_id(), *_hashable(left))
+    salted = left.join(hot, keys, "left").withColumn(_SALT, F.pmod(salt, spread))
     parts = F.sequence(F.lit(0), F.coalesce(FAN, F.lit(1)) - 1)
     repeated = right.join(hot, keys, "left").withColumn(_SALT, F.explode(parts))
     added = [c for c in right.columns if c not in keys]
     return salted.drop(FAN).join(repeated.drop(FAN), [*keys, _SALT], "left").select(*left.columns, *added)
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    """Columns that can be hashed: all but those with a map or a variant inside."""
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows with ``max_bytes`` of text in all.
 

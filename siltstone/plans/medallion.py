@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
 
 from siltstone.functions.means import rounded_mean
+from siltstone.functions.names import VERDICT
 from siltstone.operators.aggregates import by_all_dimensions, by_dimension
 from siltstone.operators.quality import (
     BROKEN,
     PASSED,
-    VERDICT,
     at_least,
     expect_or_drop,
     quarantine,

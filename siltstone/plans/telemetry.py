@@ -72,8 +72,8 @@ def enriched(silver_df: DataFrame, reference: DataFrame) -> DataFrame:
     )
 
 
-def stored_checks(reference_table: str = "device_reference", row_limit: int = 100_000) -> list[dict]:
-    """The checks run on stored telemetry."""
+def stored_checks(reference_table: str = "device_reference", *, row_limit: int) -> list[dict]:
+    """The checks run on stored telemetry; a table of more than ``row_limit`` rows is in error as a whole."""
     return [
         _check("device_id_not_null", "error", "is_not_null", column="device_id"),
         _check(

@@ -24,24 +24,37 @@ def read_table(spark: SparkSession, source: str) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, path: str, schema: str | StructType, max_files: int | None = None
+    spark: SparkSession, source: str, schema: str | StructType | None = None, max_files: int | None = None
 ) -> DataFrame:
-    """The same folder as a stream: each run sees the files it has not seen."""
-    reader = spark.readStream.schema(struct_of(schema))
+    """A catalog table by name, or a parquet folder by path, as a stream: each run sees the files it has not seen.
+
+    A folder needs its schema; a table brings its own.  A single file is no folder; a pattern that matches it is.
+    """
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    if "/" not in source:
+        return reader.table(source)
+    if schema is None:
+        raise ValueError(f"a stream of the folder {source} needs a schema")
+    return reader.schema(struct_of(schema)).parquet(source)
 
 
-def message_log_options(bootstrap: str, topic: str, login: str | None = None) -> dict[str, str]:
-    """Options of a message log read from its start, rate-limited and tolerant of expired data."""
+def message_log_options(
+    bootstrap: str, topic: str, login: str | None = None, max_per_trigger: int | None = None
+) -> dict[str, str]:
+    """Options of a message log read from its start, tolerant of expired data.
+
+    ``max_per_trigger`` bounds the messages of a micro-batch; without it a run takes what there is in one.
+    """
     options = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": "2000",
         "failOnDataLoss": "false",
     }
+    if max_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
     if login is not None:
         options |= {
             "kafka.security.protocol": "SASL_SSL",

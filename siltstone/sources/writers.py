@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.names import VERDICT, refuse_reserved
 from siltstone.operators.checks import has_errors
 
 
@@ -83,12 +84,13 @@ def export_ndjson(df: DataFrame, path: str) -> str:
 
 
 def write_split(annotated: DataFrame, path: str) -> str:
-    """Store checked rows once, in folders ``verdict=valid`` and ``verdict=quarantine``."""
+    """Store checked rows once, in one folder for each verdict; all columns are kept."""
     verdict = F.when(has_errors(), F.lit("quarantine")).otherwise(F.lit("valid"))
-    return write_table(annotated.withColumn("verdict", verdict), path, partition_by=["verdict"])
+    return write_table(refuse_reserved(annotated).withColumn(VERDICT, verdict), path, partition_by=[VERDICT])
 
 
 def read_split(spark: SparkSession, path: str, verdict: str | None = None) -> DataFrame:
     """All checked rows, or those with one verdict (only its folder is read)."""
     stored = spark.read.parquet(path)
-    return stored if verdict is None else stored.where(F.col("verdict") == verdict).drop("verdict")
+    wanted = stored if verdict is None else stored.where(F.col(VERDICT) == verdict)
+    return wanted.drop(VERDICT)

@@ -16,11 +16,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from siltstone.functions.names import BATCH, RUN, refuse_reserved
 from siltstone.operators.cdc import latest_changes, scd1, scd2
 from siltstone.sources.writers import publish, write_table
-from siltstone.streaming.ingest import BATCH, run_batches, write_batch
-
-RUN = "run_id"
+from siltstone.streaming.ingest import run_batches, write_batch
 
 
 @dataclass(frozen=True)
@@ -49,6 +48,7 @@ def scd_stream(changes: DataFrame, feed: Feed, scd_type: int, target: str, check
     batch may bring an older change.  Type 2 keeps all of them and does not shuffle.
     """
 
+    refuse_reserved(changes)
     # batch numbers start again with a new checkpoint, and must not meet older ones
     folder = f"{target}/{RUN}={hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
 

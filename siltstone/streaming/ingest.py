@@ -9,27 +9,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructType
 
+from siltstone.functions.names import BATCH, VERDICT, refuse_reserved
 from siltstone.functions.rules import Rules
-from siltstone.operators.quality import BROKEN, PASSED, VERDICT, with_verdict
+from siltstone.operators.quality import BROKEN, PASSED, with_verdict
 from siltstone.session import fresh_path
 from siltstone.sources.writers import publish
 
-BATCH = "batch_id"
+#: Columns of a progress record.
+PROGRESS = "run string, batch bigint, started_at string, input_rows bigint"
 
 
-def finish(query: StreamingQuery) -> int:
+def finish(query: StreamingQuery, record: str | None = None) -> int:
     """Wait for an available-now query; returns the rows it read.
 
-    Spark keeps the progress of the last batches only, so it is gathered while
-    the query runs.
+    Spark keeps the progress of the last batches only, so it is added up while
+    the query runs.  ``record`` names a folder to which each batch is added as a
+    row, see :func:`siltstone.operators.eventlog.recorded_metrics`.
     """
-    rows: dict[int, int] = {}
-    ended = False
+    total, latest, counted, ended = 0, -1, 0, False
     while not ended:
         ended = query.awaitTermination(1)
+        fresh = []
         for progress in query.recentProgress:
-            rows[progress.batchId] = max(rows.get(progress.batchId, 0), progress.numInputRows)
-    return sum(rows.values())
+            # a batch without rows may be reported again, with or without its number
+            if progress.batchId < latest or (progress.batchId == latest and progress.numInputRows <= counted):
+                continue
+            total += progress.numInputRows - (counted if progress.batchId == latest else 0)
+            latest, counted = progress.batchId, progress.numInputRows
+            fresh.append((str(query.runId), progress.batchId, progress.timestamp, progress.numInputRows))
+        if record is not None and fresh:
+            SparkSession.active().createDataFrame(fresh, PROGRESS).coalesce(1).write.mode("append").parquet(record)
+    return total
 
 
 def run_incremental(
@@ -38,6 +48,7 @@ def run_incremental(
     checkpoint: str,
     options: Mapping[str, str] | None = None,
     partition_by: Sequence[str] = (),
+    record: str | None = None,
 ) -> int:
     """Append all rows not seen before to a parquet folder; returns how many were read.
 
@@ -47,7 +58,7 @@ def run_incremental(
     writer = stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return finish(writer.option("checkpointLocation", checkpoint).options(**(options or {})).start(path))
+    return finish(writer.option("checkpointLocation", checkpoint).options(**(options or {})).start(path), record)
 
 
 def full_refresh(
@@ -83,7 +94,7 @@ def run_batches(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame,
 
 def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
     """Store a micro-batch in its own folder; the same batch again replaces itself."""
-    batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    refuse_reserved(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def silver_and_quarantine(stream: DataFrame, rules: Rules, path: str, checkpoint: str) -> int:
@@ -93,6 +104,8 @@ def silver_and_quarantine(stream: DataFrame, rules: Rules, path: str, checkpoint
     checkpoint; to start over, use :func:`full_refresh`.
     """
 
+    refuse_reserved(stream)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         with_verdict(batch, rules).write.mode("overwrite").partitionBy(VERDICT).parquet(f"{path}/{BATCH}={batch_id}")
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.operators.cdc import scd1, scd2
 from siltstone.session import fresh_path
@@ -65,11 +68,27 @@ def scd2_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_scd(spark, FEED, 2, f"{_streamed(spark, sf_dir, 2)}/log")
 
 
+@query(
+    "feed_keeps_columns",
+    'SELECT user_id, value, batch_id, run_id, event_id AS "__START_AT", nxt AS "__END_AT" FROM (SELECT *, '
+    "event_id % 7 AS batch_id, event_type AS run_id, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt "
+    "FROM events) WHERE event_type <> 'error'",
+)
+def feed_keeps_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that has columns named like numbers of runs and batches."""
+    root = fresh_path(spark, "feed-columns")
+    added = {"batch_id": F.col("event_id") % 7, "run_id": F.col("event_type")}
+    feed = stream_of(spark, sf_dir, "events").withColumns(added)
+    scd_stream(feed.select("user_id", "event_id", "event_type", "value", *added), FEED, 2, f"{root}/log", f"{root}/checkpoint")
+    return read_scd(spark, FEED, 2, f"{root}/log")
+
+
 @query("scd1_published", SCD1_SQL)
 def scd1_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = stream_of(spark, sf_dir, "events").select(*COLUMNS)
-    refresh_target(spark, feed, FEED, 1, fresh_path(spark, "users"), "siltstone_users")
-    return spark.table("siltstone_users")
+    name = f"siltstone_users_{uuid.uuid4().hex}"
+    refresh_target(spark, feed, FEED, 1, fresh_path(spark, "users"), name)
+    return spark.table(name)
 
 
 @query("scd1_compacted", SCD1_SQL)

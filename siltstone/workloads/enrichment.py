@@ -141,6 +141,17 @@ ENRICHED_SQL = (
 )
 
 
+@query(
+    "enriched_same_names",
+    "SELECT event_id, e.user_id, e.event_type AS status, e.value AS model, u.status AS device_status, u.model AS device_model "
+    f"FROM events e LEFT JOIN {USERS_SQL} ON e.user_id = u.user_id",
+)
+def enriched_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts and reference have columns of the same names."""
+    facts = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("event_type").alias("status"), F.col("value").alias("model"))
+    return enrich(facts, users(spark, sf_dir), ["user_id"], ["status", "model"], {"status": "device_status", "model": "device_model"})
+
+
 @query(
     "enriched_events",
     "SELECT event_id, e.user_id, event_type, value, model, region, status AS device_status FROM events e "

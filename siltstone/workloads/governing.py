@@ -207,7 +207,7 @@ def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gov.row_filter(table(spark, sf_dir, "customer"), {"west": "c_nationkey < 10"}, "west")
 
 
-_PROFILED = ["c_custkey", "c_nationkey", "c_mktsegment"]
+_PROFILED = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 def _profile_sql(source: str) -> str:

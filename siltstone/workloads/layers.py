@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -249,8 +250,7 @@ def medallion_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.materialize(spark, config, fresh_path(spark, "medallion"))["gold_by_flag"]
 
 
-@query(
-    "update_row_counts",
+UPDATE_SQL = (
     f"SELECT 'silver_lines' AS dataset, count(*) AS n FROM lineitem WHERE {LINE_FILTER} "
     f"UNION ALL SELECT 'quarantine', count(*) FROM lineitem WHERE NOT coalesce({LINE_FILTER}, false) "
     f"UNION ALL SELECT 'gold_high_value', count(*) FROM lineitem WHERE {LINE_FILTER} AND l_extendedprice >= 50000 "
@@ -258,15 +258,32 @@ def medallion_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     "UNION ALL SELECT 'scd1', count(*) FROM (SELECT arg_max(event_type, event_id) AS last FROM events GROUP BY user_id) "
     "WHERE last <> 'error' "
     "UNION ALL SELECT 'scd2', count(*) FROM events WHERE event_type <> 'error' "
-    "UNION ALL SELECT 'validated', count(*) FROM orders",
+    "UNION ALL SELECT 'validated', count(*) FROM orders"
 )
+
+
+@query("update_row_counts", UPDATE_SQL)
 def update_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run of a whole configuration: layers, landing, change feed and validated orders."""
     root = fresh_path(spark, "update")
     events = write_table(table(spark, sf_dir, "events"), f"{root}/landing")
+    return _updated(spark, sf_dir, root, events, f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet")
+
+
+@query("update_from_catalog", UPDATE_SQL)
+def update_from_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run, every source being the name of a catalog table."""
+    root, names = fresh_path(spark, "update-catalog"), []
+    for source in ("events", "lineitem", "orders"):
+        names.append(f"siltstone_{source}_{uuid.uuid4().hex}")
+        table(spark, sf_dir, source).write.option("path", f"{root}/{source}").saveAsTable(names[-1])
+    return _updated(spark, sf_dir, root, *names)
+
+
+def _updated(spark: SparkSession, sf_dir: str, root: str, events: str, lines: str, orders: str) -> DataFrame:
     config = load_config(
         {
-            "source": f"{sf_dir}/lineitem.parquet",
+            "source": lines,
             "bronze_table": "bronze_lines",
             "silver_table": "silver_lines",
             "expectations": LINE_RULES,
@@ -275,7 +292,7 @@ def update_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "landing_table": events,
             "cdc_source": events,
             "cdc": {"keys": ["user_id"], "sequence_by": "event_id", "deletes": "event_type = 'error'"},
-            "orders_source": f"{sf_dir}/orders.parquet",
+            "orders_source": orders,
             "order_rules": {"amount_non_negative": "o_totalprice >= 0"},
         }
     )

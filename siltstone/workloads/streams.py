@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.means import stable_mean
+from siltstone.functions.names import BATCH
 from siltstone.operators.aggregates import region_metric
+from siltstone.operators.eventlog import recorded_metrics
 from siltstone.operators.joins import enrich
 from siltstone.plans import telemetry
 from siltstone.session import fresh_path
@@ -14,7 +18,6 @@ from siltstone.sources.readers import message_columns, stream_table
 from siltstone.sources.writers import write_table
 from siltstone.streaming.enrich import run_enriched
 from siltstone.streaming.ingest import (
-    BATCH,
     full_refresh,
     read_quarantine,
     read_silver,
@@ -41,8 +44,9 @@ def streaming_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("streaming_refresh", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def streaming_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full_refresh(spark, event_stream(spark, sf_dir), "refresh", "siltstone_events_refreshed")
-    return spark.table("siltstone_events_refreshed").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    name = f"siltstone_events_{uuid.uuid4().hex}"
+    full_refresh(spark, event_stream(spark, sf_dir), "refresh", name)
+    return spark.table(name).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _split(spark: SparkSession, sf_dir: str) -> str:
@@ -56,6 +60,40 @@ def streaming_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, _split(spark, sf_dir), table(spark, sf_dir, "events").schema)
 
 
+_ADDED_SQL = "event_id, value, event_type AS verdict, event_id % 7 AS batch_id, user_id AS run_id, event_type AS gold"
+
+
+@query("split_keeps_columns", f"SELECT {_ADDED_SQL}, ({ALL_EVENT_RULES}) IS TRUE AS passed FROM events")
+def split_keeps_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns with everyday names go through the split, both ways."""
+    root = fresh_path(spark, "split-columns")
+    events = event_stream(spark, sf_dir)
+    added = {"verdict": F.col("event_type"), "batch_id": F.col("event_id") % 7, "run_id": F.col("user_id"), "gold": F.col("event_type")}
+    stream = events.withColumns(added)
+    silver_and_quarantine(stream, EVENT_RULES, f"{root}/data", f"{root}/checkpoint")
+    silver, broken = (f(spark, f"{root}/data", stream.schema) for f in (read_silver, read_quarantine))
+    both = silver.withColumn("passed", F.lit(True)).unionByName(broken.withColumn("passed", F.lit(False)))
+    return both.select("event_id", "value", *added, "passed")
+
+
+@query(
+    "run_write_metrics",
+    "SELECT 1 AS run, count(*) AS input_rows, 1 AS batches FROM events WHERE event_id % 3 = 0 "
+    "UNION ALL SELECT 2, count(*), 1 FROM events WHERE event_id % 3 <> 0",
+)
+def run_write_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of an ingest, each of which finds new rows; their record is read back."""
+    root = fresh_path(spark, "recorded")
+    events = table(spark, sf_dir, "events")
+    for part in ("event_id % 3 = 0", "event_id % 3 <> 0"):
+        events.where(part).write.mode("append").parquet(f"{root}/landing")
+        stream = stream_table(spark, f"{root}/landing", events.schema)
+        run_incremental(stream, f"{root}/data", f"{root}/checkpoint", record=f"{root}/record")
+    # a handful of runs, so one window over all of them is small
+    number = F.row_number().over(Window.orderBy("started_at"))
+    return recorded_metrics(spark, f"{root}/record").select(number.alias("run"), "input_rows", F.col("batches").cast("int").alias("batches"))
+
+
 @query("streaming_quarantine", f"SELECT * FROM events WHERE {BROKEN_EVENT}")
 def streaming_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_quarantine(spark, _split(spark, sf_dir), table(spark, sf_dir, "events").schema)

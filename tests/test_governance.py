@@ -126,6 +126,21 @@ def test_rules_are_measured(spark, inventory):
         gov.scan_rules(gov.rules(inventory), "vitals", most=2)
 
 
+def test_ranges_with_one_bound_or_none(spark, rows):
+    kind = "range_expectation"
+    given = spark.createDataFrame(
+        [("t", "a", "V", kind, "1", None), ("t", "b", "V", kind, None, "9"), ("t", "c", "V", kind, None, None)],
+        "table_name string, column string, dimension string, type string, min string, max string",
+    )
+    assert rows(gov.rules_to_checks(given).select("clause")) == [("a >= 1",), ("b <= 9",)]
+    assert rows(gov.invalid_rules(given).select("column", "problem")) == [("c", "no bound")]
+    found = gov.scan_rules(given, "t")
+    data = spark.createDataFrame([(0, 9), (1, 10)], "a int, b int")
+    assert [(r["column"], r["pass_ratio"]) for r in scan_report(data, found).collect()] == [("a", 0.5), ("b", 0.5)]
+    with pytest.raises(ValueError, match="neither min nor max"):
+        scan_report(data, [{"column": "a", "type": kind}])
+
+
 def test_lineage(spark, inventory, rows):
     assert gov.lineage_edges(inventory).count() == 0
     edges = spark.createDataFrame([("a", "t"), ("a", "t"), (None, "t"), ("b", "u")], "source string, target string")

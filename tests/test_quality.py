@@ -4,6 +4,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from siltstone.functions.names import VERDICT
 from siltstone.functions.rules import passes, range_rule
 from siltstone.operators.quality import (
     assert_rows,
@@ -123,4 +124,4 @@ def test_silver_and_quarantine_make_up_bronze(spark, data):
     silver, bad = expect_or_drop(bronze, RULES), quarantine(bronze, RULES)
     both = silver.unionByName(bad)
     assert both.exceptAll(bronze).count() == 0 and bronze.exceptAll(both).count() == 0
-    assert with_verdict(bronze, RULES).where(F.col("verdict") == "silver").count() == silver.count()
+    assert with_verdict(bronze, RULES).where(F.col(VERDICT) == "silver").count() == silver.count()

@@ -30,6 +30,25 @@ def test_join_equals_plain_left_join(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_equal_names_need_a_rename(spark, rows):
+    left = spark.createDataFrame([(1, 5), (2, 6)], "k int, level int")
+    right = spark.createDataFrame([(1, 50)], "k int, level int")
+    with pytest.raises(ValueError, match="both sides have level"):
+        enrich(left, right, ["k"], ["level"])
+    for limit in (0, 100):
+        joined = enrich(left, right, ["k"], ["level"], {"level": "device_level"}, max_broadcast_rows=limit)
+        assert rows(joined) == [(1, 5, 50), (2, 6, None)]
+
+
+def test_hot_rows_in_one_partition_are_spread(spark):
+    left = spark.range(0, 10_000, 1, 1).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    right = spark.createDataFrame([(1, 7)], "k int, a int")
+    plan = skew_left_join(left, right, ["k"], shares=64)
+    salts = left.withColumn("salt", F.pmod(F.xxhash64(F.spark_partition_id(), "k", "v"), F.lit(64)))
+    assert salts.groupBy("salt").count().where("count < 400").count() == 64
+    assert plan.where("a = 7").count() == 10_000
+
+
 @pytest.mark.parametrize("shares", [32, 4096])
 def test_hot_and_null_rows_are_spread(spark, shares):
     old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}

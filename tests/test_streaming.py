@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_cdc import FEED, SCHEMA, expected_scd1, expected_scd2
 
+from siltstone.operators.eventlog import recorded_metrics
 from siltstone.operators.joins import enrich
 from siltstone.operators.quality import expect_or_drop, quarantine
 from siltstone.sources.readers import message_columns, message_log_options, stream_table
@@ -186,10 +187,56 @@ def test_composite_key(spark, rows):
 
 
 def test_message_log_options():
-    options = message_log_options("host:9093", "readings", "login")
+    options = message_log_options("host:9093", "readings", "login", max_per_trigger=2000)
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
     assert options["maxOffsetsPerTrigger"] == "2000" and options["kafka.security.protocol"] == "SASL_SSL"
-    assert "kafka.sasl.mechanism" not in message_log_options("host:9093", "t")
+    plain = message_log_options("host:9093", "t")
+    assert "kafka.sasl.mechanism" not in plain and "maxOffsetsPerTrigger" not in plain
+
+
+def test_user_columns_with_ordinary_names_stay(spark, tmp_path, rows):
+    names = ["verdict", "batch_id", "run_id", "gold"]
+    landing, out, mark, log, mark2 = (str(tmp_path / p) for p in ("landing", "out", "mark", "log", "mark2"))
+    data = spark.range(6).select("id", *(F.concat(F.lit(n), F.col("id").cast("string")).alias(n) for n in names))
+    data.write.parquet(landing)
+    stream = lambda: stream_table(spark, landing, data.schema)
+    silver_and_quarantine(stream(), {"low": "id < 4"}, out, mark)
+    both = read_silver(spark, out, data.schema).unionByName(read_quarantine(spark, out, data.schema))
+    assert both.columns == data.columns and rows(both) == rows(data)
+    feed = Feed(["id"], "run_id")
+    scd_stream(stream(), feed, 2, log, mark2)
+    assert rows(read_scd(spark, feed, 2, log).select(data.columns)) == rows(data)
+
+
+def test_reserved_names_are_refused(spark, tmp_path):
+    taken = spark.range(2).withColumn("__siltstone_batch", F.lit(1))
+    taken.write.parquet(str(tmp_path / "in"))
+    stream = stream_table(spark, str(tmp_path / "in"), taken.schema)
+    with pytest.raises(Exception, match="reserved: __siltstone_batch"):
+        silver_and_quarantine(stream, {}, str(tmp_path / "out"), str(tmp_path / "mark"))
+
+
+def test_stream_of_a_catalog_table(spark, tmp_path, rows):
+    spark.sql("DROP TABLE IF EXISTS landing_rows")
+    for start, count in ((0, 1000), (1000, 50)):
+        spark.range(start, start + count).write.mode("append").format("parquet").saveAsTable("landing_rows")
+        taken = run_incremental(stream_table(spark, "landing_rows"), str(tmp_path / "out"), str(tmp_path / "mark"))
+        assert taken == count
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1050
+    spark.sql("DROP TABLE landing_rows")
+
+
+def test_every_batch_of_a_run_is_recorded(spark, tmp_path):
+    landing, record = str(tmp_path / "landing"), str(tmp_path / "record")
+    spark.range(0, 110, 1, 110).write.parquet(landing)
+    run = lambda: run_incremental(
+        stream_table(spark, landing, "id long", max_files=1), str(tmp_path / "out"), str(tmp_path / "mark"), record=record
+    )
+    assert run() == 110
+    spark.range(7).coalesce(1).write.mode("append").parquet(landing)
+    assert run() == 7
+    first, second = recorded_metrics(spark, record).orderBy("started_at").collect()
+    assert (first["batches"], first["input_rows"], second["batches"], second["input_rows"]) == (110, 110, 1, 7)
 
 
 def test_raw_layer_keeps_the_log_position(spark):

@@ -76,7 +76,7 @@ def test_enriched_gold(spark, raw, rows):
 def test_stored_checks_are_milder_on_battery(spark, raw):
     ref = spark.createDataFrame([("SN-0001",)], "device_id string")
     parsed = telemetry.parse_messages(raw).where("log_offset IN (0, 5)").withColumn("seq", F.col("log_offset"))
-    got = apply_checks(parsed, telemetry.stored_checks(), {"device_reference": ref})
+    got = apply_checks(parsed, telemetry.stored_checks(row_limit=100_000), {"device_reference": ref})
     assert got.where(has_errors()).count() == 0
     assert [r["log_offset"] for r in got.where(has_warnings()).collect()] == [5]
 
@@ -84,7 +84,7 @@ def test_stored_checks_are_milder_on_battery(spark, raw):
 def test_injecting_twice_breaks_uniqueness(spark, raw):
     ref = spark.createDataFrame([("SN-0001",)], "device_id string")
     once = telemetry.parse_messages(raw).where("log_offset = 0")
-    got = apply_checks(once.unionByName(once), telemetry.stored_checks(), {"device_reference": ref})
+    got = apply_checks(once.unionByName(once), telemetry.stored_checks(row_limit=100_000), {"device_reference": ref})
     assert [[d["name"] for d in r["_errors"]] for r in got.collect()] == [["seq_unique"]] * 2
 
 
