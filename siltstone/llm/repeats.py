@@ -66,7 +66,8 @@ class Segments:
         last = np.append(first[1:], len(anchors)) - 1 if len(first) else first
         self.anchor_at, self.start, self.stop = anchors[first], starts[first], starts[last] + window
         self.windows = last - first + 1
-        self.anchor = grams[self.anchor_at]
+        # anchors have small hashes: mixed again, they are spread over shards and filter
+        self.anchor = mix(grams[self.anchor_at] ^ _SECOND)
         self.units, self._rolling = units, rolling
 
     def row(self, chosen: np.ndarray) -> np.ndarray:
@@ -228,7 +229,7 @@ def repeated_spans(docs: DataFrame, text_col: str, units: Units, window: int, gr
 def with_spans(docs: DataFrame, spans: DataFrame, text_col: str, key: str) -> DataFrame:
     """All rows of ``docs`` with the spans of their text, null where there are none."""
     keyed = docs.withColumn(key, fingerprint(text_col))
-    return keyed.join(spans.withColumnRenamed("fp", key), key, "left").drop(key)
+    return keyed.join(spans.withColumnRenamed("fp", key).hint("merge"), key, "left").drop(key)
 
 
 def covered(spans: pa.Array, offsets: np.ndarray) -> np.ndarray:
