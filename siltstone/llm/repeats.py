@@ -216,14 +216,20 @@ def repeated_spans(docs: DataFrame, text_col: str, units: Units, window: int, gr
     rest = rest.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), *columns)
     alone = alone.withColumn("windows", F.lit(1)).select(F.pmod(F.xxhash64("seg"), F.lit(shards)).alias("shard"), *columns)
     runs = stored(rest.unionByName(alone).groupBy("shard").applyInArrow(search, _FOUND), "runs")
-    of_parents = cut.select("parent", "index", "seg").join(runs.select("seg"), "seg")
-    one = F.array(F.struct(F.col("index").alias("first"), F.col("index").alias("last")))
-    of_parents = of_parents.select(F.col("parent").alias("seg"), one.alias("runs"))
+    repeated = cut.select("parent", "index", "seg").join(runs.select("seg"), "seg")
+    windows = repeated.groupBy("parent").agg(F.array_sort(F.collect_list("index")).alias("w"))
+    # neighbouring windows make one run
+    first = F.filter("w", lambda x: ~F.array_contains("w", x - 1))
+    last = F.filter("w", lambda x: ~F.array_contains("w", x + 1))
+    joined = F.zip_with(first, last, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
+    of_parents = windows.select(F.col("parent").alias("seg"), joined.alias("runs"))
     every = stored(runs.unionByName(of_parents), "all-runs")
     places = stored(found.select("fp", "start", "seg").distinct(), "places")
-    spans = places.join(every, "seg").select("fp", "start", F.explode("runs").alias("run"))
-    span = F.struct((F.col("start") + F.col("run.first")).alias("start"), (F.col("start") + F.col("run.last") + window).alias("stop"))
-    return stored(spans.groupBy("fp").agg(F.array_sort(F.collect_list(span)).alias("spans")), "spans")
+    span = F.transform(
+        "runs", lambda x: F.struct((F.col("start") + x["first"]).alias("start"), (F.col("start") + x["last"] + window).alias("stop"))
+    )
+    spans = places.join(every, "seg").select("fp", span.alias("spans"))
+    return stored(spans.groupBy("fp").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")), "spans")
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, text_col: str, key: str) -> DataFrame:

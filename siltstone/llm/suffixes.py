@@ -15,7 +15,7 @@ from siltstone.llm.text import flat, fresh_name, ranges, slices
 
 GRAM = 32
 #: Distinct segments of a shard, and of a batch within it.
-SHARD_ROWS, BATCH_ROWS = 3000, 500
+SHARD_ROWS, BATCH_ROWS = 1500, 300
 
 
 class Level:
