@@ -25,7 +25,7 @@ _GONE = "__gone"
 _CHUNK = "__chunk"
 _NEXT = "__next_chunk"
 _SAMPLES_PER_CHUNK = 32
-_BLOCK = 16
+_BLOCK = 64
 
 
 def _gone(deletes: str | Column | None) -> Column:

@@ -76,6 +76,19 @@ class Frame:
             self.df = skew_left_join(self.df, bad, keys, hot=stored.where(F.col(FAN) > 1))
         return F.coalesce(F.col(name), F.lit(False))
 
+    def mark_missing(self, found: DataFrame, keys: Sequence[str]) -> Column:
+        """Rows whose key is not among the few of ``found``; a NULL part is not missing.
+
+        The keys are stored in the shared folder, so the reference is worked out once, and broadcast.
+        """
+        name = f"__flag_{len(self.flags)}"
+        self.flags.append(name)
+        few, path = found.withColumnRenamed("__found", name), fresh_path(self.source.sparkSession, "known-keys")
+        few.write.parquet(path)
+        few = self.source.sparkSession.read.schema(few.schema).parquet(path)
+        self.df = self.df.join(F.broadcast(few), list(keys), "left")
+        return F.col(name).isNull() & ~any_null(keys)
+
     def reference(self, args: Mapping[str, Any]) -> DataFrame:
         if args.get("ref") is not None:
             return args["ref"]
@@ -130,19 +143,31 @@ def foreign_key(
     ref: DataFrame | None = None,
     null_fails: bool = False,
 ) -> Outcome:
-    """The key occurs in the reference; decided once per distinct key, then joined back."""
+    """The key occurs in the reference; a key with a NULL part passes unless ``null_fails``.
+
+    A small reference marks the rows on their way through the table, without a
+    count or a shuffle of it.  With a large one the verdict is found once per
+    distinct key, then joined back.
+    """
     columns = list(columns)
     known = frame.reference({"ref_table": ref_table, "ref": ref}).select(
         *(F.col(r).alias(c) for r, c in zip(ref_columns, columns, strict=True))
     )
     found = known.distinct().withColumn("__found", F.lit(True))
-    verdicts = key_counts(frame.source, columns).join(found, columns, "left")
-    broken = frame.flag(verdicts.withColumn(_BAD, F.col("__found").isNull()), columns)
+    if frame.run and fits_broadcast(found.drop("__found")):
+        broken = frame.mark_missing(found, columns)
+    else:
+        broken = _flag_missing(frame, found, columns)
     if null_fails:
         broken = broken | any_null(columns)
     return Outcome(broken, f"{', '.join(columns)} not in {ref_table or 'reference'}", columns)
 
 
+def _flag_missing(frame: Frame, found: DataFrame, columns: list[str]) -> Column:
+    verdicts = key_counts(frame.source, columns).join(found, columns, "left")
+    return frame.flag(verdicts.withColumn(_BAD, F.col("__found").isNull()), columns)
+
+
 def is_aggr_not_greater_than(frame: Frame, column: str, aggr_type: str, limit: Any) -> Outcome:
     """One aggregate of the whole table against a limit; every row carries the verdict."""
     value = frame.source.agg(_aggregate(column, aggr_type)).scalar()

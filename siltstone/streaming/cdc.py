@@ -10,7 +10,6 @@ bucket that has to be rewritten.  :func:`compact` keeps the log short.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from siltstone.functions.names import BATCH, RUN, refuse_reserved
 from siltstone.operators.cdc import latest_changes, scd1, scd2
-from siltstone.sources.writers import publish, write_table
 from siltstone.streaming.ingest import run_batches, write_batch
+from siltstone.streaming.target import bring_up_to_date, publish_target
 
 
 @dataclass(frozen=True)
@@ -50,7 +49,7 @@ def scd_stream(changes: DataFrame, feed: Feed, scd_type: int, target: str, check
 
     refuse_reserved(changes)
     # batch numbers start again with a new checkpoint, and must not meet older ones
-    folder = f"{target}/{RUN}={hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+    folder = f"{target}/{RUN}=r{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(feed.latest(batch) if scd_type == 1 else batch, batch_id, folder)
@@ -73,12 +72,14 @@ def refresh_target(
 ) -> int:
     """One run of a target that readers know as ``name``; returns the rows taken in.
 
-    New changes go to the log below ``root``, then the table is computed,
-    written to a new folder there and published, so readers pay no merge.
+    New changes go to the log below ``root``, are merged with the state they
+    touch, and the table is published, so readers pay no merge.  What a run
+    costs follows its new changes, not the log: see :mod:`siltstone.streaming.target`.
     """
     taken = scd_stream(changes, feed, scd_type, f"{root}/log", f"{root}/checkpoint")
-    state = read_scd(spark, feed, scd_type, f"{root}/log")
-    publish(spark, name, write_table(state, f"{root}/state-{uuid.uuid4().hex}", mode="error"))
+    manifest, schema = bring_up_to_date(spark, feed, scd_type, root)
+    if schema is not None:
+        publish_target(spark, name, root, manifest, schema)
     return taken
 
 

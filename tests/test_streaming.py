@@ -19,6 +19,7 @@ from siltstone.streaming.ingest import (
     silver_and_quarantine,
     write_batch,
 )
+from siltstone.streaming.target import pending, read_manifest
 
 LANDING = "id long, v double"
 FLOW = Feed(["id"], "seq", "op = 'DELETE'", ["op", "seq"])
@@ -178,6 +179,32 @@ def test_published_target_follows_the_feed(spark, tmp_path, rows):
     assert rows(spark.table("customer_history")) == expected_scd2(FEED)
 
 
+@pytest.mark.parametrize("scd_type,expected", [(1, expected_scd1), (2, expected_scd2)])
+def test_a_run_reads_new_changes_and_touched_buckets_only(spark, tmp_path, rows, scd_type, expected):
+    landing, root, name = str(tmp_path / "landing"), str(tmp_path / "target"), f"target_{scd_type}"
+    first = [(i, "n", "c", "INSERT", i) for i in range(1, 41)]
+    second = [(7, "m", "c", "UPDATE", 100), (7, "late", "c", "UPDATE", 3), (9, None, None, "DELETE", 101), (7, "m", "c", "UPDATE", 100)]
+    land_changes(spark, landing, first)
+    assert refresh_target(spark, stream_table(spark, landing, SCHEMA), FLOW, scd_type, root, name) == 40
+    assert rows(spark.table(name)) == expected(first)
+    before = read_manifest(spark, root)
+    land_changes(spark, landing, second)
+    assert refresh_target(spark, stream_table(spark, landing, SCHEMA), FLOW, scd_type, root, name) == 4
+    after = read_manifest(spark, root)
+    assert rows(spark.table(name)) == expected(first + second)
+    moved = {b for b in after.changes if before.changes.get(b) != after.changes[b]}
+    assert 1 <= len(moved) <= 2 and after.version == before.version + 1
+    # what the second run had to read of the log
+    read = pending(spark, root, before)
+    files = [r[0] for r in read.select(F.input_file_name()).distinct().collect()]
+    assert files and all(f"__siltstone_batch={max(after.seen.values())}/" in f for f in files)
+    filters = read._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "__siltstone_batch" in filters
+    # nothing new: nothing is written
+    assert refresh_target(spark, stream_table(spark, landing, SCHEMA), FLOW, scd_type, root, name) == 0
+    assert read_manifest(spark, root).version == after.version
+
+
 def test_composite_key(spark, rows):
     data = [(a, b, s, f"{a}{b}{s}") for a, b, s in itertools.product((1, 2), ("x", "y"), (1, 2))]
     feed = spark.createDataFrame(data, "a int, b string, s int, v string")
