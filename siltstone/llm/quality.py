@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm import bloom
 from siltstone.llm.stored import stored
 from siltstone.llm.text import NOT_SPACE, Rolling, Words, flat, fresh_name, mix, slices
 
@@ -70,22 +71,30 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled_features(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
-    """One row per document and distinct non-null label of its id: label, pick (a hash of its text, 0 to 1), places."""
+    """One row per document and distinct label 0 or 1 of its id: label, pick (a hash of its text, 0 to 1), places.
+
+    Features are taken before labels are joined, from documents that may have one, so texts
+    are not shuffled.  Null ids have no label.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-    known = known.where(F.col("id").isNotNull() & F.col("label").isin(0, 1)).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    joined = texts.join(known, "id").select("label", "text")
+    known = stored(known.where(F.col("id").isNotNull() & F.col("label").isin(0, 1)).distinct(), "labels")
+    sent = docs.sparkSession.sparkContext.broadcast(bloom.build(known.select(F.xxhash64("id").alias("key")), "key"))
     pick = F.conv(F.substring(F.md5(F.coalesce("text", F.lit("")).cast("binary")), 1, 8), 16, 10).cast("double") / 2**32
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
+    texts = texts.select("id", F.xxhash64("id").alias("key"), pick.alias("pick"), "text")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            chosen = np.flatnonzero(bloom.holds(sent.value, batch.column("key").to_numpy().view(np.uint64)))
+            for part in slices(batch.take(pa.array(chosen)), "text"):
                 owner, places = features(part.column("text"))
                 bounds = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(places.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column("label"), part.column("pick"), lists], names=["label", "pick", "places"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("pick"), lists], names=["id", "pick", "places"])
 
-    return joined.select("label", pick.alias("pick"), "text").mapInArrow(extract, "label int, pick double, places array<int>")
+    kind = texts.schema["id"].dataType.simpleString()
+    found = texts.mapInArrow(extract, f"id {kind}, pick double, places array<int>")
+    return found.join(known.hint("merge"), "id").select("label", "pick", "places")
 
 
 def log_count_ratios(rows: DataFrame, smoothing: float = 1.0) -> np.ndarray:
