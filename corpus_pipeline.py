@@ -40,7 +40,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = found.where("contaminated").select("text_fp").distinct()
     key = fresh_name(docs, "fp")
     keyed = docs.withColumn(key, fingerprint("text"))
-    return keyed.join(found.withColumnRenamed("text_fp", key), key, "left_anti").select(docs.columns)
+    return keyed.join(found.withColumnRenamed("text_fp", key).hint("merge"), key, "left_anti").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

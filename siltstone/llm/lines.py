@@ -126,7 +126,7 @@ def drop_repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str =
     key, text = fresh_name(docs, "key"), F.col(f"`{text_col}`")
     spans = later.select("id", "fp", F.struct("start", "stop", "n").alias("span")).distinct()
     spans = spans.groupBy("id", "fp").agg(F.array_sort(F.collect_list("span")).alias("spans"))
-    spans = stored(spans.select(F.struct("id", "fp").alias(key), "spans"), "chunk-spans").alias("s")
+    spans = stored(spans.select(F.struct("id", "fp").alias(key), "spans"), "chunk-spans").hint("merge").alias("s")
     keyed = docs.withColumn(key, F.struct(F.col(f"`{id_col}`").alias("id"), fingerprint(text_col).alias("fp"))).alias("d")
     joined = keyed.join(spans, F.col(f"d.{key}").eqNullSafe(F.col(f"s.{key}")), "left")
     spans, text = F.col("s.spans"), F.col(f"d.`{text_col}`")
