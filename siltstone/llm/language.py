@@ -15,6 +15,7 @@ from siltstone.llm.text import fresh_name, mix, slices
 SIZE = 1024
 _LETTERS = 64
 _NONE = "und"
+_PARTS = 32
 _classes: list[np.ndarray] = []
 
 
@@ -97,21 +98,21 @@ def _as_rows(held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
 def prototypes(counts: DataFrame, size: int = SIZE) -> dict[str, np.ndarray]:
     """The bundle of all n-gram vectors of each language, as a unit vector.
 
-    What the driver gets is one vector per language.
+    What the driver gets is ``_PARTS`` vectors per language.
     """
 
     def bundle(key: tuple, group: pa.Table) -> pa.Table:
         grams = group.column("gram").to_numpy()
-        order = np.argsort(grams)
-        times = group.column("times").to_numpy()[order].astype(np.float64)
-        letters, total = letter_vectors(size), np.zeros(size)
-        for at in range(0, len(grams), 4096):
-            part = order[at : at + 4096]
-            total += times[at : at + 4096] @ gram_vectors(grams[part], letters).astype(np.float64)
-        return pa.table({"lang": [key[0].as_py()], "vector": [total / max(np.linalg.norm(total), 1e-300)]})
+        times = group.column("times").to_numpy().astype(np.float64)
+        total = times @ gram_vectors(grams, letter_vectors(size)).astype(np.float64)
+        return pa.table({"lang": [key[0].as_py()], "vector": [total]})
 
-    rows = counts.groupBy("lang").applyInArrow(bundle, "lang string, vector array<double>").collect()
-    return {row.lang: np.array(row.vector) for row in sorted(rows, key=lambda r: r.lang)}
+    # whole numbers, so that parts add up to the same in any order
+    parts = counts.groupBy("lang", F.pmod("gram", F.lit(_PARTS)).alias("part")).applyInArrow(bundle, "lang string, vector array<double>")
+    totals: dict[str, np.ndarray] = {}
+    for row in parts.toLocalIterator():
+        totals[row.lang] = totals.get(row.lang, 0) + np.array(row.vector)
+    return {lang: totals[lang] / max(np.linalg.norm(totals[lang]), 1e-300) for lang in sorted(totals)}
 
 
 def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
@@ -124,7 +125,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "
     if clash := {c.lower() for c in docs.columns} & {"lang_pred", "score"}:
         raise ValueError(f"rename these columns first: {sorted(clash)}")
     names = sorted(profiles)
-    matrix = np.array([profiles[n] for n in names]).reshape(len(names), -1).astype(np.float32)
+    matrix = np.array([profiles[n] for n in names], np.float32)
     work = fresh_name(docs, "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
