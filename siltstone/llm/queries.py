@@ -87,8 +87,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", _SAID), (-7, 1, "assistant", _SAID)], kinds))
-    # every row is a message of its own, also where turns are tied
-    target = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text"))
+    # every row is a message of its own, also where turns are tied; equal rows are counted and then numbered,
+    # which comes out the same when a task runs again
+    rows = rows.select("conv_id", "turn", *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")))
+    counted = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.select("conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("copy"))
+    target = F.struct("turn", "role", F.md5(F.col("text").cast("binary")).alias("text"), "copy")
     events = rows.select("conv_id", target.alias("target"), F.col("turn").alias("seq"), F.lit("message").alias("kind"), "role", "text")
     rendered = chat.format_events(events, conversation="conv_id")
     return chat.read_back(rendered).withColumnRenamed("conversation", "conv_id")

@@ -65,3 +65,16 @@ def test_conversation_of_marks(spark):
     assert (row.n_turns, row.loss_chars) == (2, len(said))
     assert row.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
     assert row.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_equal_rows_are_turns_of_their_own(spark, tmp_path):
+    from siltstone.llm.queries import QUERIES
+
+    rows = [(1, 0, "user", "hi")] * 3 + [(1, 1, "assistant", "yes")] * 2 + [(2, 0, None, "x"), (2, 0, "", "x"), (2, 1, "user", None), (2, 1, "user", "")]
+    spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").repartition(4).write.parquet(f"{tmp_path}/conversations.parquet")
+    out = {r.conv_id: r for r in QUERIES["op6_chat_events"](spark, str(tmp_path)).collect()}
+    said = {1: "user\nhi\n" * 3 + "assistant\nyes\n" * 2, 2: "\nx\n" * 2 + "user\n\n" * 2}
+    assert {c: out[c].n_turns for c in said} == {1: 5, 2: 4}
+    assert {c: out[c].turns_sha256 for c in said} == {c: hashlib.sha256(x.encode()).hexdigest() for c, x in said.items()}
+    assert (out[1].loss_chars, out[1].loss_sha256) == (6, hashlib.sha256(b"yesyes").hexdigest())
+    assert out[1].formatted_chars == 3 * len("<s>[INST] user [/INST]\nhi\n</s>") + 2 * len("<s>[INST] assistant [/INST]\nyes\n</s>")
