@@ -143,9 +143,9 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", size: int = 5, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS
+    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", size: int = 5, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, wordless: bool = False
 ) -> DataFrame:
-    """(fp, class_id) for each distinct text that has words: the smallest id of its class.
+    """(fp, class_id) for each distinct text that has words, or with ``wordless`` for each: the smallest id of its class.
 
     Texts are linked when the weighted Jaccard similarity of their word shingles is at least
     ``threshold``; classes are connected components of links.  Candidates agree in a band; a
@@ -154,6 +154,7 @@ def near_duplicates(
     of them that shares the most bands with others.  What is then still apart from others of its
     bucket goes through an exact prefix filter, so no link between classes is lost, a large class
     is never expanded into its pairs, nor are texts that have one passage in common.  Ids that are null name no class; if all are, class_id is null.
+    Texts without words are linked to no other text.
     """
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     reps = stored(sketches(plain, "text", size, bands, rows).where(F.col("weight") > 0).dropDuplicates(["fp"]), "sketches")
@@ -178,7 +179,7 @@ def near_duplicates(
         links = links.unionByName(stored(similar(more, sets, threshold), "near-links"))
         labels = components(links)
     texts = plain.select("id", fingerprint("text").alias("fp")).groupBy("fp").agg(F.min("id").alias("id"))
-    texts = stored(texts.join(reps.select("fp"), "fp", "left_semi"), "texts")
+    texts = stored(texts if wordless else texts.join(reps.select("fp"), "fp", "left_semi"), "texts")
     named = stored(texts.join(labels.toDF("fp", "label"), "fp", "left").select("fp", "id", F.coalesce("label", "fp").alias("label")), "texts")
     classes = stored(named.groupBy("label").agg(F.min("id").alias("class_id")), "classes")
     return stored(named.join(classes, "label").select("fp", "class_id"), "near-classes")
@@ -261,8 +262,8 @@ def classify(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **
     """All rows of ``docs`` with class_id and kept.
 
     class_id is the smallest id of the class, for texts without words the own id: these are
-    never linked, not even with each other.  kept marks the rows with that id.  Repeated rows
-    with the same id and text share their marks.
+    never linked, not even with each other, unless ``wordless`` makes equal ones a class.  kept
+    marks the rows with that id.  Repeated rows with the same id and text share their marks.
     """
     if clash := {c.lower() for c in docs.columns} & {"class_id", "kept"}:
         raise ValueError(f"rename these columns first: {sorted(clash)}")

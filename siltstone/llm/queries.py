@@ -100,7 +100,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op7_dart_minhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = minhash.classify(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = minhash.classify(_table(spark, sf_dir, "documents").select("doc_id", "text"), wordless=True)
     return found.select("doc_id", "class_id", "kept")
 
 

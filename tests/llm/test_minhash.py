@@ -91,3 +91,12 @@ def test_components(spark):
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 200: 100, 300: 100, 900: 900}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_equal_texts_without_words_are_a_class(docs_of, untouched):
+    rows = [(5, ""), (3, None), (9, ""), (7, " \n"), (8, " \n"), (6, "\t"), (1, "word"), (None, "")]
+    out = minhash.classify(docs_of(rows), wordless=True)
+    untouched(out)
+    got = {(r.doc_id, r.text): (r.class_id, r.kept) for r in out.collect()}
+    assert got == {(d, t): (c, d == c) for (d, t), c in zip(rows, [3, 3, 3, 7, 7, 6, 1, 3], strict=True)}
+    assert sorted(r.doc_id for r in minhash.survivors(docs_of(rows), wordless=True).collect()) == [1, 3, 6, 7]
