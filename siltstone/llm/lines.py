@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -14,17 +15,13 @@ from siltstone.llm.stored import stored
 from siltstone.llm.text import BYTE_VALUES, Rolling, fingerprint, flat, fresh_name, signed, slices
 
 _NEWLINE = 0x0A
+Cut = Callable[[pa.Array], "Lines"]
 
 
-class Chunks:
-    """Chunks of the texts of a slice.
-
-    A chunk ends behind a line when the rolling hash of the last ``window`` lines, within the
-    document, is divisible by ``divisor``, and with the document.  As only those lines matter,
-    lines put in before a passage move the boundaries within it by ``window`` lines at most.
-    """
+class Lines:
+    """Lines of the texts of a slice: where each starts and stops in ``data``, its row and the rolling hash."""
 
-    def __init__(self, column: pa.Array, window: int, divisor: int):
+    def __init__(self, column: pa.Array):
         data, offsets = flat(column)
         lengths = np.diff(offsets)
         # a line feed behind every text closes its last line
@@ -38,10 +35,27 @@ class Chunks:
         starts = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else stops
         row = np.searchsorted(self.offsets, starts, side="right") - 1
         kept = lengths[row] > 0 if len(row) else np.zeros(0, bool)  # an empty text has no lines
-        starts, stops, row = starts[kept], stops[kept], row[kept]
-        self.lines = np.bincount(row, minlength=len(lengths))
+        self.starts, self.stops, self.owner = starts[kept], stops[kept], row[kept]
+        self.lines = np.bincount(self.owner, minlength=len(lengths))
+        self.rolling = Rolling(BYTE_VALUES[padded])
+
+    def text(self, i: int) -> bytes:
+        base = self.offsets[self.row[i]]
+        return self.data[base + self.start[i] : base + self.stop[i]].tobytes()
+
+
+class Chunks(Lines):
+    """Chunks of the texts of a slice.
+
+    A chunk ends behind a line when the rolling hash of the last ``window`` lines, within the
+    document, is divisible by ``divisor``, and with the document.  As only those lines matter,
+    lines put in before a passage move the boundaries within it by ``window`` lines at most.
+    """
+
+    def __init__(self, column: pa.Array, window: int, divisor: int):
+        super().__init__(column)
+        starts, stops, row, rolling = self.starts, self.stops, self.owner, self.rolling
         first_line = np.cumsum(self.lines) - self.lines
-        rolling = Rolling(BYTE_VALUES[padded])
         hashes = Rolling(rolling.of(starts, stops))
         at = np.arange(len(starts))
         ends = hashes.of(np.maximum(at - window + 1, first_line[row]), at + 1) % np.uint64(divisor) == 0
@@ -51,21 +65,37 @@ class Chunks:
         filled = np.concatenate([[0], np.cumsum(stops > starts)])
         self.row, self.count = row[first], last - first + 1
         self.start, self.stop = starts[first] - self.offsets[row[first]], stops[last] - self.offsets[row[first]]
+        self.middle = self.stop
         self.hash = rolling.of(starts[first], stops[last])
         self.several = filled[last + 1] - filled[first] > 1
 
-    def text(self, i: int) -> bytes:
-        base = self.offsets[self.row[i]]
-        return self.data[base + self.start[i] : base + self.stop[i]].tobytes()
 
+class Pairs(Lines):
+    """Every two neighbouring non-empty lines of the texts of a slice, with the empty ones between them.
 
-def chunk_counts(docs: DataFrame, text_col: str, window: int, divisor: int) -> DataFrame:
+    ``middle`` is where the second line starts.  Every passage of two or more non-empty lines is
+    covered by its pairs, wherever it stands.
+    """
+
+    def __init__(self, column: pa.Array):
+        super().__init__(column)
+        filled = np.flatnonzero(self.stops > self.starts)
+        within = self.owner[filled[1:]] == self.owner[filled[:-1]]
+        first, last = filled[:-1][within], filled[1:][within]
+        self.row, self.count = self.owner[first], last - first + 1
+        base = self.offsets[self.row]
+        self.start, self.middle, self.stop = self.starts[first] - base, self.starts[last] - base, self.stops[last] - base
+        self.hash = self.rolling.of(self.starts[first], self.stops[last])
+        self.several = np.ones(len(first), bool)
+
+
+def chunk_counts(docs: DataFrame, text_col: str, cut: Cut) -> DataFrame:
     """How often each chunk of several non-empty lines occurs in the corpus, by its hash."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                chunks = Chunks(part.column("text"), window, divisor)
+                chunks = cut(part.column("text"))
                 found, times = np.unique(chunks.hash[chunks.several], return_counts=True)
                 yield pa.RecordBatch.from_pydict({"hash": signed(found), "times": times.astype(np.int64)})
 
@@ -73,14 +103,14 @@ def chunk_counts(docs: DataFrame, text_col: str, window: int, divisor: int) -> D
     return counted.groupBy("hash").agg(F.sum("times").alias("times"))
 
 
-def occurrences(docs: DataFrame, wanted: np.ndarray, text_col: str, id_col: str, window: int, divisor: int) -> DataFrame:
-    """Chunks that the filter ``wanted`` lets pass: id, fp, hash, chunk (their bytes), start and stop (bytes), n (lines)."""
+def occurrences(docs: DataFrame, wanted: np.ndarray, text_col: str, id_col: str, cut: Cut) -> DataFrame:
+    """Chunks that the filter ``wanted`` lets pass: id, fp, hash, chunk (their bytes), start, middle and stop (bytes), n (lines)."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                chunks = Chunks(part.column("text"), window, divisor)
+                chunks = cut(part.column("text"))
                 chosen = np.flatnonzero(chunks.several & bloom.holds(sent.value, chunks.hash))
                 rows = pa.array(chunks.row[chosen])
                 yield pa.RecordBatch.from_pydict(
@@ -90,6 +120,7 @@ def occurrences(docs: DataFrame, wanted: np.ndarray, text_col: str, id_col: str,
                         "hash": signed(chunks.hash[chosen]),
                         "chunk": pa.array([chunks.text(i) for i in chosen], pa.binary()),
                         "start": chunks.start[chosen],
+                        "middle": chunks.middle[chosen],
                         "stop": chunks.stop[chosen],
                         "n": chunks.count[chosen].astype(np.int32),
                     }
@@ -97,7 +128,7 @@ def occurrences(docs: DataFrame, wanted: np.ndarray, text_col: str, id_col: str,
 
     plain = docs.select(F.col(id_col).alias("id"), fingerprint(text_col).alias("fp"), F.col(text_col).alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
-    return plain.mapInArrow(find, f"id {kind}, fp binary, hash bigint, chunk binary, start bigint, stop bigint, n int")
+    return plain.mapInArrow(find, f"id {kind}, fp binary, hash bigint, chunk binary, start bigint, middle bigint, stop bigint, n int")
 
 
 def line_count(text: Column) -> Column:
@@ -115,16 +146,46 @@ def drop_repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str =
     nor have empty ones; a text whose chunks all go becomes empty, its row stays.  Columns may
     have any names but n_lines and n_removed_lines.
     """
+    _refuse(docs)
+    later = _later(docs, text_col, id_col, partial(Chunks, window=window, divisor=divisor))
+    return _taken_out(docs, later.select("id", "fp", F.struct("start", "stop", "n").alias("span")).distinct(), text_col, id_col)
+
+
+def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """Like :func:`drop_repeated_chunks`, but for all repeated passages of two or more non-empty lines.
+
+    Every two neighbouring non-empty lines are a chunk, so no grid decides what is found.  A line goes
+    when it is in a chunk whose bytes also stand at a smaller (id, text fingerprint, place), and empty
+    lines go with the lines around them.  Of every line that goes an equal one stays at a smaller place.
+    """
+    _refuse(docs)
+    later = _later(docs, text_col, id_col, Pairs)
+    # chunks overlap by a line: each gives its first line with what is empty behind it, and its second
+    first = F.struct("start", (F.col("middle") - 1).alias("stop"), (F.col("n") - 1).alias("n"))
+    second = F.struct(F.col("middle").alias("start"), "stop", F.lit(1).alias("n"))
+    lines = later.select("id", "fp", F.explode(F.array(first, second)).alias("x"))
+    longest = lines.groupBy("id", "fp", "x.start").agg(F.max(F.struct("x.stop", "x.n")).alias("x"))
+    return _taken_out(docs, longest.select("id", "fp", F.struct("start", "x.stop", "x.n").alias("span")), text_col, id_col)
+
+
+def _refuse(docs: DataFrame) -> None:
     if clash := {c.lower() for c in docs.columns} & {"n_lines", "n_removed_lines"}:
         raise ValueError(f"rename these columns first: {sorted(clash)}")
-    repeated = chunk_counts(docs, text_col, window, divisor).where(F.col("times") > 1)
-    found = stored(occurrences(docs, bloom.build(stored(repeated, "chunk-hashes"), "hash"), text_col, id_col, window, divisor), "chunks")
+
+
+def _later(docs: DataFrame, text_col: str, id_col: str, cut: Cut) -> DataFrame:
+    """Occurrences of chunks whose bytes also stand at a smaller place."""
+    repeated = chunk_counts(docs, text_col, cut).where(F.col("times") > 1)
+    found = stored(occurrences(docs, bloom.build(stored(repeated, "chunk-hashes"), "hash"), text_col, id_col, cut), "chunks")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "fp", "start")
     first = found.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
     first = stored(first.where(F.col("times") > 1), "chunk-firsts").drop("times")
-    later = found.join(first, ["hash", "chunk"]).where(~place.eqNullSafe(F.col("first")))
+    return found.join(first, ["hash", "chunk"]).where(~place.eqNullSafe(F.col("first")))
+
+
+def _taken_out(docs: DataFrame, spans: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``docs`` without the lines in ``spans`` (id, fp, span), which do not overlap, and counts of lines."""
     key, text = fresh_name(docs, "key"), F.col(f"`{text_col}`")
-    spans = later.select("id", "fp", F.struct("start", "stop", "n").alias("span")).distinct()
     spans = spans.groupBy("id", "fp").agg(F.array_sort(F.collect_list("span")).alias("spans"))
     spans = stored(spans.select(F.struct("id", "fp").alias(key), "spans"), "chunk-spans").hint("merge").alias("s")
     keyed = docs.withColumn(key, F.struct(F.col(f"`{id_col}`").alias("id"), fingerprint(text_col).alias("fp"))).alias("d")

@@ -68,7 +68,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op4_line_chunks")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = lines.drop_repeated_chunks(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = lines.drop_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return kept.select("doc_id", "n_lines", "n_removed_lines", digest.alias("kept_sha256"))
 

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pyarrow as pa
 
-from siltstone.llm.lines import Chunks, drop_repeated_chunks
+from siltstone.llm.lines import Chunks, drop_repeated_chunks, drop_repeated_lines
 
 
 def chunks_of(text, window=3, divisor=4):
@@ -57,3 +57,49 @@ def test_clean_texts_stay(docs_of):
     rows = [(i, "\n".join(f"{i} {j}" for j in range(20))) for i in range(5)]
     assert {r.n_removed_lines for r in drop_repeated_chunks(docs_of(rows)).collect()} == {0}
     assert drop_repeated_chunks(docs_of([]).limit(0)).collect() == []
+
+
+def passages(rows):
+    """Rows without repeated passages, by comparing lists of lines: (id, text, lines, lines that went)."""
+    places = defaultdict(set)
+    found = []
+    for doc, text in rows:
+        split = (text or "").split("\n") if text else []
+        filled = [i for i, line in enumerate(split) if line]
+        digest = hashlib.md5((text or "").encode()).digest()
+        for i, j in zip(filled, filled[1:], strict=False):
+            places[tuple(split[i : j + 1])].add((doc is None, doc or 0, digest, i))
+        found.append((split, filled, digest))
+    out = []
+    for (doc, text), (split, filled, digest) in zip(rows, found, strict=True):
+        gone = set()
+        for i, j in zip(filled, filled[1:], strict=False):
+            if min(places[tuple(split[i : j + 1])]) != (doc is None, doc or 0, digest, i):
+                gone |= set(range(i, j + 1))
+        rest = None if text is None else "\n".join(line for i, line in enumerate(split) if i not in gone)
+        out.append((doc, rest, len(split), len(gone)))
+    return out
+
+
+def test_repeated_passages(docs_of, texts, untouched):
+    block = "\n".join(f"line {i} of a long notice" for i in range(30))
+    rows = texts + [(70 + i, f"head {i}\nmore {i}\n{block}\ntail {i}") for i in range(5)] + [(80, f"{block}\n\n\n{block}"), (81, "\n\n\n"), (82, "x\n\ny\n")]
+    rows += [(83, "x\n\ny"), (84, "x\n\ny\nz\nö\n"), (85, "q\nz\nö\nx\ny"), (86, "same\nsame\nsame\nsame"), (87, "q\n\nx\n\ny\n\n"), (83, "x\n\ny")]
+    out = drop_repeated_lines(docs_of(rows))
+    untouched(out)
+    got = [tuple(r) for r in out.select("doc_id", "text", "n_lines", "n_removed_lines").collect()]
+    assert sorted(got, key=repr) == sorted(passages(rows), key=repr)
+    assert {r[3] for r in got if r[0] in (71, 72, 73, 74)} == {30}
+    # no line is lost altogether
+    assert {x for _, t in rows for x in (t or "").split("\n")} == {x for _, t, *_ in got for x in (t or "").split("\n")} | {""}
+
+
+def test_query_finds_short_passages(spark, tmp_path):
+    from siltstone.llm.queries import QUERIES
+
+    # runs of two to five lines in documents of three to eight
+    rows = [(i, "\n".join([f"own {i}", *(f"shared {i % 4} {j}" for j in range(2 + i % 4)), f"end {i}", f"after {i}"][i % 2 :])) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_removed_lines for r in QUERIES["op4_line_chunks"](spark, str(tmp_path)).collect()}
+    assert got == {i: 0 if i < 4 else 2 + i % 4 for i in range(40)}
+    assert got == {doc: gone for doc, _, _, gone in passages(rows)}
