@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.repeats import Search, WordUnits, as_runs, covered, repeated_spans, with_spans
-from siltstone.llm.text import fresh_name, ranges, slices
+from siltstone.llm.text import fresh_name, joined_words, ranges, slices
 
 GRAM = 8
 SHARD_ROWS = 6000
@@ -216,7 +216,7 @@ def drop_repeated_words(docs: DataFrame, text_col: str = "text", window: int = 3
             for part in slices(batch, names[1]):
                 units = WordUnits(part.column(names[1]))
                 gone = covered(part.column(names[0]), units.offsets)
-                kept = _joined(units, ~gone)
+                kept = joined_words(units.words, units.data, ~gone)
                 removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[units.offsets])
                 arrays = [part.column(i) for i in range(part.num_columns - 2)]
                 arrays += [pa.array(np.diff(units.offsets)), pa.array(removed), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())]
@@ -227,14 +227,3 @@ def drop_repeated_words(docs: DataFrame, text_col: str = "text", window: int = 3
 
     kinds = "n_words bigint, n_removed bigint, kept_sha256 string" + (", kept string" if texts else "")
     return joined.mapInArrow(cut, f"{fields}, {kinds}")
-
-
-def _joined(units: WordUnits, keep: np.ndarray) -> list[bytes]:
-    """The kept words of each document, joined by single spaces."""
-    starts, lengths = units.words.starts[keep], (units.words.stops - units.words.starts)[keep] + 1
-    data = np.append(units.data, np.uint8(0x20))[ranges(starts, lengths)]
-    stops = np.cumsum(lengths)
-    data[stops - 1] = 0x20
-    kept = np.concatenate([[0], np.cumsum(keep)])[units.offsets]
-    ends = np.concatenate([[0], stops])[kept]
-    return [data[a : max(b - 1, a)].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, decontaminate, fm_index, language, lines, minhash, quality, sql, suffixes, vectors
+from siltstone.llm import bpe, chat, decontaminate, fm_index, language, lines, minhash, quality, runs, sql, suffixes, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +116,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(docs.select("doc_id", "text"), items, columns=["doc_id"])
     digest = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def with_planted_run(docs: DataFrame) -> DataFrame:
+    """In a tenth of the documents, by their id, the words from some place on become repetitions of the first few there."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen, g = crc % 10 == 0, F.floor(crc / 10)
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+    n = F.size(words).cast("bigint")
+    a = g % n
+    p = F.floor((n - a) / (g % 8 + 3)) + 1
+    repeated = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+    text = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(repeated, F.lit(1), (n - a).cast("int"))), " ")
+    return docs.withColumn("text", F.when(chosen & (n > 0), text).otherwise(F.col("text")))
+
+
+@_query("op11_periodic_runs", sql.PERIODIC_RUNS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_run(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.collapse_runs(docs)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    digests = F.sha2(text.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", *digests)

@@ -78,3 +78,43 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(learned) AS B
   sha256(learned) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
 FROM said
 """
+
+_CRC32 = """
+  list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({id} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: xor(crc >> 8, crc_of.bytes[(xor(crc, byte) & 255) + 1]))
+"""
+_CRC_TABLE = """crc_of AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS bytes
+)"""
+
+PERIODIC_RUNS = r"""
+WITH ${table}, numbered AS (
+  SELECT row_number() OVER () AS d, doc_id, xor(${crc}, 4294967295) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents, crc_of
+), placed AS (
+  SELECT d, doc_id, words, len(words) AS n, h, h // 10 AS g, (h // 10) % greatest(len(words), 1) AS a FROM numbered
+), docs AS (
+  SELECT d, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: words[CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END + 1])
+    ELSE words END AS words FROM placed
+), tokens AS (
+  SELECT d, n, i, words[i + 1] AS word FROM docs, unnest(range(n)) AS t(i)
+), same AS (
+  SELECT x.d, x.i, y.i - x.i AS p FROM tokens x JOIN tokens y ON x.d = y.d AND x.word = y.word AND y.i > x.i AND (y.i - x.i) * 3 <= x.n
+), streaks AS (
+  SELECT d, p, i, i - row_number() OVER (PARTITION BY d, p ORDER BY i) AS streak FROM same
+), stretches AS (
+  SELECT d, p, min(i) AS a, count(*) + p AS size FROM streaks GROUP BY d, p, streak HAVING count(*) + p >= greatest(24, 3 * p)
+), runs AS (SELECT d, a, size, min(p) AS p FROM stretches GROUP BY d, a, size),
+listed AS (
+  SELECT d, count(*) AS n_runs, string_agg(a || ',' || size || ',' || p || chr(10), '' ORDER BY a, p) AS lines FROM runs GROUP BY d
+), best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY d ORDER BY size / CAST(p AS DOUBLE) DESC, a, p) = 1
+), gone AS (SELECT DISTINCT d, i FROM runs, unnest(range(a + p, a + size)) AS t(i)),
+kept AS (SELECT d, string_agg(word, ' ' ORDER BY i) AS kept FROM tokens ANTI JOIN gone USING (d, i) GROUP BY d)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, a AS start, size AS length, p AS period, 1000 * size // p AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (d) LEFT JOIN best USING (d) LEFT JOIN kept USING (d)
+""".replace("${table}", _CRC_TABLE).replace("${crc}", _CRC32.format(id="doc_id"))

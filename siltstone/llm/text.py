@@ -102,6 +102,26 @@ class Rolling:
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
+def run_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hashes of runs of bytes of any length: the sum of their pieces of eight bytes, each mixed with its place.
+
+    Unlike a polynomial modulo 2**64 it has no long runs that always agree (Thue-Morse words).
+    """
+    lengths = stops - starts
+    pieces = (lengths + 7) >> 3
+    first = np.cumsum(pieces) - pieces
+    number = ranges(np.zeros(len(pieces), np.int64), pieces)
+    at = np.repeat(starts, pieces) + number * 8
+    padded = np.append(data, np.zeros(8, np.uint8))
+    values = np.lib.stride_tricks.sliding_window_view(padded, 8)[at].view("<u8").ravel()
+    held = np.minimum(np.repeat(lengths, pieces) - number * 8, 8).astype(np.uint64)
+    values &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * (np.uint64(8) - held))
+    values = mix(mix(values + held) ^ mix((number.astype(np.uint64) + np.uint64(1)) * _BASE))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    return mix(sums[first + pieces] - sums[first] + lengths.astype(np.uint64) * _BASE)
+
+
 class Words:
     """Words of many documents: byte spans, hashes and which words belong to which document."""
 
@@ -118,12 +138,39 @@ class Words:
         self.starts = np.flatnonzero(inside & ~before)
         self.stops = np.flatnonzero(inside & ~after) + 1
         self.offsets = np.searchsorted(self.starts, offsets)
-        self.hashes = Rolling(BYTE_VALUES[data]).of(self.starts, self.stops)
+        self.hashes = run_hashes(data, self.starts, self.stops)
 
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
 
 
+def word_ids(words: Words, data: np.ndarray) -> np.ndarray:
+    """A number for each word, equal for equal bytes only: hashes name the words, and every word is compared with the first of its name."""
+    _, first, ids = np.unique(words.hashes, return_index=True, return_inverse=True)
+    lengths = words.stops - words.starts
+    model = first[ids]
+    wrong = lengths != lengths[model]
+    places = ranges(words.starts, np.where(wrong, 0, lengths))
+    others = ranges(words.starts[model], np.where(wrong, 0, lengths))
+    differs = data[places] != data[others]
+    if wrong.any() or differs.any():
+        names: dict[bytes, int] = {}
+        parts = [data[a:b].tobytes() for a, b in zip(words.starts.tolist(), words.stops.tolist(), strict=True)]
+        ids = np.array([names.setdefault(p, len(names)) for p in parts], np.int64)
+    return ids.astype(np.int64)
+
+
+def joined_words(words: Words, data: np.ndarray, keep: np.ndarray) -> list[bytes]:
+    """The words with ``keep`` of each document, joined by single spaces."""
+    starts, lengths = words.starts[keep], (words.stops - words.starts)[keep] + 1
+    text = np.append(data, np.uint8(0x20))[ranges(starts, lengths)]
+    stops = np.cumsum(lengths)
+    text[stops - 1] = 0x20
+    kept = np.concatenate([[0], np.cumsum(keep)])[words.offsets]
+    ends = np.concatenate([[0], stops])[kept]
+    return [text[a : max(b - 1, a)].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 #: Word bytes between white space: all but space, tab, line feed, vertical tab, form feed and carriage return.
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
