@@ -138,4 +138,5 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
     text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
     digests = F.sha2(text.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")
-    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", *digests)
+    strongest = [F.col(f"run_{c}").alias(c) for c in ("start", "length", "period")]
+    return found.select("doc_id", "n_runs", *strongest, "exponent_milli", *digests)

@@ -20,7 +20,7 @@ from siltstone.llm.text import NOT_SPACE, Words, flat, fresh_name, joined_words,
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 #: Grid places looked at in one go.
 POINTS = 1 << 21
-_ADDED = ("n_runs", "start", "length", "period", "exponent_milli", "runs", "collapsed")
+_ADDED = ("n_runs", "run_start", "run_length", "run_period", "exponent_milli", "runs", "collapsed")
 
 
 def _shifts() -> np.ndarray:
@@ -219,8 +219,8 @@ def collapse_runs(docs: DataFrame, text_col: str = "text", least: int = 24, time
 
     Words stand between white space, unchanged, and are compared by their bytes.  A run is a stretch of words
     with smallest period q (words q apart are the same), of ``least`` words and ``times`` periods at
-    least, that no neighbouring word extends.  Added are n_runs; start (word number), length, period and
-    exponent_milli (thousandths of periods, rounded down) of the run with most periods, ties to the smaller
+    least, that no neighbouring word extends.  Added are n_runs; run_start (word number), run_length, run_period
+    and exponent_milli (thousandths of periods, rounded down) of the run with most periods, ties to the smaller
     start, then period, null without any run; runs (array of start, length, period, by start and period);
     and collapsed, the words that no run contains behind its first period, joined by single spaces.
 
@@ -258,6 +258,6 @@ def collapse_runs(docs: DataFrame, text_col: str = "text", least: int = 24, time
                 old = [part.column(i) for i in range(part.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*old, *new], names=[*part.schema.names[:-1], *_ADDED])
 
-    kinds = "n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint"
+    kinds = "n_runs bigint, run_start bigint, run_length bigint, run_period bigint, exponent_milli bigint"
     kinds += ", runs array<struct<start:bigint,length:bigint,period:bigint>>, collapsed string"
     return docs.withColumn(work, F.col(f"`{text_col}`")).mapInArrow(collapse, f"{fields}, {kinds}")

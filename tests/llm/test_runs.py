@@ -99,7 +99,7 @@ def test_documents(docs_of, texts, untouched):
     out = runs.collapse_runs(docs_of(rows))
     untouched(out)
     got = [
-        (r.doc_id, r.text, r.n_runs, r.start, r.length, r.period, r.exponent_milli, [tuple(x) for x in r.runs], r.collapsed) for r in out.collect()
+        (r.doc_id, r.text, r.n_runs, r.run_start, r.run_length, r.run_period, r.exponent_milli, [tuple(x) for x in r.runs], r.collapsed) for r in out.collect()
     ]
     want = [(i, t, *row_of(words_of(t))) for i, t in rows]
     assert sorted(got, key=repr) == sorted(want, key=repr)
@@ -109,8 +109,8 @@ def test_documents(docs_of, texts, untouched):
 
 def test_no_rows(docs_of, spark):
     assert runs.collapse_runs(docs_of([]).limit(0)).collect() == []
-    with pytest.raises(ValueError, match="period"):
-        runs.collapse_runs(spark.createDataFrame([(1, "a", 2)], "doc_id int, text string, period int"))
+    with pytest.raises(ValueError, match="run_period"):
+        runs.collapse_runs(spark.createDataFrame([(1, "a", 2)], "doc_id int, text string, run_period int"))
 
 
 def planted(doc, text):
