@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, decontaminate, fm_index, language, lines, minhash, quality, runs, sql, suffixes, vectors
+from siltstone.llm import bpe, chat, decontaminate, filter_audit, fm_index, language, lines, minhash, quality, runs, sql, suffixes, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,3 +140,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = F.sha2(text.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")
     strongest = [F.col(f"run_{c}").alias(c) for c in ("start", "length", "period")]
     return found.select("doc_id", "n_runs", *strongest, "exponent_milli", *digests)
+
+
+@_query("op12_filter_audit", sql.FILTER_ORDERS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

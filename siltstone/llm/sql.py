@@ -118,3 +118,42 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, a AS start, size AS length, p AS p
   sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
 FROM docs LEFT JOIN listed USING (d) LEFT JOIN best USING (d) LEFT JOIN kept USING (d)
 """.replace("${table}", _CRC_TABLE).replace("${crc}", _CRC32.format(id="doc_id"))
+
+FILTER_ORDERS = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), failing AS (
+  SELECT part, coalesce(list_contains(l.good, 1), false) AS good, coalesce(list_contains(l.bad, 1), false) AS toxic,
+    CASE WHEN len(words) < 200 THEN 'A' ELSE '' END ||
+    CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END ||
+    CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) THEN 'C' ELSE '' END ||
+    CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END ||
+    CASE WHEN min(d.doc_id) OVER (PARTITION BY text) < d.doc_id THEN 'E' ELSE '' END AS fails
+  FROM docs d LEFT JOIN (SELECT doc_id, list(quality) AS good, list(toxic) AS bad FROM labels GROUP BY doc_id) l ON l.doc_id = d.doc_id
+), counted AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failing GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+orders AS (
+  SELECT '' AS filter_order
+  UNION ALL
+  SELECT filter_order || letter FROM orders, letters WHERE NOT contains(filter_order, letter)
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS filter, filter_order[1:step - 1] AS earlier
+  FROM orders, unnest([1, 2, 3, 4, 5]) AS t(step) WHERE length(filter_order) = 5
+), met AS (
+  SELECT part, filter_order, step, filter, n, good, toxic, contains(fails, filter) AS failed, fails = filter AS alone,
+    length(translate(earlier, fails, '')) < length(earlier) AS gone
+  FROM counted, steps
+), summed AS (
+  SELECT part, filter_order, step, filter,
+    coalesce(sum(n) FILTER (NOT gone AND NOT failed), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND failed), 0) AS removed,
+    coalesce(sum(n) FILTER (gone AND failed), 0) AS redundant, coalesce(sum(n) FILTER (alone), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND failed), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND failed), 0) AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, filter
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM summed
+"""
