@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, decontaminate, filter_audit, fm_index, language, lines, minhash, quality, runs, sql, suffixes, vectors
+from siltstone.llm import bpe, chat, decontaminate, filter_audit, fm_index, language, lines, minhash, quality, runs, sql, suffixes, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +145,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op12_filter_audit", sql.FILTER_ORDERS)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op13_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs.where(remainder() != 2).select("doc_id", "text"), labels)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", _held_out(), "score", "predicted")
