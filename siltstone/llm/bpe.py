@@ -3,7 +3,7 @@
 Every byte prefix of a piece has exactly one valid last token: the token with which the
 encoding of that prefix ends.  Storing it for each prefix gives the encoding of every
 prefix by walking back, lets text be appended without redoing what is there, and confines
-an edit to the prefixes behind it.
+an edit to the prefixes near it.
 """
 
 from __future__ import annotations
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.text import fresh_name
 
-#: Runs of text whose ids an encoder remembers, and as many older ones.
-REMEMBERED = 400_000
+#: Bytes of runs of text with their ids that an encoder remembers, and as many of older ones, and of pairs of tokens.
+REMEMBERED_BYTES = 16 << 20
+#: What a remembered run costs beside its own length, and what a pair of tokens costs.
+_RUN_BYTES, _PAIR_BYTES = 180, 100
 _NEVER = 1 << 60
 
 
@@ -81,7 +83,7 @@ class Vocabulary:
         other make a token that ranks before what ends either part.  Of equal ranks the
         leftmost is merged first.  A token ranks behind its parts, so ranks tell the time.
         """
-        if len(self.pairs) > 2 * REMEMBERED:
+        if len(self.pairs) * _PAIR_BYTES > REMEMBERED_BYTES:
             self.pairs.clear()
         apart, rank_of = True, self.ranks.get
         for tail, tail_ends in self._tails[left]:
@@ -105,9 +107,29 @@ class PrefixEncoding:
 
     def append(self, more: bytes) -> None:
         """Adds bytes at the end; what is stored for shorter prefixes stays as it is."""
-        last, size, neighbours, known = self.last, self.size, self.vocabulary.neighbours, self.vocabulary.pairs.get
         done = len(self.piece)
         self.piece += more
+        self._fill(done)
+
+    def replace(self, start: int, stop: int, new: bytes) -> int:
+        """Replaces bytes, and says how many prefixes were encoded anew.
+
+        What is stored up to ``start`` stays.  Behind the edit, once as many last tokens in a row as the longest
+        token has bytes are the old ones, moved by the change of length, all further ones are.
+        """
+        last, size = self.last, self.size
+        edited, shift = start + len(new), len(new) - (stop - start)
+        self.piece = self.piece[:start] + new + self.piece[stop:]
+        self.last, self.size = last[: start + 1], size[: start + 1]
+        done = self._fill(start, (last, edited, shift))
+        self.last += last[done + 1 - shift :]
+        self.size += size[done + 1 - shift :]
+        return done - start
+
+    def _fill(self, done: int, old: tuple[list[int], int, int] | None = None) -> int:
+        """Finds the last tokens of the prefixes beyond ``done``, up to the end or until they settle into the old ones."""
+        last, size, neighbours, known = self.last, self.size, self.vocabulary.neighbours, self.vocabulary.pairs.get
+        same = 0
         for at, (rank, length) in self.vocabulary.endings(self.piece, max(0, done - self.vocabulary.longest)):
             if at < done:
                 continue
@@ -120,15 +142,14 @@ class PrefixEncoding:
                 last.append(rank)
                 size.append(length)
                 done += 1
+                if old is not None:
+                    before, edited, shift = old
+                    same = same + 1 if done > edited and rank == before[done - shift] else 0
+                    if same == self.vocabulary.longest:
+                        return done
         if done != len(self.piece):
             raise ValueError(f"no token ends with byte {self.piece[done]:#04x}")
-
-    def replace(self, start: int, stop: int, new: bytes) -> None:
-        """Replaces bytes; only prefixes that reach beyond ``start`` are encoded again."""
-        tail = new + self.piece[stop:]
-        self.piece = self.piece[:start]
-        del self.last[start + 1 :], self.size[start + 1 :]
-        self.append(tail)
+        return done
 
     def ids(self, size: int | None = None) -> list[int]:
         """The encoding of the first ``size`` bytes."""
@@ -146,6 +167,7 @@ class Encoder(dict):
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self._older: dict[str, bytes] = {}
+        self._held = 0
         self.vocabulary = Vocabulary(ranks)
         self.pieces = regex.compile(pattern).findall
         self._inside_spaces = regex.compile(r" \s").search
@@ -169,12 +191,21 @@ class Encoder(dict):
             ids = [i for piece in self.pieces(run) for i in self.piece(piece.encode())]
             packed = array("I", ids).tobytes()
         if len(run) < 64:
-            if len(self) >= REMEMBERED:  # what is still in use comes back from the older ones
+            self._held += len(run) + len(packed) + _RUN_BYTES
+            if self._held > REMEMBERED_BYTES:  # what is still in use comes back from the older ones
                 self._older = dict(self)
                 self.clear()
+                self._held = 0
             self[run] = packed
         return packed
 
+    def forget(self) -> None:
+        """Keeps the vocabulary alone."""
+        self.clear()
+        self._older = {}
+        self._held = 0
+        self.vocabulary.pairs.clear()
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
@@ -236,5 +267,6 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text_col: s
                 new.append(pa.ListArray.from_arrays(pa.array(bounds), flat))
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, *new], names=[*batch.schema.names[:-1], *added])
+        encoder.forget()
 
     return docs.withColumn(work, F.col(f"`{text_col}`")).mapInArrow(run, ", ".join([*fields, *kinds]))

@@ -47,6 +47,8 @@ def test_appends_and_edits(encoder, first, more, data):
     stop = data.draw(st.integers(start, len(whole)))
     new = data.draw(st.binary(max_size=5))
     held.replace(start, stop, new)
+    whole_again = bpe.PrefixEncoding(vocabulary, held.piece)
+    assert (held.last, held.size) == (whole_again.last, whole_again.size)
     assert held.piece == whole[:start] + new + whole[stop:] and held.ids() == fresh(held.piece)
 
 
@@ -63,10 +65,24 @@ def test_documents(docs_of, texts, untouched, reference):
 
 
 def test_memory_is_bounded(encoder, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 2000)
     small = bpe.Encoder(bpe.load_ranks(PATH), public_tokenizers.PATTERN)
     text = " ".join(f"word{i}" for i in range(200))
-    assert small.encode(text) == encoder.encode(text) and len(small) <= 10
+    assert small.encode(text) == encoder.encode(text)
+    assert 0 < len(small) <= 11 and len(small._older) <= 11 and len(small.vocabulary.pairs) <= 21
+    small.forget()
+    assert not small and not small._older and not small.vocabulary.pairs and small.encode(text) == encoder.encode(text)
+
+
+def test_edits_stay_near(encoder):
+    """A short edit in a long piece leaves what is stored far behind it alone, and the ids are right."""
+    piece = "".join(f"abc{i}def" for i in range(3000)).encode()
+    for start, stop, new in ((9000, 9003, b"q"), (0, 1, b""), (15000, 15000, b"inserted bytes"), (len(piece) - 2, len(piece), b"")):
+        held = bpe.PrefixEncoding(encoder.vocabulary, piece)
+        redone = held.replace(start, stop, new)
+        fresh = bpe.PrefixEncoding(encoder.vocabulary, piece[:start] + new + piece[stop:])
+        assert (held.piece, held.last, held.size, held.ids()) == (fresh.piece, fresh.last, fresh.size, fresh.ids())
+        assert redone <= len(new) + 3 * encoder.vocabulary.longest
 
 
 def test_unknown_id(encoder):

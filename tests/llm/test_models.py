@@ -77,5 +77,85 @@ def test_features_cover_the_end_of_a_long_text():
 def test_dual_coordinate_descent_separates():
     rows = [np.array([i % 7, 10 + (i % 2)]) for i in range(200)]
     labels = np.array([i % 2 for i in range(200)])
-    weights, bias = quality.dual_coordinate_descent(rows, labels, np.ones(16), 1.0, 20)
+    sample = quality.Sample(np.concatenate(rows), np.arange(201) * 2, labels, np.ones(200))
+    weights, bias = quality.dual_coordinate_descent(sample, np.arange(200), np.ones(16), 1.0, 20)
     assert all((weights[r].sum() + bias > 0) == bool(y) for r, y in zip(rows, labels, strict=True))
+
+
+def _two_kinds(n):
+    return [(i, f"good word{i} here" if i % 2 else f"bad$$ {i}!! ##{i}") for i in range(n)]
+
+
+@pytest.mark.parametrize("sample_rows", [1, 2, 20])
+def test_small_samples(spark, docs_of, sample_rows):
+    """Forty labelled rows of two texts, of which some sample by the hash of the text would be empty."""
+    docs = docs_of([(i, "one text" if i % 4 else "the other $$") for i in range(40)])
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(40)], "doc_id long, quality int")
+    rows = quality.labelled_features(docs, labels)
+    scored = quality.score(docs, quality.train(rows, sample_rows))
+    found = {r.text: r.score for r in scored.collect()}
+    assert found["one text"] > found["the other $$"]
+
+
+def test_a_copied_text_is_one_of_the_sample(spark, docs_of):
+    docs = docs_of(_two_kinds(60) + [(1000 + i, "good word copied often") for i in range(3000)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1000 + i, 1) for i in range(3000)], "doc_id long, quality int")
+    rows = quality.labelled_features(docs, labels)
+    taken = quality._lowest(rows, 1, 10, 31).collect()
+    assert len(taken) == 10 and sum(r.times for r in quality._lowest(rows, 1, 100, 31).collect()) == 3030
+    got = {r.doc_id: r.predicted for r in quality.score(docs, quality.train(rows, 20)).collect()}
+    assert np.mean([got[i] == i % 2 for i in range(60)]) > 0.9 and got[1000] == 1
+
+
+def test_quality_by_hand(spark, docs_of):
+    """Ratios, margins and scores again in plain Python, from sets of features."""
+    rows = _two_kinds(30)
+    docs, labels = docs_of(rows), {i: i % 2 for i in range(30)}
+    found = quality.labelled_features(docs, spark.createDataFrame(list(labels.items()), "doc_id long, quality int"))
+    model = quality.train(found)
+    sets = {}
+    for i, text in rows:
+        owner, places = quality.features(pa.array([text]))
+        sets[i] = set(places.tolist())
+    counts = np.ones((2, quality.PLACES))
+    for i, places in sets.items():
+        for place in places:
+            counts[labels[i], place] += 1
+    seen = sorted(set().union(*sets.values()))
+    ratios = {p: np.log(counts[1, p] / counts[1].sum()) - np.log(counts[0, p] / counts[0].sum()) for p in seen}
+    assert np.allclose(model.squares[seen], [ratios[p] ** 2 for p in seen]) and np.count_nonzero(model.squares) <= len(seen)
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    for i, places in sets.items():
+        margin = (sum(model.weights[p] for p in places) + model.bias) / np.sqrt(sum(ratios.get(p, 0) ** 2 for p in places) + 1)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(model.slope * margin + model.shift))))
+
+
+def test_languages_by_hand(docs_of):
+    """Profiles and cosines again in plain Python, trigram by trigram."""
+    rows = [(1, "the cat and the dog"), (2, "der Hund und die Katze"), (3, "a dog, the cat"), (4, "und der Hund!"), (5, None), (6, "42")]
+    docs = docs_of(rows).withColumn("lang", F.when(F.col("doc_id") == 1, "en").when(F.col("doc_id") == 2, "de"))
+    found = language.identify(docs, language.prototypes(language.gram_counts(docs)))
+    letters = language.letter_vectors().astype(int)
+
+    def bundle(text):
+        codes = [0]
+        for c in (text or "").lower():
+            code = ord(c) - 96 if "a" <= c <= "z" else 0
+            if code or codes[-1]:
+                codes.append(code)
+        codes += [0] * (codes[-1] != 0)
+        total = np.zeros(language.SIZE)
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            if b:  # around a letter
+                total += np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c]
+        return total
+
+    profiles = {"en": bundle(rows[0][1]), "de": bundle(rows[1][1])}
+    for r in found.collect():
+        own = bundle(dict(rows)[r.doc_id])
+        if not own.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosines = {k: own @ v / np.linalg.norm(own) / np.linalg.norm(v) for k, v in profiles.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        assert r.lang_pred == best and r.score == pytest.approx(max(cosines[best], 0), abs=1e-5)
