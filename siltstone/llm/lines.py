@@ -1,25 +1,32 @@
-"""Line dedup: content-defined chunks of lines that occur more than once are kept only where they come first."""
+"""Line dedup: content-defined chunks of lines, compared by their bytes, stay only where they come first.
+
+A chunk ends where the rolling hash of the line hashes says so, wherever the lines stand, so copies of a passage
+are cut alike but for what lies around its ends.  Chunks of several lines that also stand at a smaller place
+go whole.  Around them, and in chunks that have no earlier copy, passages are followed line by
+line: there every two neighbouring lines are a chunk of their own, also across boundaries.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import partial
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import bloom
 from siltstone.llm.stored import stored
-from siltstone.llm.text import BYTE_VALUES, Rolling, fingerprint, flat, fresh_name, signed, slices
+from siltstone.llm.text import Rolling, fingerprint, flat, fresh_name, ranges, run_hashes, signed, slices
 
 _NEWLINE = 0x0A
-Cut = Callable[[pa.Array], "Lines"]
+#: A chunk ends behind a line when the rolling hash of the last WINDOW lines is divisible by DIVISOR.
+WINDOW, DIVISOR = 1, 2
+_PAIR = np.uint64(0xA24BAED4963EE407)
 
 
 class Lines:
-    """Lines of the texts of a slice: where each starts and stops in ``data``, its row and the rolling hash."""
+    """Lines of the texts of a slice: where each starts and stops in ``data``, and its row; an empty text has none."""
 
     def __init__(self, column: pa.Array):
         data, offsets = flat(column)
@@ -34,176 +41,166 @@ class Lines:
         stops = np.flatnonzero(padded == _NEWLINE)
         starts = np.concatenate([[0], stops[:-1] + 1]) if len(stops) else stops
         row = np.searchsorted(self.offsets, starts, side="right") - 1
-        kept = lengths[row] > 0 if len(row) else np.zeros(0, bool)  # an empty text has no lines
+        kept = lengths[row] > 0 if len(row) else np.zeros(0, bool)
         self.starts, self.stops, self.owner = starts[kept], stops[kept], row[kept]
         self.lines = np.bincount(self.owner, minlength=len(lengths))
-        self.rolling = Rolling(BYTE_VALUES[padded])
-
-    def text(self, i: int) -> bytes:
-        base = self.offsets[self.row[i]]
-        return self.data[base + self.start[i] : base + self.stop[i]].tobytes()
 
 
 class Chunks(Lines):
-    """Chunks of the texts of a slice.
+    """Chunks of the non-empty lines of each text, with the empty ones between them: row, start, stop, hash, and several.
 
-    A chunk ends behind a line when the rolling hash of the last ``window`` lines, within the
-    document, is divisible by ``divisor``, and with the document.  As only those lines matter,
-    lines put in before a passage move the boundaries within it by ``window`` lines at most.
-    """
-
-    def __init__(self, column: pa.Array, window: int, divisor: int):
-        super().__init__(column)
-        starts, stops, row, rolling = self.starts, self.stops, self.owner, self.rolling
-        first_line = np.cumsum(self.lines) - self.lines
-        hashes = Rolling(rolling.of(starts, stops))
-        at = np.arange(len(starts))
-        ends = hashes.of(np.maximum(at - window + 1, first_line[row]), at + 1) % np.uint64(divisor) == 0
-        ends[(first_line + self.lines)[self.lines > 0] - 1] = True
-        last = np.flatnonzero(ends)
-        first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
-        filled = np.concatenate([[0], np.cumsum(stops > starts)])
-        self.row, self.count = row[first], last - first + 1
-        self.start, self.stop = starts[first] - self.offsets[row[first]], stops[last] - self.offsets[row[first]]
-        self.middle = self.stop
-        self.hash = rolling.of(starts[first], stops[last])
-        self.several = filled[last + 1] - filled[first] > 1
-
-
-class Pairs(Lines):
-    """Every two neighbouring non-empty lines of the texts of a slice, with the empty ones between them.
-
-    ``middle`` is where the second line starts.  Every passage of two or more non-empty lines is
-    covered by its pairs, wherever it stands.
+    Only the last ``window`` lines of the text decide where a chunk ends, so lines put in before a passage move
+    the boundaries within it by ``window`` lines at most.
     """
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, window: int = WINDOW, divisor: int = DIVISOR):
         super().__init__(column)
-        filled = np.flatnonzero(self.stops > self.starts)
-        within = self.owner[filled[1:]] == self.owner[filled[:-1]]
-        first, last = filled[:-1][within], filled[1:][within]
-        self.row, self.count = self.owner[first], last - first + 1
-        base = self.offsets[self.row]
-        self.start, self.middle, self.stop = self.starts[first] - base, self.starts[last] - base, self.stops[last] - base
-        self.hash = self.rolling.of(self.starts[first], self.stops[last])
-        self.several = np.ones(len(first), bool)
-
-
-def chunk_counts(docs: DataFrame, text_col: str, cut: Cut) -> DataFrame:
-    """How often each chunk of several non-empty lines occurs in the corpus, by its hash."""
+        self.filled = np.flatnonzero(self.stops > self.starts)
+        owner, at = self.owner[self.filled], np.arange(len(self.filled))
+        self._hashes = run_hashes(self.data, self.starts[self.filled], self.stops[self.filled])
+        self._rolling = Rolling(self._hashes)
+        counts = np.bincount(owner, minlength=len(self.lines))
+        opening = np.cumsum(counts) - counts
+        ends = self._rolling.of(np.maximum(at - window + 1, opening[owner]), at + 1) % np.uint64(divisor) == 0
+        ends[(opening + counts)[counts > 0] - 1] = True
+        self.last = np.flatnonzero(ends)
+        self.first = np.concatenate([[0], self.last[:-1] + 1]) if len(self.last) else self.last
+        self.row, self.several = owner[self.first], self.last > self.first
+        self.start, self.stop = self._span(self.first, self.last)
+        self.hash = self._rolling.of(self.first, self.last + 1)
+
+    def _span(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        base = self.offsets[self.owner[self.filled[first]]]
+        return self.starts[self.filled[first]] - base, self.stops[self.filled[last]] - base
+
+    def pairs(self) -> tuple[np.ndarray, ...]:
+        """Every two neighbours: (row, start, stop, hash, start of the chunk that holds both or -1 where they meet at a boundary)."""
+        owner = self.owner[self.filled]
+        first = np.flatnonzero(owner[1:] == owner[:-1]) if len(owner) else owner
+        chunk = np.searchsorted(self.last, first)
+        within = np.where(self.last[chunk] > first, self.start[chunk], -1) if len(first) else first
+        return owner[first], *self._span(first, first + 1), self._rolling.of(first, first + 2) ^ _PAIR, within
+
+    def text(self, row: int, start: int, stop: int) -> bytes:
+        base = self.offsets[row]
+        return self.data[base + start : base + stop].tobytes()
+
+
+def hash_counts(docs: DataFrame, text_col: str, window: int, divisor: int) -> DataFrame:
+    """How often each chunk of several lines, and each two neighbouring lines, occur in the corpus, by hash."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                chunks = cut(part.column("text"))
-                found, times = np.unique(chunks.hash[chunks.several], return_counts=True)
+                chunks = Chunks(part.column("text"), window, divisor)
+                found, times = np.unique(np.concatenate([chunks.hash[chunks.several], chunks.pairs()[3]]), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"hash": signed(found), "times": times.astype(np.int64)})
 
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "hash bigint, times bigint")
     return counted.groupBy("hash").agg(F.sum("times").alias("times"))
 
 
-def occurrences(docs: DataFrame, wanted: np.ndarray, text_col: str, id_col: str, cut: Cut) -> DataFrame:
-    """Chunks that the filter ``wanted`` lets pass: id, fp, hash, chunk (their bytes), start, middle and stop (bytes), n (lines)."""
+def occurrences(docs: DataFrame, wanted: np.ndarray, text_col: str, id_col: str, window: int, divisor: int) -> DataFrame:
+    """Chunks and pairs that the filter ``wanted`` lets pass: id, fp, whole (a chunk), within, hash, body (their bytes), start, stop."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                chunks = cut(part.column("text"))
-                chosen = np.flatnonzero(chunks.several & bloom.holds(sent.value, chunks.hash))
-                rows = pa.array(chunks.row[chosen])
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "id": part.column("id").take(rows),
-                        "fp": part.column("fp").take(rows),
-                        "hash": signed(chunks.hash[chosen]),
-                        "chunk": pa.array([chunks.text(i) for i in chosen], pa.binary()),
-                        "start": chunks.start[chosen],
-                        "middle": chunks.middle[chosen],
-                        "stop": chunks.stop[chosen],
-                        "n": chunks.count[chosen].astype(np.int32),
-                    }
-                )
+                chunks = Chunks(part.column("text"), window, divisor)
+                own = tuple(x[chunks.several] for x in (chunks.row, chunks.start, chunks.stop, chunks.hash, chunks.start))
+                row, start, stop, hashes, within = (np.concatenate(x) for x in zip(own, chunks.pairs(), strict=True))
+                whole = np.arange(len(row)) < len(own[0])
+                chosen = bloom.holds(sent.value, hashes)
+                row, start, stop, hashes, within, whole = (x[chosen] for x in (row, start, stop, hashes, within, whole))
+                bodies = [chunks.text(*x) for x in zip(row.tolist(), start.tolist(), stop.tolist(), strict=True)]
+                columns = {
+                    "id": part.column("id").take(pa.array(row)),
+                    "fp": part.column("fp").take(pa.array(row)),
+                    "whole": whole,
+                    "within": within,
+                    "hash": signed(hashes),
+                    "body": pa.array(bodies, pa.binary()),
+                    "start": start,
+                    "stop": stop,
+                }
+                yield pa.RecordBatch.from_pydict(columns)
 
     plain = docs.select(F.col(id_col).alias("id"), fingerprint(text_col).alias("fp"), F.col(text_col).alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
-    return plain.mapInArrow(find, f"id {kind}, fp binary, hash bigint, chunk binary, start bigint, middle bigint, stop bigint, n int")
-
-
-def line_count(text: Column) -> Column:
-    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
-    return F.when(F.length(text) > 0, breaks + 1).otherwise(0).cast("bigint")
+    return plain.mapInArrow(find, f"id {kind}, fp binary, whole boolean, within bigint, hash bigint, body binary, start bigint, stop bigint")
 
 
-def drop_repeated_chunks(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 3, divisor: int = 4) -> DataFrame:
-    """All rows and columns of ``docs`` with repeated chunks of lines taken out, and n_lines, n_removed_lines.
+def drop_repeated_lines(
+    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW, divisor: int = DIVISOR
+) -> DataFrame:
+    """All rows and columns of ``docs`` without repeated passages of two or more non-empty lines, and n_lines, n_removed_lines.
 
-    A chunk counts when it has two or more non-empty lines.  Of chunks with the same bytes the
-    one with the smallest (id, text fingerprint, place) stays, null ids last; every other goes.
-    Chunks are found by hash, but grouped by their bytes.  Rows that agree in id and text are one
-    document that was repeated: they are treated alike.  Null texts stay null and have no lines,
-    nor have empty ones; a text whose chunks all go becomes empty, its row stays.  Columns may
-    have any names but n_lines and n_removed_lines.
+    A line goes when it is in a passage whose bytes also stand at a smaller (id, text fingerprint, place), null
+    ids last; empty lines go with the lines around them.  Of every line that goes an equal one stays at a smaller
+    place.  Chunks are found by hash, but compared by their bytes; ``window`` and ``divisor`` say how they
+    are cut, and change nothing in the result.  Rows that agree in id and text are one document that was repeated:
+    they are treated alike.  Null texts stay null and have no lines, nor have empty ones; a text whose lines
+    all go becomes empty, its row stays.  Columns may have any names but n_lines and n_removed_lines.
     """
-    _refuse(docs)
-    later = _later(docs, text_col, id_col, partial(Chunks, window=window, divisor=divisor))
-    return _taken_out(docs, later.select("id", "fp", F.struct("start", "stop", "n").alias("span")).distinct(), text_col, id_col)
-
-
-def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Like :func:`drop_repeated_chunks`, but for all repeated passages of two or more non-empty lines.
-
-    Every two neighbouring non-empty lines are a chunk, so no grid decides what is found.  A line goes
-    when it is in a chunk whose bytes also stand at a smaller (id, text fingerprint, place), and empty
-    lines go with the lines around them.  Of every line that goes an equal one stays at a smaller place.
-    """
-    _refuse(docs)
-    later = _later(docs, text_col, id_col, Pairs)
-    # chunks overlap by a line: each gives its first line with what is empty behind it, and its second
-    first = F.struct("start", (F.col("middle") - 1).alias("stop"), (F.col("n") - 1).alias("n"))
-    second = F.struct(F.col("middle").alias("start"), "stop", F.lit(1).alias("n"))
-    lines = later.select("id", "fp", F.explode(F.array(first, second)).alias("x"))
-    longest = lines.groupBy("id", "fp", "x.start").agg(F.max(F.struct("x.stop", "x.n")).alias("x"))
-    return _taken_out(docs, longest.select("id", "fp", F.struct("start", "x.stop", "x.n").alias("span")), text_col, id_col)
-
-
-def _refuse(docs: DataFrame) -> None:
     if clash := {c.lower() for c in docs.columns} & {"n_lines", "n_removed_lines"}:
         raise ValueError(f"rename these columns first: {sorted(clash)}")
-
-
-def _later(docs: DataFrame, text_col: str, id_col: str, cut: Cut) -> DataFrame:
-    """Occurrences of chunks whose bytes also stand at a smaller place."""
-    repeated = chunk_counts(docs, text_col, cut).where(F.col("times") > 1)
-    found = stored(occurrences(docs, bloom.build(stored(repeated, "chunk-hashes"), "hash"), text_col, id_col, cut), "chunks")
+    repeated = stored(hash_counts(docs, text_col, window, divisor).where(F.col("times") > 1).select("hash"), "chunk-hashes")
+    found = stored(occurrences(docs, bloom.build(repeated, "hash"), text_col, id_col, window, divisor), "chunks")
+    chunks = stored(_later(found.where("whole")).distinct(), "later-chunks")
+    # a chunk that has an earlier copy is settled, and so are all pairs in it: its first copy stays to be compared with others
+    settled = F.struct("id", "fp", F.col("start").alias("within"))
+    own = F.struct("id", "fp", "within").eqNullSafe(F.col("settled"))
+    open_ = found.where("NOT whole").join(chunks.select(settled.alias("settled")).hint("merge"), own, "left_anti")
+    spans = chunks.unionByName(_later(stored(open_, "open-pairs"))).distinct()
+    spans = spans.groupBy("id", "fp").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return _taken_out(docs, stored(spans, "line-spans"), text_col, id_col)
+
+
+def _later(found: DataFrame) -> DataFrame:
+    """Occurrences (id, fp, start, stop) whose bytes also stand at a smaller place."""
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "fp", "start")
-    first = found.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
-    first = stored(first.where(F.col("times") > 1), "chunk-firsts").drop("times")
-    return found.join(first, ["hash", "chunk"]).where(~place.eqNullSafe(F.col("first")))
+    first = found.groupBy("hash", "body").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
+    first = stored(first.where(F.col("times") > 1).drop("times"), "chunk-firsts")
+    return found.join(first, ["hash", "body"]).where(~place.eqNullSafe(F.col("first"))).select("id", "fp", "start", "stop")
 
 
 def _taken_out(docs: DataFrame, spans: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``docs`` without the lines in ``spans`` (id, fp, span), which do not overlap, and counts of lines."""
-    key, text = fresh_name(docs, "key"), F.col(f"`{text_col}`")
-    spans = spans.groupBy("id", "fp").agg(F.array_sort(F.collect_list("span")).alias("spans"))
-    spans = stored(spans.select(F.struct("id", "fp").alias(key), "spans"), "chunk-spans").hint("merge").alias("s")
+    """``docs`` without the lines that lie in the spans (id, fp, spans) of their text, and counts of lines."""
+    key, gone, work = fresh_name(docs, "key"), fresh_name(docs, "spans"), fresh_name(docs, "text")
+    spans = spans.select(F.struct("id", "fp").alias(key), F.col("spans").alias(gone)).hint("merge").alias("s")
     keyed = docs.withColumn(key, F.struct(F.col(f"`{id_col}`").alias("id"), fingerprint(text_col).alias("fp"))).alias("d")
     joined = keyed.join(spans, F.col(f"d.{key}").eqNullSafe(F.col(f"s.{key}")), "left")
-    spans, text = F.col("s.spans"), F.col(f"d.`{text_col}`")
-    columns = [_without(text, spans).alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns]
-    gone = F.coalesce(F.aggregate(spans, F.lit(0).cast("bigint"), lambda total, x: total + x["n"]), F.lit(0).cast("bigint"))
-    return joined.select(*columns, line_count(F.coalesce(text, F.lit(""))).alias("n_lines"), gone.alias("n_removed_lines"))
-
-
-def _without(text: Column, spans: Column) -> Column:
-    """The text without the lines in ``spans``, each of which takes the line feed behind it along."""
-    data = text.cast("binary")
-    size = F.octet_length(text)
-    begins = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(spans, lambda x: F.least(x["stop"] + 1, size.cast("bigint"))))
-    ends = F.concat(F.transform(spans, lambda x: x["start"]), F.array(size.cast("bigint")))
-    pieces = F.zip_with(begins, ends, lambda a, b: F.decode(F.substring(data, (a + 1).cast("int"), (b - a).cast("int")), "UTF-8"))
-    rest = F.array_join(pieces, "")
-    at_end = F.element_at(spans, -1)["stop"] >= size
-    rest = F.when(at_end & F.endswith(rest, F.lit("\n")), F.left(rest, F.length(rest) - 1)).otherwise(rest)
-    return F.when(spans.isNull(), text).otherwise(rest)
+    joined = joined.select(*(F.col(f"d.`{c}`") for c in docs.columns), F.col(f"s.{gone}"), F.col(f"d.`{text_col}`").alias(work))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    place = docs.columns.index(text_col)
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, work):
+                texts, lines = part.column(work), Lines(part.column(work))
+                kept = ~_covered(lines, part.column(gone))
+                sizes = np.where(kept, lines.stops + 1 - lines.starts, 0)
+                data = lines.data[ranges(lines.starts, sizes)]
+                ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(lines.lines)])]
+                # without the line feed that closes a text
+                rest = [None if null else data[a : max(b - 1, a)].tobytes().decode() for a, b, null in zip(ends[:-1], ends[1:], texts.is_null().to_pylist(), strict=True)]
+                columns = [part.column(i) for i in range(part.num_columns - 2)]
+                columns[place] = pa.array(rest, pa.string())
+                removed = np.bincount(lines.owner, ~kept, part.num_rows).astype(np.int64)
+                columns += [pa.array(lines.lines.astype(np.int64)), pa.array(removed)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-2], "n_lines", "n_removed_lines"])
+
+    return joined.mapInArrow(take, f"{fields}, n_lines bigint, n_removed_lines bigint")
+
+
+def _covered(lines: Lines, spans: pa.Array) -> np.ndarray:
+    """Which lines lie in the spans of their row."""
+    known = spans.fill_null(pa.scalar([], spans.type)) if spans.null_count else spans
+    counts = np.diff(known.offsets.to_numpy())
+    base = lines.offsets[np.repeat(np.arange(len(counts)), counts)]
+    values = known.flatten()
+    edges = np.zeros(len(lines.starts) + 1, np.int64)
+    np.add.at(edges, np.searchsorted(lines.starts, base + values.field("start").to_numpy()), 1)
+    np.add.at(edges, np.searchsorted(lines.starts, base + values.field("stop").to_numpy()), -1)
+    return np.cumsum(edges)[:-1] > 0

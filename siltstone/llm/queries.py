@@ -66,7 +66,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.drop("text")
 
 
-@_query("op4_line_chunks")
+@_query("op4_line_chunks", sql.REPEATED_LINES)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
@@ -98,13 +98,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(rendered).withColumnRenamed("conversation", "conv_id")
 
 
-@_query("op7_dart_minhash")
+@_query("op7_dart_minhash", sql.NEAR_COPIES)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.classify(_table(spark, sf_dir, "documents").select("doc_id", "text"), wordless=True)
     return found.select("doc_id", "class_id", "kept")
 
 
-@_query("op8_suffix_family")
+@_query("op8_suffix_family", sql.REPEATED_BYTES)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffixes.drop_repeated_bytes(_table(spark, sf_dir, "documents").select("doc_id", "text"), texts=False)
     return kept.drop("text")

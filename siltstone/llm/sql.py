@@ -72,7 +72,7 @@ WITH turns AS (
     coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, md5(text)), '') AS learned,
     sum(length('<s>[INST] ' || role || ' [/INST]' || chr(10) || text || chr(10) || '</s>')
       + len(regexp_extract_all(role, '</?s>|\[/?INST\]')) + len(regexp_extract_all(text, '</?s>|\[/?INST\]'))) AS chars
-  FROM (SELECT DISTINCT * FROM turns) GROUP BY conv_id
+  FROM turns GROUP BY conv_id
 )
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars,
   sha256(learned) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
@@ -157,3 +157,69 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
   CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
 FROM summed
 """
+
+REPEATED_LINES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, md5(coalesce(text, '')) AS fp,
+    CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
+), filled AS (
+  SELECT n, doc_id, fp, lines, i, lead(i) OVER (PARTITION BY n ORDER BY i) AS j
+  FROM docs, unnest(range(1, len(lines) + 1)) AS t(i) WHERE lines[i] <> ''
+), placed AS (
+  SELECT n, i, j, rank() OVER (PARTITION BY array_to_string(lines[i:j], chr(10)) ORDER BY doc_id NULLS LAST, fp, i) AS place
+  FROM filled WHERE j IS NOT NULL
+), gone AS (SELECT DISTINCT n, l FROM placed, unnest(range(i, j + 1)) AS t(l) WHERE place > 1),
+kept AS (
+  SELECT n, string_agg(lines[l], chr(10) ORDER BY l) AS kept
+  FROM (SELECT n, lines, l FROM docs, unnest(range(1, len(lines) + 1)) AS t(l)) ANTI JOIN gone USING (n, l) GROUP BY n
+), counts AS (SELECT n, count(*) AS n_removed_lines FROM gone GROUP BY n)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, coalesce(n_removed_lines, 0) AS n_removed_lines, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (n) LEFT JOIN counts USING (n)
+"""
+
+REPEATED_BYTES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, hex(encode(coalesce(text, ''))) AS data, length(hex(encode(coalesce(text, '')))) // 2 AS size FROM documents
+), pieces AS (  -- of 500 places each, with the bytes that windows from there reach
+  SELECT n, size, k, substr(data, k * 1000 + 1, 1398) AS piece FROM docs, unnest(range(size // 500 + 1)) AS t(k)
+), windows AS (
+  SELECT n, k * 500 + j AS i, md5(substr(piece, j * 2 + 1, 400)) AS win FROM pieces, unnest(range(500)) AS t(j) WHERE k * 500 + j + 200 <= size
+), repeated AS (SELECT win FROM windows GROUP BY win HAVING count(*) > 1),
+marked AS (SELECT n, i, lag(i) OVER (PARTITION BY n ORDER BY i) AS before FROM windows SEMI JOIN repeated USING (win)),
+numbered AS (SELECT n, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY n ORDER BY i) AS span FROM marked),
+spans AS (SELECT n, span, min(i) AS start, max(i) + 200 AS stop FROM numbered GROUP BY n, span),
+edges AS (
+  SELECT n, stop AS low, lead(start) OVER (PARTITION BY n ORDER BY start) AS high FROM spans
+  UNION ALL SELECT n, 0, min(start) FROM spans GROUP BY n
+), kept AS (
+  SELECT n, string_agg(substr(data, low * 2 + 1, (coalesce(high, size) - low) * 2), '' ORDER BY low) AS kept FROM edges JOIN docs USING (n) GROUP BY n
+), counts AS (SELECT n, sum(stop - start) AS n_removed, count(*) AS n_spans FROM spans GROUP BY n)
+SELECT doc_id, CAST(size AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, data))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (n) LEFT JOIN counts USING (n)
+"""
+
+NEAR_COPIES = r"""
+WITH RECURSIVE docs AS (
+  SELECT text, doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words
+  FROM (SELECT coalesce(text, '') AS text, min(doc_id) AS doc_id FROM documents GROUP BY ALL)
+), numbered AS (SELECT row_number() OVER () AS n, * FROM docs),
+shingles AS (
+  SELECT n, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle
+  FROM numbered, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS t(i) WHERE len(words) > 0
+), elements AS (SELECT n, md5(shingle) AS shingle, row_number() OVER (PARTITION BY n, shingle) AS layer FROM shingles),
+weights AS (SELECT n, count(*) AS weight FROM elements GROUP BY n),
+shared AS (
+  SELECT x.n AS a, y.n AS b, count(*) AS same FROM elements x JOIN elements y ON x.shingle = y.shingle AND x.layer = y.layer AND x.n < y.n GROUP BY x.n, y.n
+), links AS (
+  SELECT a, b FROM shared JOIN weights x ON x.n = a JOIN weights y ON y.n = b WHERE same >= 0.8 * (x.weight + y.weight - same)
+), ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT n AS a, n AS b FROM numbered
+  UNION
+  SELECT r.a, w.b FROM reached r JOIN ways w ON r.b = w.a
+), classes AS (SELECT a, min(doc_id) AS class_id FROM reached JOIN numbered ON n = b GROUP BY a),
+counts AS (SELECT a, count(*) AS n_links FROM ways GROUP BY a)
+SELECT d.doc_id, class_id, d.doc_id IS NOT DISTINCT FROM class_id AS kept
+FROM documents d JOIN numbered ON numbered.text = coalesce(d.text, '') JOIN classes ON a = n
+"""

@@ -229,8 +229,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_entries: int = SAMPLE_ENTRI
     for label, found in counts.items():
         rows = max(int(found.n * min(1.0, sample_entries / 2 / found.entries)), 1)
         lowest = texts.where(F.col("label") == label)
-        if rows < found.n:
-            lowest = lowest.orderBy("pick", "fp").limit(rows)
+        if rows < found.n:  # hashes spread evenly: few more than wanted reach the task that sorts
+            lowest = lowest.where(F.col("pick") <= (rows + 10 * rows**0.5 + 40) / found.n).orderBy("pick", "fp").limit(rows)
         sample = lowest if sample is None else sample.unionByName(lowest)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
