@@ -166,9 +166,11 @@ def decontaminate(
     A document word is hit when it lies inside an occurrence of a window of an item.  Null
     and empty texts have no words; items without words match nothing; equal items count each;
     rows with equal texts get equal results, repeated rows stay.  A null item id is no item in
-    ``item_ids`` but its windows hit.  Columns may have any names.
+    ``item_ids`` but its windows hit.  ``columns`` may have any names but those added.
     """
     columns = list(docs.columns) if columns is None else columns
+    if clash := {c.lower() for c in columns} & {"text_fp", "n_words", "n_hit", "n_items", "item_ids", "contaminated"}:
+        raise ValueError(f"rename these columns first: {sorted(clash)}")
     windows = stored(item_windows(items, item_col, item_text_col, window, shingle), "windows")
     every = windows.select(F.explode("shingles").alias("shingle")).distinct()
     sizes = list(range(1, shingle + 1)) if windows.where(F.col("n") < shingle).limit(1).count() else [shingle]

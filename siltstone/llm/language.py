@@ -65,7 +65,10 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def gram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """How often each trigram occurs in the texts of each language: lang, gram, times."""
+    """How often each trigram occurs in the texts of each language: lang, gram, times.
+
+    Null languages teach nothing, null and empty texts have no trigrams, repeated rows count each.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -96,7 +99,7 @@ def _as_rows(held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def prototypes(counts: DataFrame, size: int = SIZE) -> dict[str, np.ndarray]:
-    """The bundle of all n-gram vectors of each language, as a unit vector.
+    """The bundle of all n-gram vectors of each language, as a unit vector; no counts give no profiles.
 
     What the driver gets is ``_PARTS`` vectors per language.
     """

@@ -277,7 +277,11 @@ def classify(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **
 
 
 def survivors(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, one of each class; of rows with equal id and text, one."""
+    """The rows of ``docs`` that are kept, one of each class; of rows with equal id and text, one.
+
+    Null texts are texts without words: each stays, or with ``wordless`` one of all null and empty ones.  Rows without
+    id stay if their whole class has none.
+    """
     kept = classify(docs, text_col, id_col, **options).where("kept").select(docs.columns)
     key = fresh_name(docs, "fp")
     keyed = kept.withColumn(key, F.struct(F.col(f"`{id_col}`").alias("id"), fingerprint(text_col).alias("fp")))

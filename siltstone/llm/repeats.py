@@ -4,11 +4,16 @@ Every window of ``window`` units (words or bytes) has an anchor, the run of ``gr
 within it whose hash is smallest, so equal windows have equal anchors.  Windows of an anchor
 that occurs only once can't repeat.  The others form segments, which go to the shard of their
 anchor; there an index finds the windows they share.  Equal segments are one, with a count.
+
+An anchor with too many segments for a shard is split by a second anchor of the same windows, under another
+hash: windows of a segment that have it at the same place are again a segment, equal ones are one, and
+those with the same pair of anchors go together.  So it goes on with more hashes while some are too many.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +23,12 @@ from pyspark.sql import functions as F
 from siltstone.llm import bloom
 from siltstone.llm.stored import stored
 from siltstone.llm.text import BYTE_VALUES, NOT_SPACE, Rolling, Words, fingerprint, flat, mix, ranges, signed, slices, starts_within
-from siltstone.operators.skew import hot_keys, key_counts
+from siltstone.operators.skew import fits_broadcast
 
 _LOW = np.uint64(0xFFFFFFFF)
 _SECOND = np.uint64(0x8CB92BA72F3D8DD7)
-#: An anchor with more than a part in so many of all distinct segments is split into its windows.
-HOT_SHARES = 512
+#: How often segments are split by one more anchor.  What is then still too many goes window by window.
+SPLITS = 4
 _KNOWN = 200_000
 
 
@@ -141,36 +146,95 @@ def occurrences(docs: DataFrame, wanted: np.ndarray, units: Units, window: int,
     return docs.mapInArrow(find, "fp binary, start bigint, seg binary, anchor bigint, at int, windows int, payload binary")
 
 
-def single_windows(segments: DataFrame, units: Units, window: int) -> DataFrame:
-    """Each window of the segments as a segment of its own: seg, at, payload, times, and its parent and index there."""
+_PARTS = "parent binary, index int, seg binary, key bigint, at int, windows int, payload binary, times bigint"
+
+
+def split_segments(segments: DataFrame, units: Units, window: int, gram: int, level: int) -> DataFrame:
+    """Runs of windows of each segment that have the same anchor under one more hash, as segments of their own.
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parent and index say where a part begins; key stands for all anchors that its windows have and how far they
+    are apart.  With ``level`` 0 every window is a part, and its key stands for all of its text.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "payload", 1 << 16):
+            for part in slices(batch, "payload", 1 << 18):
                 text = units(part.column("payload"))
                 counts = part.column("windows").to_numpy().astype(np.int64)
                 row = np.repeat(np.arange(len(counts)), counts)
                 index = ranges(np.zeros(len(counts), np.int64), counts)
                 start = text.offsets[row] + index
-                at = part.column("at").to_numpy()[row] - index
                 first, second = Rolling(text.values), Rolling(mix(text.values ^ _SECOND))
+                own = text.offsets[:-1] + part.column("at").to_numpy()  # the first anchor of each segment
+                if level:
+                    grams = mix(first.grams(gram) ^ mix(np.array([level], np.uint64)))
+                    keys = (grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64)
+                    anchor = (_sliding_minimum(keys, window - gram + 1)[start] & _LOW).astype(np.int64)
+                    opening = np.ones(len(row), bool)
+                    opening[1:] = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1])
+                else:
+                    opening = np.ones(len(row), bool)
+                low = np.flatnonzero(opening)
+                high = np.append(low[1:], len(row))
+                row, index, begin = row[low], index[low], start[low]
+                stop = begin + (high - low) - 1 + window
+                at = own[row] - begin
                 mark = at.astype(np.uint64)
-                ids = np.stack([mix(first.of(start, start + window) + mark), mix(second.of(start, start + window) ^ mark)], axis=1).tobytes()
-                rows = pa.array(row)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "parent": part.column("seg").take(rows),
-                        "index": index.astype(np.int32),
-                        "seg": pa.array([ids[i : i + 16] for i in range(0, len(ids), 16)], pa.binary()),
-                        "at": at.astype(np.int32),
-                        "payload": pa.array([text.cut(s, s + window) for s in start.tolist()], pa.binary()),
-                        "times": part.column("times").take(rows),
-                    }
-                )
+                ids = np.stack([mix(first.of(begin, stop) + mark), mix(second.of(begin, stop) ^ mark)], axis=1)
+                if level:
+                    apart = (anchor[low] - own[row]).view(np.uint64)
+                    key = mix(part.column("key").to_numpy().view(np.uint64)[row] ^ mix(grams[anchor[low]] + apart * _SECOND))
+                else:
+                    key = ids[:, 0]
+                raw, rows = ids.tobytes(), pa.array(row)
+                columns = {
+                    "parent": part.column("seg").take(rows),
+                    "index": index.astype(np.int32),
+                    "seg": pa.array([raw[i : i + 16] for i in range(0, len(raw), 16)], pa.binary()),
+                    "key": signed(np.ascontiguousarray(key)),
+                    "at": at.astype(np.int32),
+                    "windows": (high - low).astype(np.int32),
+                    "payload": pa.array([text.cut(a, b) for a, b in zip(begin.tolist(), stop.tolist(), strict=True)], pa.binary()),
+                    "times": part.column("times").take(rows),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return segments.select("seg", "key", "at", "windows", "payload", "times").mapInArrow(split, _PARTS)
+
+
+def balanced(distinct: DataFrame, units: Units, window: int, gram: int, most: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Segments (seg, key, at, windows, payload, times) of keys that have at most ``most``, and where parts stand in what was split.
+
+    Both are lists, from the segments as they were to the parts of parts.  Parts of keys that occur only once
+    are left out: none of their windows repeats.
+    """
+    settled, places = [], []
+    current = distinct
+    for level in [*range(1, SPLITS + 1), 0]:
+        hot = stored(current.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("key"), "hot-anchors")
+        if hot.isEmpty():
+            break
+        # more hot keys than can be sent around are joined by a shuffle
+        known = F.broadcast(hot) if fits_broadcast(hot) else hot
+        settled.append(current.join(known, "key", "left_anti"))
+        parts = stored(split_segments(current.join(known, "key", "left_semi"), units, window, gram, level), "parts")
+        several = parts.groupBy("key").agg(F.sum("times").alias("n")).where(F.col("n") > 1).select("key")
+        several = bloom.build(stored(several, "part-anchors"), "key")
+        parts = stored(_passing(parts, several), "repeated-parts")
+        places.append(parts.select("parent", "index", "seg"))
+        first = [F.first(c).alias(c) for c in ("key", "at", "windows", "payload")]
+        current = stored(parts.groupBy("seg").agg(F.sum("times").alias("times"), *first), "distinct-parts")
+    return [*settled, current], places
+
+
+def _passing(parts: DataFrame, wanted: np.ndarray) -> DataFrame:
+    sent = parts.sparkSession.sparkContext.broadcast(wanted)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.holds(sent.value, batch.column("key").to_numpy().view(np.uint64))))
 
-    return segments.select("seg", "at", "windows", "payload", "times").mapInArrow(
-        cut, "parent binary, index int, seg binary, at int, payload binary, times bigint"
-    )
+    return parts.mapInArrow(choose, _PARTS)
 
 
 #: What an index gets and gives: rows of one shard (seg, at, windows, payload, times) to (seg, runs of repeated windows).
@@ -199,31 +263,24 @@ def repeated_spans(docs: DataFrame, text_col: str, units: Units, window: int, gr
     """fp and spans (array of start, stop in units, sorted) of each distinct text in which a window repeats.
 
     Rows count each for themselves: a text on two rows repeats as a whole.  A shard gets
-    about ``shard_rows`` distinct segments.
+    about ``shard_rows`` distinct segments; an anchor with more of them is split.
     """
     plain = docs.select(fingerprint(text_col).alias("fp"), F.col(f"`{text_col}`").alias("text"))
     anchors = stored(anchor_counts(plain, units, window, gram).where(F.col("times") > 1).select("anchor"), "anchors")
     found = stored(occurrences(plain, bloom.build(anchors, "anchor"), units, window, gram), "segments")
     first = [F.first(c, ignorenulls=True).alias(c) for c in ("anchor", "at", "windows", "payload")]
-    distinct = found.groupBy("seg").agg(F.count(F.lit(1)).alias("times"), *first)
-    distinct = stored(distinct, "distinct-segments")
-    hot = stored(hot_keys(key_counts(distinct, ["anchor"]), HOT_SHARES).select("anchor"), "hot-anchors")
-    rest = distinct.join(F.broadcast(hot), "anchor", "left_anti")  # fewer than HOT_SHARES anchors
-    cut = stored(single_windows(distinct.join(F.broadcast(hot), "anchor", "left_semi"), units, window), "single-windows")
-    alone = cut.groupBy("seg").agg(F.sum("times").alias("times"), F.first("at").alias("at"), F.first("payload").alias("payload"))
-    shards = max(distinct.count() // shard_rows, 1) * 2
+    distinct = stored(found.groupBy("seg").agg(F.count(F.lit(1)).alias("times"), *first), "distinct-segments")
+    settled, parts = balanced(distinct.withColumnRenamed("anchor", "key"), units, window, gram, shard_rows)
+    shards = max(sum(s.count() for s in settled) // shard_rows, 1) * 2
     columns = ["seg", "at", "windows", "payload", "times"]
-    rest = rest.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), *columns)
-    alone = alone.withColumn("windows", F.lit(1)).select(F.pmod(F.xxhash64("seg"), F.lit(shards)).alias("shard"), *columns)
-    runs = stored(rest.unionByName(alone).groupBy("shard").applyInArrow(search, _FOUND), "runs")
-    repeated = cut.select("parent", "index", "seg").join(runs.select("seg"), "seg")
-    windows = repeated.groupBy("parent").agg(F.array_sort(F.collect_list("index")).alias("w"))
-    # neighbouring windows make one run
-    first = F.filter("w", lambda x: ~F.array_contains("w", x - 1))
-    last = F.filter("w", lambda x: ~F.array_contains("w", x + 1))
-    joined = F.zip_with(first, last, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
-    of_parents = windows.select(F.col("parent").alias("seg"), joined.alias("runs"))
-    every = stored(runs.unionByName(of_parents), "all-runs")
+    rows = [s.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), *columns) for s in settled]
+    # equal windows have equal keys, so they are in one shard, whichever segment they belong to
+    every = stored(reduce(DataFrame.unionByName, rows).groupBy("shard").applyInArrow(search, _FOUND), "runs")
+    for step in reversed(parts):
+        moved = F.transform("runs", lambda x: F.struct((x["first"] + F.col("index")).alias("first"), (x["last"] + F.col("index")).alias("last")))
+        whole = step.join(every, "seg").select(F.col("parent").alias("seg"), moved.alias("runs"))
+        whole = whole.groupBy("seg").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+        every = stored(every.unionByName(whole), "all-runs")
     places = stored(found.select("fp", "start", "seg").distinct(), "places")
     span = F.transform(
         "runs", lambda x: F.struct((F.col("start") + x["first"]).alias("start"), (F.col("start") + x["last"] + window).alias("stop"))

@@ -55,7 +55,7 @@ class Level:
         return Level(keys, np.insert(self.windows, place, other.windows[new]), self.batches + other.batches)
 
 
-def family_search(window: int, batch_rows: int = BATCH_ROWS) -> Search:
+def family_search(window: int, batch_rows: int) -> Search:
     """Finds repeated windows in a shard: batches get suffix arrays, which are scanned against the
     levels there are; levels of equal size are merged."""
 
@@ -98,7 +98,7 @@ def drop_repeated_bytes(docs: DataFrame, text_col: str = "text", window: int = 2
     added = {"n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"}
     if clash := {c.lower() for c in docs.columns} & added:
         raise ValueError(f"rename these columns first: {sorted(clash)}")
-    spans = repeated_spans(docs, text_col, ByteUnits, window, gram, family_search(window), SHARD_ROWS)
+    spans = repeated_spans(docs, text_col, ByteUnits, window, gram, family_search(window, BATCH_ROWS), SHARD_ROWS)
     return _cut_out(docs, spans, text_col, texts)
 
 

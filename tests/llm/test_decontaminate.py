@@ -45,3 +45,11 @@ def test_nothing_to_find(spark, docs_of, texts):
     out = decontaminate(docs_of(texts), none).collect()
     assert len(out) == len(texts) and not any(r.contaminated or r.n_items for r in out)
     assert decontaminate(docs_of([]).limit(0), none).collect() == []
+
+
+def test_added_names_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a", 2)], "doc_id int, text string, n_hit int")
+    items = spark.createDataFrame([(1, "b")], "item_id int, text string")
+    with pytest.raises(ValueError, match="n_hit"):
+        decontaminate(docs, items)
+    assert decontaminate(docs, items, columns=["doc_id"]).count() == 1

@@ -30,34 +30,95 @@ def words_of(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
-@pytest.mark.parametrize("hot_shares", [512, 4])
-def test_words(docs_of, texts, untouched, monkeypatch, hot_shares):
-    monkeypatch.setattr(repeats, "HOT_SHARES", hot_shares)
-    monkeypatch.setattr(fm_index, "SHARD_ROWS", 40)
-    out = fm_index.drop_repeated_words(docs_of(texts))
-    untouched(out)
-    sequences = [words_of(t) for _, t in texts]
+def removed_words(docs_of, rows, **options):
+    out = fm_index.drop_repeated_words(docs_of(rows), **options)
+    sequences = [words_of(t) for _, t in rows]
     want = []
-    for (i, text), words, gone in zip(texts, sequences, brute(sequences, 35), strict=True):
+    for (i, text), words, gone in zip(rows, sequences, brute(sequences, 35), strict=True):
         kept = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
         want.append((i, text, len(words), int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest(), kept))
     got = [tuple(r) for r in out.select("doc_id", "text", "n_words", "n_removed", "kept_sha256", "kept").collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
-    assert any(r[3] for r in want) and any(not r[3] and r[2] > 50 for r in want)
+    return out, want
 
 
-@pytest.mark.parametrize("batch_rows", [500, 7])
-def test_bytes(docs_of, texts, untouched, batch_rows):
-    out = suffixes.drop_repeated_bytes(docs_of(texts))
-    untouched(out)
-    sequences = [(t or "").encode() for _, t in texts]
+def removed_bytes(docs_of, rows):
+    out = suffixes.drop_repeated_bytes(docs_of(rows))
+    sequences = [(t or "").encode() for _, t in rows]
     want = []
-    for (i, _), data, gone in zip(texts, sequences, brute(sequences, 200), strict=True):
+    for (i, _), data, gone in zip(rows, sequences, brute(sequences, 200), strict=True):
         kept = bytes(b for b, g in zip(data, gone, strict=True) if not g)
         runs = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
         want.append((i, len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), kept))
     got = [(*r[:5], bytes(r[5])) for r in out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept").collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+    return out, want
+
+
+@pytest.mark.parametrize("shard_rows", [6000, 40, 2])
+def test_words(docs_of, texts, untouched, monkeypatch, shard_rows):
+    monkeypatch.setattr(fm_index, "SHARD_ROWS", shard_rows)
+    out, want = removed_words(docs_of, texts)
+    untouched(out)
+    assert any(r[3] for r in want) and any(not r[3] and r[2] > 50 for r in want)
+
+
+@pytest.mark.parametrize("shard_rows, batch_rows", [(1500, 300), (40, 7), (2, 1)])
+def test_bytes(docs_of, texts, untouched, monkeypatch, shard_rows, batch_rows):
+    monkeypatch.setattr(suffixes, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(suffixes, "BATCH_ROWS", batch_rows)
+    untouched(removed_bytes(docs_of, texts)[0])
+
+
+def near_copies(n, words):
+    """Copies of one text with a few words changed in each."""
+    base = [f"w{(i * i) % 997}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        own = list(base)
+        for j in range(3):
+            own[(37 * i + 61 * j) % words] = f"x{i}_{j}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("remove", [removed_words, removed_bytes])
+def test_near_copies_do_not_blow_up(docs_of, monkeypatch, remove):
+    """Anchors that most segments share are split by more anchors, into a few parts a segment."""
+    seen, real = {}, repeats.stored
+
+    def watch(df, label):
+        seen.setdefault(label, []).append(real(df, label))
+        return seen[label][-1]
+
+    monkeypatch.setattr(repeats, "stored", watch)
+    for module in (fm_index, suffixes):
+        monkeypatch.setattr(module, "SHARD_ROWS", 8)
+    _, want = remove(docs_of, near_copies(40, 120))
+    assert any(r[3] for r in want)
+    segments = seen["distinct-segments"][0].count()
+    assert segments > 150 and 0 < seen["parts"][0].count() < 4 * segments
+    assert all(p.count() < 4 * segments for p in seen["parts"][1:4])
+
+
+def test_splits_end_with_windows(docs_of, monkeypatch):
+    monkeypatch.setattr(repeats, "SPLITS", 0)
+    monkeypatch.setattr(fm_index, "SHARD_ROWS", 3)
+    removed_words(docs_of, near_copies(12, 90))
+
+
+def thue_morse(length):
+    return "".join("ab"[i.bit_count() & 1] for i in range(length))
+
+
+def test_words_that_polynomials_confuse(docs_of):
+    """Two long words of the same letters, which have the same hash for every base modulo 2**64."""
+    odd = thue_morse(1024), thue_morse(1024).translate(str.maketrans("ab", "ba"))
+    rows = [(i, " ".join([*(f"w{j}" for j in range(20)), word, *(f"v{j}" for j in range(20))])) for i, word in enumerate(odd)]
+    _, want = removed_words(docs_of, rows)
+    assert [r[3] for r in want] == [0, 0]
+    _, want = removed_words(docs_of, [*rows, (2, rows[0][1])])
+    assert sorted(r[3] for r in want) == [0, 41, 41]
 
 
 def test_no_rows(docs_of):
