@@ -91,24 +91,53 @@ def scd2(
     a chunk's last version ends at the cut that begins the next chunk.
 
     ``distinct`` promises that no key and sequence occur twice in the feed; it
-    saves the shuffle that settles repetitions.
+    saves settling repetitions.
     """
-    keys = list(keys)
     payload = _payload(changes, keys, except_cols)
-    feed = changes.withColumn(_SEQ, F.col(sequence_by)).withColumn(_GONE, _gone(deletes))
-    cuts = _cuts(feed.select(*keys, _SEQ), keys, shares)
+    found = versions(changes, keys, sequence_by, deletes, except_cols, distinct, shares).where(~_gone(deletes))
+    return found.select(*keys, *payload, F.col(sequence_by).alias(START), F.col(END))
+
+
+def versions(
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    deletes: str | Column | None = None,
+    except_cols: Sequence[str] = (),
+    distinct: bool = False,
+    shares: int = SHARES,
+) -> DataFrame:
+    """One change of each key and sequence, deletes included, in the columns of the feed, and ``__END_AT``, the sequence of the next one.
 
-    version = F.struct(_GONE, *payload)
-    if distinct:
-        versions = feed.select(*keys, _SEQ, version.alias("__version"))
-    else:
-        versions = feed.groupBy(*keys, _SEQ).agg(F.max(version).alias("__version"))
-    chunked = _with_chunk(versions, keys, cuts)
+    Chunks come first, by sequences alone, so that repetitions are settled and versions ordered in one shuffle.
+    """
+    keys = list(keys)
+    feed = changes.withColumn(_SEQ, F.col(sequence_by))
+    cuts = _cuts(feed.select(*keys, _SEQ), keys, shares)
+    chunked = _with_chunk(feed, keys, cuts).repartition(*keys, _CHUNK)
+    if not distinct:
+        chunked = _settled(chunked, [*keys, _CHUNK, _NEXT], deletes, keys, except_cols, changes.columns)
     follower = F.lead(_SEQ).over(Window.partitionBy(*keys, _CHUNK).orderBy(_SEQ))
-    ended = chunked.withColumn(END, F.coalesce(follower, _NEXT)).where(~F.col(f"__version.{_GONE}"))
-    return ended.select(
-        *keys, *(F.col(f"__version.`{c}`") for c in payload), F.col(_SEQ).alias(START), F.col(END)
-    )
+    return chunked.withColumn(END, F.coalesce(follower, _NEXT)).select(*changes.columns, END)
+
+
+def settled_changes(
+    changes: DataFrame, keys: Sequence[str], sequence_by: str, deletes: str | Column | None = None, except_cols: Sequence[str] = ()
+) -> DataFrame:
+    """One change of each key and sequence, in the columns of the feed: of differing ones a delete, else that of greatest values."""
+    feed = changes.withColumn(_SEQ, F.col(sequence_by))
+    return _settled(feed, list(keys), deletes, keys, except_cols, changes.columns).select(*changes.columns)
+
+
+def _settled(
+    feed: DataFrame, groups: list[str], deletes: str | Column | None, keys: Sequence[str], except_cols: Sequence[str], columns: list[str]
+) -> DataFrame:
+    payload = [c for c in columns if c not in {*keys, *except_cols}]
+    rest = [c for c in columns if c not in {*keys, *payload}]
+    winner = F.max(F.struct(_gone(deletes).alias(_GONE), *payload, *rest)).alias("__version")
+    picked = [F.col(c) if c in keys else F.col(f"__version.`{c}`").alias(c) for c in columns]
+    others = [c for c in groups if c not in keys]
+    return feed.groupBy(*groups, _SEQ).agg(winner).select(*picked, *others, _SEQ)
 
 
 def _cuts(positions: DataFrame, keys: list[str], shares: int) -> DataFrame:

@@ -29,8 +29,9 @@ from siltstone.operators.quality import (
 from siltstone.plans.config import Config
 from siltstone.sources.readers import read_table, stream_table
 from siltstone.sources.writers import write_table
-from siltstone.streaming.cdc import Feed, read_scd, scd_stream
+from siltstone.streaming.cdc import Feed, scd_stream
 from siltstone.streaming.ingest import run_incremental
+from siltstone.streaming.target import bring_up_to_date, read_target
 
 _NOT_FROM_TEXT = (ArrayType, BinaryType, MapType, StructType)
 
@@ -125,13 +126,12 @@ def update(spark: SparkSession, config: Config, root: str, minimum: float = 0.0)
         tables["streamed"] = spark.read.schema(schema).parquet(path)
     if config.cdc_source:
         feed, schema = Feed(**config.cdc), read_table(spark, config.cdc_source).schema
-        # both tables are computed from one log, so the feed is read once
+        # both tables take their changes from one log, so the feed is read once, and only what is new
         log = f"{root}/changes/log"
         scd_stream(stream_table(spark, config.cdc_source, schema), feed, 2, log, f"{root}/changes/checkpoint")
         for scd_type in (1, 2):
-            state = read_scd(spark, feed, scd_type, log)
-            stored = write_table(state, f"{root}/changes/scd{scd_type}-{uuid.uuid4().hex}", mode="error")
-            tables[f"scd{scd_type}"] = spark.read.schema(state.schema).parquet(stored)
+            bring_up_to_date(spark, feed, scd_type, f"{root}/changes/scd{scd_type}", log, schema)
+            tables[f"scd{scd_type}"] = read_target(spark, feed, scd_type, f"{root}/changes/scd{scd_type}")
     if config.orders_source:
         orders = read_table(spark, config.orders_source)
         tables["validated"] = validated_table(

@@ -16,9 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from siltstone.functions.names import BATCH, RUN, refuse_reserved
-from siltstone.operators.cdc import latest_changes, scd1, scd2
+from siltstone.operators.cdc import latest_changes, scd1, scd2, settled_changes, versions
 from siltstone.streaming.ingest import run_batches, write_batch
-from siltstone.streaming.target import bring_up_to_date, publish_target
+from siltstone.streaming.target import MOST_BYTES, bring_up_to_date, publish_target
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,12 @@ class Feed:
     def current(self, changes: DataFrame) -> DataFrame:
         return scd1(changes, self.keys, self.sequence_by, self.deletes, self.except_cols)
 
+    def settled(self, changes: DataFrame) -> DataFrame:
+        return settled_changes(changes, self.keys, self.sequence_by, self.deletes, self.except_cols)
+
+    def versions(self, changes: DataFrame) -> DataFrame:
+        return versions(changes, self.keys, self.sequence_by, self.deletes, self.except_cols)
+
     def history(self, changes: DataFrame) -> DataFrame:
         return scd2(changes, self.keys, self.sequence_by, self.deletes, self.except_cols)
 
@@ -68,18 +74,16 @@ def read_scd(spark: SparkSession, feed: Feed, scd_type: int, target: str) -> Dat
 
 
 def refresh_target(
-    spark: SparkSession, changes: DataFrame, feed: Feed, scd_type: int, root: str, name: str
+    spark: SparkSession, changes: DataFrame, feed: Feed, scd_type: int, root: str, name: str, most_bytes: int = MOST_BYTES
 ) -> int:
     """One run of a target that readers know as ``name``; returns the rows taken in.
 
-    New changes go to the log below ``root``, are merged with the state they
-    touch, and the table is published, so readers pay no merge.  What a run
-    costs follows its new changes, not the log: see :mod:`siltstone.streaming.target`.
+    New changes go to the log below ``root`` and beside the state they touch, and the table is published.
+    What a run costs follows its new changes, not the log nor the table: see :mod:`siltstone.streaming.target`.
     """
     taken = scd_stream(changes, feed, scd_type, f"{root}/log", f"{root}/checkpoint")
-    manifest, schema = bring_up_to_date(spark, feed, scd_type, root)
-    if schema is not None:
-        publish_target(spark, name, root, manifest, schema)
+    if bring_up_to_date(spark, feed, scd_type, root, schema=changes.schema, most_bytes=most_bytes):
+        publish_target(spark, feed, scd_type, root, name)
     return taken
 
 

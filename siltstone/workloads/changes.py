@@ -117,3 +117,33 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd1_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _streamed(spark, sf_dir, 1)
     return read_scd(spark, FEED, 1, compact(spark, FEED, 1, f"{root}/log", f"{root}/compacted"))
+
+
+def _hot(events: DataFrame) -> DataFrame:
+    """A third of all changes are of one user."""
+    return events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+
+
+_HOT_SQL = "(SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS user_id, event_id, event_type, value, props FROM events)"
+
+
+def _split_buckets(spark: SparkSession, sf_dir: str, scd_type: int) -> DataFrame:
+    """A load and two small runs, one of which brings changes older than what is there; buckets are kept tiny, so they are split."""
+    root, name = fresh_path(spark, f"buckets{scd_type}"), f"siltstone_buckets_{uuid.uuid4().hex}"
+    events = _hot(changes(spark, sf_dir))
+    part = F.when(F.col("event_id") % 50 == 7, 1).when(F.col("event_id") % 50 == 8, 2).otherwise(0)
+    for number in range(3):
+        events.where(part == number).write.mode("append").parquet(f"{root}/landing")
+        feed = stream_table(spark, f"{root}/landing", events.schema)
+        refresh_target(spark, feed, FEED, scd_type, f"{root}/target", name, most_bytes=32 << 10)
+    return spark.table(name)
+
+
+@query("scd1_split_buckets", SCD1_SQL.replace("FROM events", f"FROM {_HOT_SQL}"))
+def scd1_split_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split_buckets(spark, sf_dir, 1)
+
+
+@query("scd2_split_buckets", SCD2_SQL.replace("FROM events", f"FROM {_HOT_SQL}"))
+def scd2_split_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split_buckets(spark, sf_dir, 2)
