@@ -16,6 +16,8 @@ from siltstone.llm.stored import stored
 from siltstone.llm.text import NOT_SPACE, Rolling, Words, fingerprint, flat, fresh_name, mix, ranges, signed, slices
 
 BANDS, ROWS = 32, 4
+#: Darts thrown in one go.
+DARTS = 1 << 20
 _COUNTERS = 1 << 20
 
 _LAYER, _DART = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
@@ -65,8 +67,9 @@ def throw_darts(owner: np.ndarray, elements: np.ndarray, rows: int, size: int) -
     while open_rows.any():
         chosen = open_rows[owner]
         active, row = elements[chosen], owner[chosen]
-        at, block, number = np.zeros(len(active)), 1, 0
+        at, wanted, number = np.zeros(len(active)), 1, 0
         while len(active):
+            block = max(min(wanted, DARTS // len(active)), 1)
             darts = mix(active[:, None] + (np.arange(number, number + block, dtype=np.uint64) + np.uint64(1)) * _DART)
             times = at[:, None] + np.cumsum(-np.log((darts >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54), axis=1)
             hits = times <= until[row][:, None]
@@ -77,7 +80,7 @@ def throw_darts(owner: np.ndarray, elements: np.ndarray, rows: int, size: int) -
             signature[cell[best]] = found[best]
             going = hits[:, -1]
             active, row, at = active[going], row[going], times[going, -1]
-            number, block = number + block, min(block * 8, 512)
+            number, wanted = number + block, min(block * 8, 512)
         missing = np.isinf(earliest).reshape(rows, size).any(axis=1) & open_rows
         until = np.where(missing, until * 2, until)
         open_rows = missing

@@ -46,6 +46,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         stop = min(max(stop, start + 1), batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
