@@ -14,6 +14,8 @@ from siltstone.operators.aggregates import (
     region_metric,
     totals,
 )
+from siltstone.operators.asof import enrich_as_of
+from siltstone.operators.cdc import END, START, scd2
 from siltstone.operators.joins import enrich, known, readings_by, unknown
 from siltstone.operators.ordering import page, top_k
 from siltstone.operators.skew import skew_left_join
@@ -294,3 +296,18 @@ def orders_known(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     solvent = table(spark, sf_dir, "customer").where("c_acctbal >= 0").withColumnRenamed("c_custkey", "o_custkey")
     return unknown(table(spark, sf_dir, "orders"), solvent, ["o_custkey"])
+
+
+@query(
+    "enriched_as_of",
+    "SELECT f.*, CASE WHEN v.nxt IS NULL OR f.event_id < v.nxt THEN v.value END AS user_value, "
+    "CASE WHEN v.nxt IS NULL OR f.event_id < v.nxt THEN v.event_id END AS user_since FROM (SELECT * FROM events WHERE event_id % 3 <> 0) f "
+    "ASOF LEFT JOIN (SELECT * FROM (SELECT *, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt FROM events "
+    "WHERE event_id % 3 = 0) WHERE event_type <> 'error') v ON f.user_id = v.user_id AND f.event_id >= v.event_id",
+)
+def enriched_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the version of their user that was valid then; every third event is a change of its user, errors are deletes."""
+    events = table(spark, sf_dir, "events")
+    history = scd2(events.where("event_id % 3 = 0"), ["user_id"], "event_id", "event_type = 'error'", ["event_type", "event_id"])
+    rename = {"value": "user_value", START: "user_since"}
+    return enrich_as_of(events.where("event_id % 3 <> 0"), history, ["user_id"], "event_id", START, ["value", START], rename, valid_to=END)
