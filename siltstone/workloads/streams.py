@@ -24,6 +24,7 @@ from siltstone.streaming.ingest import (
     run_incremental,
     silver_and_quarantine,
 )
+from siltstone.streaming.states import Gold, read_gold, run_gold
 from siltstone.workloads.enrichment import MESSAGES_SQL, PASS_SQL, USERS_SQL, messages, users
 from siltstone.workloads.layers import ALL_EVENT_RULES, BROKEN_EVENT, EVENT_RULES
 from siltstone.workloads.registry import mean_sql, query, stream_of, table
@@ -154,3 +155,33 @@ def streaming_telemetry_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
         telemetry.enriched(telemetry.silver(message_columns(stored)), reference), f"{root}/silver", f"{root}/checkpoint"
     )
     return region_metric(spark.read.parquet(f"{root}/silver"), mean=stable_mean)
+
+
+GOLD = Gold(
+    {"event_type": "event_type", "d": "to_date(ts)"},
+    {
+        "n": ("count", "*"),
+        "cents": ("sum", "CAST(round(value * 100) AS BIGINT)"),
+        "mean_cents": ("mean", "CAST(round(value * 100) AS BIGINT)"),
+        "low": ("min", "value"),
+        "high": ("max", "value"),
+        "users": ("distinct", "user_id"),
+        "props_seen": ("distinct", "props"),
+    },
+)
+
+
+@query(
+    "gold_incremental",
+    "SELECT event_type, CAST(ts AS DATE) AS d, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, "
+    "sum(CAST(round(value * 100) AS BIGINT))::DOUBLE / count(value) AS mean_cents, min(value) AS low, max(value) AS high, "
+    "count(DISTINCT user_id) AS users, count(DISTINCT props) AS props_seen FROM events GROUP BY 1, 2",
+)
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs, each over a third of the events, of which the later ones read new rows and states only."""
+    root = fresh_path(spark, "gold-states")
+    events = table(spark, sf_dir, "events")
+    for part in range(3):
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/landing")
+        run_gold(spark, stream_table(spark, f"{root}/landing", events.schema), GOLD, f"{root}/states")
+    return read_gold(spark, events.schema, GOLD, f"{root}/states")
