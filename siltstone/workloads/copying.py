@@ -11,6 +11,7 @@ from siltstone.functions.means import stable_mean, stable_sum
 from siltstone.operators.reconcile import (
     reconcile_aggregates,
     reconcile_counts,
+    reconcile_rows,
     reconcile_sets,
     reconciliation_passes,
 )
@@ -151,3 +152,37 @@ def sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     solvent = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("o_custkey"))
     return reconciliation_passes(table(spark, sf_dir, "orders"), solvent, ["o_custkey"])
+
+
+_CHANGED_COPY = (
+    "(SELECT o_orderkey + CASE WHEN o_orderkey % 1001 = 5 THEN 100000000 ELSE 0 END AS o_orderkey, o_custkey, o_orderstatus, "
+    "o_totalprice + CASE WHEN o_orderkey % 997 = 3 THEN 1 ELSE 0 END AS o_totalprice, o_orderdate, "
+    "CASE WHEN o_orderkey % 1994 = 3 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders WHERE o_orderkey % 991 <> 2)"
+)
+
+
+@query(
+    "reconcile_rows",
+    "SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey, "
+    "CASE WHEN t.o_orderkey IS NULL THEN 'missing' WHEN s.o_orderkey IS NULL THEN 'unexpected' ELSE 'changed' END AS status, "
+    "CAST(s.o_orderkey IS NOT NULL AS BIGINT) AS source_rows, CAST(t.o_orderkey IS NOT NULL AS BIGINT) AS target_rows, "
+    "CASE WHEN s.o_orderkey IS NOT NULL AND t.o_orderkey IS NOT NULL THEN concat_ws(',', "
+    "CASE WHEN s.o_totalprice IS DISTINCT FROM t.o_totalprice THEN 'o_totalprice' END, "
+    "CASE WHEN s.o_orderpriority IS DISTINCT FROM t.o_orderpriority THEN 'o_orderpriority' END) END AS changed_columns "
+    f"FROM orders s FULL JOIN {_CHANGED_COPY} t ON s.o_orderkey = t.o_orderkey "
+    "WHERE (s.o_orderkey, s.o_custkey, s.o_orderstatus, s.o_totalprice, s.o_orderdate, s.o_orderpriority) IS DISTINCT FROM "
+    "(t.o_orderkey, t.o_custkey, t.o_orderstatus, t.o_totalprice, t.o_orderdate, t.o_orderpriority)",
+)
+def reconcile_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a copy in which some are missing, changed or new."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    copy = orders.where(key % 991 != 2).withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice") + F.when(key % 997 == 3, 1).otherwise(0),
+            "o_orderpriority": F.when(key % 1994 != 3, F.col("o_orderpriority")),
+            "o_orderkey": key + F.when(key % 1001 == 5, 100000000).otherwise(0),
+        }
+    )
+    found = reconcile_rows(orders, copy, ["o_orderkey"], leaf_rows=500)
+    return found.withColumn("changed_columns", F.array_join("changed_columns", ","))
