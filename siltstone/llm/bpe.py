@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.text import fresh_name
 
 #: Bytes of runs of text with their ids that an encoder remembers, and as many of older ones, and of pairs of tokens.
-REMEMBERED_BYTES = 16 << 20
+REMEMBERED_BYTES = 24 << 20
 #: What a remembered run costs beside its own length, and what a pair of tokens costs.
 _RUN_BYTES, _PAIR_BYTES = 180, 100
 _NEVER = 1 << 60
@@ -42,6 +42,7 @@ class Vocabulary:
         self.ranks = ranks
         self.longest = max(map(len, ranks))
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.pairs: dict[int, bool] = {}
         self._heads: dict[int, list[tuple[bytes, int]]] = {}
         self._tails: dict[int, list[tuple[bytes, int]]] = {}
@@ -96,13 +97,12 @@ class Vocabulary:
 
 
 class PrefixEncoding:
-    """The last token of each byte prefix of one piece: ``last[i]`` and its ``size[i]`` belong to the first i bytes."""
+    """The last token of each byte prefix of one piece: ``last[i]`` belongs to the first i bytes."""
 
     def __init__(self, vocabulary: Vocabulary, piece: bytes = b""):
         self.vocabulary = vocabulary
         self.piece = b""
         self.last: list[int] = [-1]
-        self.size: list[int] = [0]
         self.append(piece)
 
     def append(self, more: bytes) -> None:
@@ -117,19 +117,18 @@ class PrefixEncoding:
         What is stored up to ``start`` stays.  Behind the edit, once as many last tokens in a row as the longest
         token has bytes are the old ones, moved by the change of length, all further ones are.
         """
-        last, size = self.last, self.size
+        last = self.last
         edited, shift = start + len(new), len(new) - (stop - start)
         self.piece = self.piece[:start] + new + self.piece[stop:]
-        self.last, self.size = last[: start + 1], size[: start + 1]
+        self.last = last[: start + 1]
         done = self._fill(start, (last, edited, shift))
         self.last += last[done + 1 - shift :]
-        self.size += size[done + 1 - shift :]
         return done - start
 
     def _fill(self, done: int, old: tuple[list[int], int, int] | None = None) -> int:
         """Finds the last tokens of the prefixes beyond ``done``, up to the end or until they settle into the old ones."""
-        last, size, neighbours, known = self.last, self.size, self.vocabulary.neighbours, self.vocabulary.pairs.get
-        same = 0
+        last, neighbours, known = self.last, self.vocabulary.neighbours, self.vocabulary.pairs.get
+        add, same = last.append, 0
         for at, (rank, length) in self.vocabulary.endings(self.piece, max(0, done - self.vocabulary.longest)):
             if at < done:
                 continue
@@ -139,8 +138,7 @@ class PrefixEncoding:
                 if fits is None:
                     fits = neighbours(last[start], rank)
             if not start or fits:
-                last.append(rank)
-                size.append(length)
+                add(rank)
                 done += 1
                 if old is not None:
                     before, edited, shift = old
@@ -153,11 +151,11 @@ class PrefixEncoding:
 
     def ids(self, size: int | None = None) -> list[int]:
         """The encoding of the first ``size`` bytes."""
-        at = len(self.piece) if size is None else size
+        at, sizes = len(self.piece) if size is None else size, self.vocabulary.sizes
         found = []
         while at:
             found.append(self.last[at])
-            at -= self.size[at]
+            at -= sizes[found[-1]]
         return found[::-1]
 
 
@@ -199,13 +197,6 @@ class Encoder(dict):
             self[run] = packed
         return packed
 
-    def forget(self) -> None:
-        """Keeps the vocabulary alone."""
-        self.clear()
-        self._older = {}
-        self._held = 0
-        self.vocabulary.pairs.clear()
-
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
@@ -267,6 +258,5 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text_col: s
                 new.append(pa.ListArray.from_arrays(pa.array(bounds), flat))
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, *new], names=[*batch.schema.names[:-1], *added])
-        encoder.forget()
 
     return docs.withColumn(work, F.col(f"`{text_col}`")).mapInArrow(run, ", ".join([*fields, *kinds]))
