@@ -24,6 +24,7 @@ from siltstone.streaming.ingest import (
     run_incremental,
     silver_and_quarantine,
 )
+from siltstone.streaming.keyindex import run_unique
 from siltstone.streaming.states import Gold, read_gold, run_gold
 from siltstone.workloads.enrichment import MESSAGES_SQL, PASS_SQL, USERS_SQL, messages, users
 from siltstone.workloads.layers import ALL_EVENT_RULES, BROKEN_EVENT, EVENT_RULES
@@ -185,3 +186,14 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/landing")
         run_gold(spark, stream_table(spark, f"{root}/landing", events.schema), GOLD, f"{root}/states")
     return read_gold(spark, events.schema, GOLD, f"{root}/states")
+
+
+@query("unique_incremental", "SELECT o_custkey, o_orderpriority, count(*) AS \"rows\" FROM orders GROUP BY 1, 2 HAVING count(*) > 1")
+def unique_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that occur again, from three runs that each check only their own rows against the index."""
+    root = fresh_path(spark, "key-index")
+    orders = table(spark, sf_dir, "orders")
+    for part in range(3):
+        orders.where(F.col("o_orderkey") % 3 == part).write.mode("append").parquet(f"{root}/landing")
+        index = run_unique(spark, stream_table(spark, f"{root}/landing", orders.schema), ["o_custkey", "o_orderpriority"], root)
+    return index.repeated()
