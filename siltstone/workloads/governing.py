@@ -13,6 +13,7 @@ from siltstone.operators import governance as gov
 from siltstone.operators.eventlog import expectation_entries, expectation_log, flow_history
 from siltstone.operators.reconcile import reconcile_sets
 from siltstone.operators.scan import NON_NULL, RANGE
+from siltstone.operators.sketches import merge, profile_of, sketch
 from siltstone.session import fresh_path
 from siltstone.sources.readers import load_event_log, load_inventory
 from siltstone.workloads.registry import query, table
@@ -236,6 +237,30 @@ def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gov.drift(gov.profile(customer, _PROFILED, exact=True), gov.profile(solvent, _PROFILED, exact=True))
 
 
+_SKETCHED = ["user_id", "event_type", "value"]
+
+
+@query(
+    "profile_sketched",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS \"rows\", count(*) - count({c}) AS nulls, {low} AS min_value, {high} AS max_value, {text} AS min_text, "
+        f"CASE WHEN count(DISTINCT {c}) <= 1000 THEN count(DISTINCT {c}) END AS distinct_values FROM events WHERE day(ts) % 2 = 0"
+        for c, low, high, text in (
+            ("user_id", "CAST(min(user_id) AS DOUBLE)", "CAST(max(user_id) AS DOUBLE)", "NULL"),
+            ("event_type", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)", "min(event_type)"),
+            ("value", "min(value)", "max(value)", "NULL"),
+        )
+    ),
+)
+def profile_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second day of the events, from stored sketches of single days; few distinct values are exact, others estimates."""
+    path = fresh_path(spark, "sketches")
+    sketch(table(spark, sf_dir, "events"), "to_date(ts)", _SKETCHED).write.parquet(path)
+    days = spark.read.parquet(path).where("day(to_date(part)) % 2 = 0")
+    few = F.when(F.col("distinct_values") <= 1000, F.col("distinct_values")).alias("distinct_values")
+    return profile_of(merge(days)).select("column_name", "rows", "nulls", "min_value", "max_value", "min_text", few)
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run event per event type and day, with the rule results of that day."""
     passed_low, passed_high = F.count_if(F.col("value") > 1), F.count_if(F.col("value") <= 300)
