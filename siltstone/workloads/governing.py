@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from siltstone.functions.text import open_json
 from siltstone.operators import governance as gov
 from siltstone.operators.eventlog import expectation_entries, expectation_log, flow_history
+from siltstone.operators.lineage import closure
 from siltstone.operators.reconcile import reconcile_sets
-from siltstone.operators.scan import NON_NULL, RANGE
+from siltstone.operators.rules import NOT_ABOVE, rule_conflicts
+from siltstone.operators.scan import NON_NULL, RANGE, SET, measured_rules
 from siltstone.operators.sketches import merge, profile_of, sketch
 from siltstone.session import fresh_path
 from siltstone.sources.readers import load_event_log, load_inventory
@@ -333,3 +335,96 @@ _STATUS = "CASE WHEN low < n THEN 'FAILED' ELSE 'COMPLETED' END"
 )
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow_history(event_log(spark, sf_dir))
+
+
+_FEEDS_SQL = (
+    "SELECT DISTINCT p_brand AS source, p_type AS target FROM part UNION SELECT p_type, 'size ' || p_size FROM part "
+    "UNION SELECT 'size ' || (s_suppkey % 50 + 1), 'size ' || (s_suppkey * 7 % 50 + 1) FROM supplier "
+    "UNION SELECT 'size ' || (s_nationkey + 1), 'nation ' || s_nationkey FROM supplier"
+)
+
+
+@query(
+    "lineage_closure",
+    f"WITH RECURSIVE feeds AS ({_FEEDS_SQL}), reach AS (SELECT source AS start, target AS node, 1 AS hops FROM feeds "
+    "UNION SELECT r.start, f.target, r.hops + 1 FROM reach r JOIN feeds f ON f.source = r.node WHERE r.hops < 60) "
+    "SELECT start, node, min(hops) AS hops FROM reach GROUP BY 1, 2",
+)
+def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands feed types, types sizes, sizes each other, also in circles, and some of them nations."""
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    size = lambda number: F.concat(F.lit("size "), number.cast("string"))
+    nation = F.concat(F.lit("nation "), F.col("s_nationkey").cast("string"))
+    pairs = [
+        part.select(F.col("p_brand").alias("source"), F.col("p_type").alias("target")),
+        part.select("p_type", size(F.col("p_size"))),
+        supplier.select(size(F.col("s_suppkey") % 50 + 1), size(F.col("s_suppkey") * 7 % 50 + 1)),
+        supplier.select(size(F.col("s_nationkey") + 1), nation),
+    ]
+    feeds = pairs[0].union(pairs[1]).union(pairs[2]).union(pairs[3])
+    return closure(feeds)
+
+
+_PART_RULES_SQL = (
+    "SELECT p_brand || '.' || (p_partkey % 20) AS table_name, 'r' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS name, "
+    "CASE WHEN p_partkey % 7 = 6 THEN 'kind' WHEN p_partkey % 13 = 5 THEN 'weight' ELSE 'size' END AS column_name, "
+    "CASE WHEN p_partkey % 7 = 6 THEN 'set' WHEN p_partkey % 13 = 5 THEN 'range' WHEN p_partkey % 5 = 3 THEN 'null' "
+    "WHEN p_partkey % 17 = 4 THEN 'order' ELSE 'range' END AS kind, "
+    "CAST(p_size - 18 AS DOUBLE) AS lo, CAST(p_size + 22 AS DOUBLE) AS hi, p_type AS v, p_partkey % 2 = 0 AS ignore_null FROM part"
+)
+
+
+@query(
+    "rule_conflicts",
+    f"WITH r AS (SELECT table_name, name, column_name, kind, CASE WHEN kind = 'range' THEN lo ELSE '-infinity'::DOUBLE END AS low, "
+    "CASE WHEN kind = 'range' THEN hi ELSE 'infinity'::DOUBLE END AS high, CASE WHEN kind = 'set' THEN v END AS v, "
+    f"ignore_null AND kind <> 'null' AS null_passes FROM ({_PART_RULES_SQL})), "
+    "own AS (SELECT table_name, column_name, max(low) AS low, min(high) AS high, count(DISTINCT v) AS sets, bool_and(null_passes) AS null_passes FROM r GROUP BY 1, 2), "
+    "ordered AS (SELECT DISTINCT table_name FROM r WHERE kind = 'order'), "
+    "lim AS (SELECT o.table_name, o.column_name, o.sets, o.null_passes, "
+    "CASE WHEN o.column_name = 'weight' AND d.table_name IS NOT NULL THEN greatest(o.low, coalesce(s.low, o.low)) ELSE o.low END AS low, "
+    "CASE WHEN o.column_name = 'size' AND d.table_name IS NOT NULL THEN least(o.high, coalesce(w.high, o.high)) ELSE o.high END AS high "
+    "FROM own o LEFT JOIN ordered d ON d.table_name = o.table_name "
+    "LEFT JOIN own s ON s.table_name = o.table_name AND s.column_name = 'size' LEFT JOIN own w ON w.table_name = o.table_name AND w.column_name = 'weight'), "
+    "judged AS (SELECT r.*, (low > '-infinity'::DOUBLE AND row_number() OVER (PARTITION BY table_name, column_name ORDER BY low DESC, name) = 1) OR "
+    "(high < 'infinity'::DOUBLE AND row_number() OVER (PARTITION BY table_name, column_name ORDER BY high, name) = 1) OR "
+    "(v IS NOT NULL AND row_number() OVER (PARTITION BY table_name, column_name, v ORDER BY name) = 1) OR kind = 'order' AS wanted FROM r), "
+    "named AS (SELECT *, wanted OR (NOT null_passes AND row_number() OVER (PARTITION BY table_name, column_name ORDER BY null_passes, wanted DESC, name) = 1) AS needed FROM judged) "
+    "SELECT n.table_name, n.name, n.column_name, CASE WHEN (lim.low > lim.high OR lim.sets > 1) AND NOT lim.null_passes THEN 'contradicted' "
+    "WHEN needed THEN 'needed' ELSE 'redundant' END AS verdict FROM named n JOIN lim ON lim.table_name = n.table_name AND lim.column_name = n.column_name",
+)
+def conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part is a rule of one of the tables of its brand: on a size, on a kind, or that a size is not above a weight."""
+    part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    column = F.when(key % 7 == 6, "kind").when(key % 13 == 5, "weight").otherwise("size")
+    kind = F.when(key % 7 == 6, SET).when(key % 13 == 5, RANGE).when(key % 5 == 3, NON_NULL).when(key % 17 == 4, NOT_ABOVE).otherwise(RANGE)
+    rules = part.select(
+        F.concat("p_brand", F.lit("."), (key % 20).cast("string")).alias("table_name"),
+        F.concat(F.lit("r"), F.lpad(key.cast("string"), 9, "0")).alias("name"),
+        column.alias("column"),
+        kind.alias("type"),
+        (F.col("p_size") - 18).cast("string").alias("min"),
+        (F.col("p_size") + 22).cast("string").alias("max"),
+        F.array("p_type").alias("values"),
+        F.lit("weight").alias("other"),
+        (key % 2 == 0).alias("ignore_null"),
+    )
+    return rule_conflicts(rules)
+
+
+@query(
+    "inventory_rules_measured",
+    f"SELECT {_NAME} AS table_name, 'part_id' AS \"column\", 'non_null_expectation' AS type, NULL AS min, NULL AS max, "
+    "count(l_partkey) AS row_count, count(l_partkey) AS passed_rows, CAST(1 AS DOUBLE) AS pass_ratio, true AS passed "
+    "FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey UNION ALL "
+    f"SELECT {_NAME}, 'size', 'range_expectation', '0', CAST(p_size AS VARCHAR), count(l_partkey), count(*) FILTER (l_quantity BETWEEN 0 AND p_size), "
+    "CASE WHEN count(l_partkey) = 0 THEN 1.0 ELSE count(*) FILTER (l_quantity BETWEEN 0 AND p_size)::DOUBLE / count(l_partkey) END, "
+    "count(*) FILTER (l_quantity BETWEEN 0 AND p_size) = count(l_partkey) "
+    "FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey, p_size",
+)
+def inventory_rules_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of all inventories, each executed on the table it names: the order lines of that part."""
+    lines = table(spark, sf_dir, "lineitem")
+    name = F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("table_name")
+    rows = lines.select(name, F.col("l_partkey").alias("part_id"), F.col("l_quantity").alias("size"))
+    return measured_rules(gov.rules(inventory(spark, sf_dir)), rows, ["part_id", "size"])
