@@ -28,7 +28,7 @@ from siltstone.operators.skew import fits_broadcast
 _LOW = np.uint64(0xFFFFFFFF)
 _SECOND = np.uint64(0x8CB92BA72F3D8DD7)
 #: How often segments are split by one more anchor.  What is then still too many goes window by window.
-SPLITS = 4
+SPLITS = 3
 _KNOWN = 200_000
 
 
@@ -205,8 +205,7 @@ def split_segments(segments: DataFrame, units: Units, window: int, gram: int, le
 def balanced(distinct: DataFrame, units: Units, window: int, gram: int, most: int) -> tuple[list[DataFrame], list[DataFrame]]:
     """Segments (seg, key, at, windows, payload, times) of keys that have at most ``most``, and where parts stand in what was split.
 
-    Both are lists, from the segments as they were to the parts of parts.  Parts of keys that occur only once
-    are left out: none of their windows repeats.
+    Both are lists, from the segments as they were to the parts of parts.
     """
     settled, places = [], []
     current = distinct
@@ -216,27 +215,14 @@ def balanced(distinct: DataFrame, units: Units, window: int, gram: int, most: in
             break
         # more hot keys than can be sent around are joined by a shuffle
         known = F.broadcast(hot) if fits_broadcast(hot) else hot
-        settled.append(current.join(known, "key", "left_anti"))
+        settled.append(stored(current.join(known, "key", "left_anti"), "settled"))
         parts = stored(split_segments(current.join(known, "key", "left_semi"), units, window, gram, level), "parts")
-        several = parts.groupBy("key").agg(F.sum("times").alias("n")).where(F.col("n") > 1).select("key")
-        several = bloom.build(stored(several, "part-anchors"), "key")
-        parts = stored(_passing(parts, several), "repeated-parts")
         places.append(parts.select("parent", "index", "seg"))
         first = [F.first(c).alias(c) for c in ("key", "at", "windows", "payload")]
         current = stored(parts.groupBy("seg").agg(F.sum("times").alias("times"), *first), "distinct-parts")
     return [*settled, current], places
 
 
-def _passing(parts: DataFrame, wanted: np.ndarray) -> DataFrame:
-    sent = parts.sparkSession.sparkContext.broadcast(wanted)
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(bloom.holds(sent.value, batch.column("key").to_numpy().view(np.uint64))))
-
-    return parts.mapInArrow(choose, _PARTS)
-
-
 #: What an index gets and gives: rows of one shard (seg, at, windows, payload, times) to (seg, runs of repeated windows).
 Search = Callable[[pa.Table], pa.Table]
 _FOUND = "seg binary, runs array<struct<first:int,last:int>>"
