@@ -7,7 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.types import DatetimeType, NumericType
+
+from siltstone.operators.ranges import PLACE, bounds_of, has_quantiles, range_of, within
 
 
 def reconcile_counts(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
@@ -110,17 +111,17 @@ def differing_rows(
 ) -> tuple[DataFrame, DataFrame]:
     """Both tables without those ranges of the leading key in which they have the same rows."""
     lead = F.col(keys[0])
-    ordered = isinstance(source.schema[keys[0]].dataType, (NumericType, DatetimeType))
+    ordered = has_quantiles(source.schema[keys[0]].dataType)
     # a key that has no quantiles is ordered by its hash, which spreads rows but lets no file be left out
     place = lead if ordered else F.xxhash64(lead)
     wanted = F.lit(True)
     while True:
         left, right = source.where(wanted), target.where(wanted)
-        bounds = _bounds(left.unionByName(right).select(place.alias(_RANGE)), fan)
-        found = _differing(left, right, _range_of(place, bounds))
+        bounds = bounds_of(left.unionByName(right).select(place.alias(PLACE)), fan)
+        found = _differing(left, right, range_of(place, bounds))
         if not found:
             return source.where(F.lit(False)), target.where(F.lit(False))
-        narrowed = wanted & _within(place, bounds, [r[_RANGE] for r in found])
+        narrowed = wanted & within(place, bounds, [r[_RANGE] for r in found])
         rows = sum(r["rows"] for r in found)
         before = sum(r["all_rows"] for r in found[:1])
         # small enough, or too widely spread for another look to spare anything
@@ -129,36 +130,6 @@ def differing_rows(
         wanted = narrowed
 
 
-def _bounds(places: DataFrame, fan: int) -> list:
-    """Places that divide the rows into about ``fan`` even parts: NULL is a part of its own."""
-    parts = [i / fan for i in range(1, fan)]
-    found = places.agg(F.percentile_approx(_RANGE, parts, 10 * fan)).first()[0]
-    return sorted(set(found or []))
-
-
-def _range_of(place: Column, bounds: list) -> Column:
-    """Number of the range: how many bounds are not above the place; -1 for NULL."""
-    if not bounds:
-        return F.when(place.isNull(), -1).otherwise(0)
-    below = F.size(F.filter(F.array(*(F.lit(b) for b in bounds)), lambda b: b <= place))
-    return F.when(place.isNull(), -1).otherwise(below)
-
-
-def _within(place: Column, bounds: list, ranges: Sequence[int]) -> Column:
-    """Whether a place is in one of the ranges, neighbouring ones joined: comparisons that a scan can use."""
-    runs: list[list[int]] = []
-    for number in sorted(r for r in ranges if r >= 0):
-        if runs and runs[-1][1] == number - 1:
-            runs[-1][1] = number
-        else:
-            runs.append([number, number])
-    wanted = [place.isNull()] if -1 in ranges else []
-    for first, last in runs:
-        low = place >= F.lit(bounds[first - 1]) if first else place.isNotNull()
-        wanted.append(low & (place < F.lit(bounds[last])) if last < len(bounds) else low)
-    return reduce(lambda a, b: a | b, wanted)
-
-
 def _differing(left: DataFrame, right: DataFrame, number: Column) -> list[Row]:
     """Ranges whose rows differ, with their rows on both sides and those of all ranges: ``fan`` at most."""
 

@@ -16,6 +16,7 @@ from siltstone.operators.reconcile import (
     reconciliation_passes,
 )
 from siltstone.session import fresh_path
+from siltstone.sources.clustered import read_clustered, write_clustered
 from siltstone.sources.readers import export, load_documents, load_ndjson, remote_table
 from siltstone.sources.writers import export_ndjson, publish, write_table
 from siltstone.workloads.registry import mean_sql, query, sum_sql, table
@@ -186,3 +187,15 @@ def reconcile_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     found = reconcile_rows(orders, copy, ["o_orderkey"], leaf_rows=500)
     return found.withColumn("changed_columns", F.array_join("changed_columns", ","))
+
+
+@query(
+    "clustered_history",
+    "SELECT user_id AS device_id, ts AS event_ts, event_type AS metric, value, CAST(ts AS DATE) AS ingest_date FROM events "
+    "WHERE user_id BETWEEN 20 AND 39 AND value BETWEEN 50.0 AND 80.0",
+)
+def clustered_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History laid out by device and value; a filter on both opens few of the files."""
+    whole, columns = history(spark, sf_dir), ["device_id", "value"]
+    path = write_clustered(whole, fresh_path(spark, "clustered"), columns, files=24)
+    return read_clustered(spark, path, columns, {"device_id": (20, 39), "value": (50.0, 80.0)}, whole.schema)

@@ -17,7 +17,7 @@ from siltstone.operators.aggregates import (
 from siltstone.operators.asof import enrich_as_of
 from siltstone.operators.cdc import END, START, scd2
 from siltstone.operators.joins import enrich, known, readings_by, unknown
-from siltstone.operators.ordering import page, top_k
+from siltstone.operators.ordering import deep_page, page, top_k
 from siltstone.operators.skew import skew_left_join
 from siltstone.plans import telemetry
 from siltstone.sources.readers import message_columns
@@ -311,3 +311,13 @@ def enriched_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = scd2(events.where("event_id % 3 = 0"), ["user_id"], "event_id", "event_type = 'error'", ["event_type", "event_id"])
     rename = {"value": "user_value", START: "user_since"}
     return enrich_as_of(events.where("event_id % 3 <> 0"), history, ["user_id"], "event_id", START, ["value", START], rename, valid_to=END)
+
+
+@query(
+    "order_page_deep",
+    "SELECT * FROM orders ORDER BY o_orderdate, o_totalprice DESC, o_orderkey LIMIT 500 OFFSET (SELECT count(*) * 3 // 5 FROM orders)",
+)
+def order_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page behind three fifths of all orders, of which only its neighbourhood is sorted."""
+    orders = table(spark, sf_dir, "orders")
+    return deep_page(orders, ["o_orderdate", "-o_totalprice", "o_orderkey"], orders.count() * 3 // 5, 500, few=2000)

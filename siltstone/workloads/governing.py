@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.text import open_json
 from siltstone.operators import governance as gov
-from siltstone.operators.eventlog import expectation_entries, expectation_log, flow_history
+from siltstone.operators.eventlog import critical_path, expectation_entries, expectation_log, flow_history
 from siltstone.operators.lineage import closure
 from siltstone.operators.reconcile import reconcile_sets
 from siltstone.operators.rules import NOT_ABOVE, rule_conflicts
@@ -428,3 +428,28 @@ def inventory_rules_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("table_name")
     rows = lines.select(name, F.col("l_partkey").alias("part_id"), F.col("l_quantity").alias("size"))
     return measured_rules(gov.rules(inventory(spark, sf_dir)), rows, ["part_id", "size"])
+
+
+_STEPS_SQL = (
+    "SELECT CAST(ts AS DATE) AS run, 'user ' || (user_id % 40) AS flow, sum(CAST(round(value * 100) AS BIGINT)) AS seconds FROM events GROUP BY 1, 2"
+)
+_WAITS_SQL = "SELECT DISTINCT 'user ' || (s_suppkey % 40) AS source, 'user ' || ((s_suppkey % 40) * 2 + 1 + s_nationkey % 2) AS flow FROM supplier"
+
+
+@query(
+    "flow_critical_path",
+    f"WITH RECURSIVE steps AS ({_STEPS_SQL}), waits AS ({_WAITS_SQL}), "
+    "chains AS (SELECT run, flow, seconds AS ends, [flow] AS way FROM steps UNION ALL "
+    "SELECT s.run, s.flow, c.ends + s.seconds, list_append(c.way, s.flow) FROM chains c JOIN waits w ON w.source = c.flow JOIN steps s ON s.run = c.run AND s.flow = w.flow), "
+    "best AS (SELECT run, arg_max(way, ends) AS way FROM chains GROUP BY run) "
+    "SELECT b.run, p.position, s.flow, s.seconds, sum(s.seconds) OVER (PARTITION BY b.run ORDER BY p.position)::BIGINT AS finished_after "
+    "FROM best b, unnest(range(1, len(way) + 1)) AS p(position) JOIN steps s ON s.run = b.run AND s.flow = b.way[p.position]",
+)
+def flow_critical_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day is a run, users are its flows, and who waits for whom comes from suppliers."""
+    events, supplier = table(spark, sf_dir, "events"), table(spark, sf_dir, "supplier")
+    user = lambda number: F.concat(F.lit("user "), number.cast("string"))
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    steps = events.select(F.to_date("ts").alias("run"), user(F.col("user_id") % 40).alias("flow"), cents.alias("seconds"))
+    key = F.col("s_suppkey") % 40
+    return critical_path(steps, supplier.select(user(key).alias("source"), user(key * 2 + 1 + F.col("s_nationkey") % 2).alias("target")))
