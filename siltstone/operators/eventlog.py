@@ -58,12 +58,15 @@ def run_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 def recorded_metrics(spark: SparkSession, record: str) -> DataFrame:
-    """Per run of a stream with a progress record: batches, rows read and when it began, oldest first by ``started_at``."""
-    progress = spark.read.schema("run string, batch bigint, started_at string, input_rows bigint").parquet(record)
+    """Per run of a stream with a progress record: batches, rows read, rows written and when it began, oldest first by ``started_at``."""
+    progress = spark.read.schema("run string, batch bigint, started_at string, input_rows bigint, written_rows bigint").parquet(record)
     # a batch that ran again after a failure counts once, under the run that finished it
-    last = progress.groupBy("batch").agg(F.max_by(F.struct("run", "started_at", "input_rows"), "started_at").alias("p"))
+    last = progress.groupBy("batch").agg(F.max_by(F.struct("run", "started_at", "input_rows", "written_rows"), "started_at").alias("p"))
     return last.groupBy("p.run").agg(
-        F.count(F.lit(1)).alias("batches"), F.sum("p.input_rows").alias("input_rows"), F.min("p.started_at").alias("started_at")
+        F.count(F.lit(1)).alias("batches"),
+        F.sum("p.input_rows").alias("input_rows"),
+        F.sum("p.written_rows").alias("written_rows"),
+        F.min("p.started_at").alias("started_at"),
     )
 
 

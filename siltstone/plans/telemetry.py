@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltstone.functions.casts import iso_timestamp
-from siltstone.functions.rules import range_arms, range_rule
+from siltstone.functions.casts import iso_timestamp, struct_of
+from siltstone.functions.means import rounded_mean
+from siltstone.functions.names import BATCH, RESERVED, VERDICT
 from siltstone.functions.text import open_json
+from siltstone.functions.rules import first_reason, range_arms, range_rule
+from siltstone.operators.aggregates import Mean, device_summary, region_metric
 from siltstone.operators.joins import enrich
-from siltstone.operators.quality import expect_or_drop, quarantine, with_reason
+from siltstone.operators.quality import BROKEN, PASSED, expect_or_drop, quarantine, with_reason, with_verdict
+from siltstone.streaming.ingest import run_batches
 
 # Message layout, allowed range per metric, rules and reasons.
 MESSAGE = (
@@ -72,6 +77,44 @@ def enriched(silver_df: DataFrame, reference: DataFrame) -> DataFrame:
     )
 
 
+REASON = "quarantine_reason"
+_SENT = f"{RESERVED}ts_as_sent"
+
+
+def run_telemetry(stream: DataFrame, root: str) -> int:
+    """Takes in the messages of a raw ``stream`` not seen before; returns how many.
+
+    Each is opened once and stored once below ``root``: judged, with its reason if it is broken, its time both typed
+    and as sent, and its text.  Silver and quarantine are two layouts of that table.  A batch that runs again
+    replaces itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        opened = open_messages(batch, keep=("raw_json", *LOG_COLUMNS))
+        judged = with_verdict(opened, RULES).withColumn(REASON, F.when(F.col(VERDICT) == BROKEN, first_reason(REASONS)))
+        typed = judged.withColumn(_SENT, F.col("event_ts")).withColumn("event_ts", iso_timestamp("event_ts"))
+        broken_text = F.when(F.col(VERDICT) == BROKEN, F.col("raw_json"))  # silver rows do without it
+        typed.withColumn("raw_json", broken_text).write.mode("overwrite").partitionBy(VERDICT).parquet(f"{root}/messages/{BATCH}={batch_id}")
+
+    return run_batches(stream, f"{root}/checkpoint", write)
+
+
+def read_telemetry(spark: SparkSession, root: str, reference: DataFrame, mean: Mean = rounded_mean) -> dict[str, DataFrame]:
+    """What the runs below ``root`` make up: silver, quarantine, enriched, gold_region_metric, gold_device_summary."""
+    names = struct_of(MESSAGE).names
+    stored = spark.read.parquet(f"{root}/messages")
+    passed, broken = (stored.where(F.col(VERDICT) == v) for v in (PASSED, BROKEN))
+    sent = [F.col(_SENT).alias(n) if n == "event_ts" else F.col(n) for n in names]
+    tables = {
+        "silver": passed.select(*(n for n in names if n != "_inject_kind"), *LOG_COLUMNS),
+        "quarantine": broken.select(*sent, "raw_json", "log_partition", "log_offset", REASON),
+    }
+    tables["enriched"] = enriched(tables["silver"], reference)
+    tables["gold_region_metric"] = region_metric(tables["enriched"], mean=mean)
+    tables["gold_device_summary"] = device_summary(tables["enriched"], mean=mean)
+    return tables
+
+
 def stored_checks(reference_table: str = "device_reference", *, row_limit: int) -> list[dict]:
     """The checks run on stored telemetry; a table of more than ``row_limit`` rows is in error as a whole."""
     return [

@@ -79,15 +79,21 @@ def telemetry_source(spark: SparkSession, options: Mapping[str, str], format: st
     return message_columns(spark.readStream.format(format).options(**options).load())
 
 
-def load_ndjson(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+def load_ndjson(spark: SparkSession, path: str, schema: str | StructType, unreadable: str | None = None) -> DataFrame:
     """Newline-delimited JSON as typed columns; values that do not fit become NULL.
 
     Every field is read as text first, so that a wrong value costs its field
-    and not its row.
+    and not its row.  A line that is no JSON is a row of NULLs; ``unreadable`` names
+    a column that keeps its text, and is NULL for all others.
     """
     wanted = struct_of(schema)
     text = StructType([StructField(f.name, StringType()) for f in wanted.fields])
-    return typed(spark.read.schema(text).json(path), wanted)
+    if unreadable is None:
+        return typed(spark.read.schema(text).json(path), wanted)
+    if unreadable in wanted.names:
+        raise ValueError(f"{unreadable} is a column of the rows")
+    reader = spark.read.option("columnNameOfCorruptRecord", unreadable)
+    return typed(reader.schema(text.add(unreadable, StringType())).json(path), StructType(list(wanted.fields)).add(unreadable, StringType()))
 
 
 def load_documents(spark: SparkSession, path: str, schema: str | StructType = DEVICE_REFERENCE) -> DataFrame:

@@ -57,6 +57,16 @@ def describe(
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
 
 
+def described(spark: SparkSession, table: str) -> DataFrame:
+    """What the catalog says about a table: kind (*comment*, *property* or *column*), name, value; columns without a comment are left out."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    names = spark.read.table(table).columns
+    found = [("column", r["col_name"], r["comment"]) for r in rows[: len(names)] if r["comment"]]
+    found += [("comment", "table", r["data_type"]) for r in rows[len(names) :] if r["col_name"] == "Comment"]
+    found += [("property", r["key"], r["value"]) for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()]
+    return spark.createDataFrame(found, "kind string, name string, value string")
+
+
 def _literal(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

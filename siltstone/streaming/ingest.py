@@ -16,7 +16,8 @@ from siltstone.session import fresh_path
 from siltstone.sources.writers import publish
 
 #: Columns of a progress record.
-PROGRESS = "run string, batch bigint, started_at string, input_rows bigint"
+PROGRESS = "run string, batch bigint, started_at string, input_rows bigint, written_rows bigint"
+_WRITTEN = "siltstone_written"
 
 
 def finish(query: StreamingQuery, record: str | None = None) -> int:
@@ -36,7 +37,8 @@ def finish(query: StreamingQuery, record: str | None = None) -> int:
                 continue
             total += progress.numInputRows - (counted if progress.batchId == latest else 0)
             latest, counted = progress.batchId, progress.numInputRows
-            fresh.append((str(query.runId), progress.batchId, progress.timestamp, progress.numInputRows))
+            seen = progress.observedMetrics.get(_WRITTEN)
+            fresh.append((str(query.runId), progress.batchId, progress.timestamp, progress.numInputRows, seen["rows"] if seen else None))
         if record is not None and fresh:
             SparkSession.active().createDataFrame(fresh, PROGRESS).coalesce(1).write.mode("append").parquet(record)
     return total
@@ -53,8 +55,11 @@ def run_incremental(
     """Append all rows not seen before to a parquet folder; returns how many were read.
 
     The file sink keeps its own log of finished batches, so a batch that runs
-    again after a failure leaves each row exactly once.
+    again after a failure leaves each row exactly once.  ``record`` names a folder for
+    the rows read and written by each batch.
     """
+    if record is not None:
+        stream = stream.observe(_WRITTEN, F.count(F.lit(1)).alias("rows"))
     writer = stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -18,7 +18,7 @@ from siltstone.operators.reconcile import (
 from siltstone.session import fresh_path
 from siltstone.sources.clustered import read_clustered, write_clustered
 from siltstone.sources.readers import export, load_documents, load_ndjson, remote_table
-from siltstone.sources.writers import export_ndjson, publish, write_table
+from siltstone.sources.writers import described, export_ndjson, publish, save_table, write_table
 from siltstone.workloads.registry import mean_sql, query, sum_sql, table
 
 HISTORY = "device_id bigint, event_ts timestamp, metric string, value double, ingest_date date"
@@ -67,19 +67,68 @@ def partitioned_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "document_snapshot",
-    "SELECT c_custkey AS device_id, c_mktsegment AS model, c_nationkey AS battery_pct FROM customer",
+    "ndjson_unreadable_lines",
+    "SELECT CASE WHEN event_id % 50 <> 3 THEN event_id END AS event_id, CASE WHEN event_id % 50 NOT IN (3, 4) THEN value END AS value, "
+    "CASE WHEN event_id % 50 = 3 THEN 'event ' || event_id || ' {' END AS unreadable FROM events",
 )
+def ndjson_unreadable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no JSON keep their text; wrong values cost their field alone."""
+    key = F.col("event_id")
+    value = F.when(key % 50 == 4, F.lit("much")).otherwise(F.col("value").cast("string"))
+    good = F.to_json(F.struct("event_id", value.alias("value")))
+    lines = table(spark, sf_dir, "events").select(F.when(key % 50 == 3, F.concat(F.lit("event "), key.cast("string"), F.lit(" {"))).otherwise(good))
+    path = fresh_path(spark, "lines")
+    lines.write.text(path)
+    return load_ndjson(spark, path, "event_id bigint, value double", unreadable="unreadable")
+
+
+@query(
+    "table_described",
+    "SELECT 'comment' AS kind, 'table' AS name, 'customers of ' || count(DISTINCT c_nationkey) || ' nations' AS value FROM customer "
+    "UNION ALL SELECT 'property', 'segment ' || c_mktsegment, CAST(count(*) AS VARCHAR) FROM customer GROUP BY c_mktsegment "
+    "UNION ALL SELECT 'column', 'c_acctbal', 'from ' || CAST(CAST(floor(min(c_acctbal)) AS BIGINT) AS VARCHAR) FROM customer",
+)
+def table_described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table is written with comment, properties and a column comment; all are read back from the catalog."""
+    customer, name = table(spark, sf_dir, "customer"), f"siltstone_customer_{uuid.uuid4().hex}"
+    nations, low = customer.agg(F.count_distinct("c_nationkey"), F.floor(F.min("c_acctbal"))).first()
+    segments = {f"segment {r[0]}": str(r[1]) for r in customer.groupBy("c_mktsegment").count().collect()}
+    rows = customer.withMetadata("c_acctbal", {"comment": f"from {low}"})
+    save_table(rows, name, f"customers of {nations} nations", segments)
+    found = described(spark, name).where("kind <> 'property' OR name LIKE 'segment %'")
+    kept = spark.createDataFrame(found.collect(), found.schema)  # as many rows as columns and properties
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
+#: Fields of a document beside its identity.
+_DOCUMENT_SQL = (
+    "SELECT 'SN-' || c_custkey AS device_id, c_mktsegment AS model, 'v' || (c_custkey % 7) AS firmware, n_name AS region, 'site ' || c_nationkey AS site, "
+    "CASE WHEN c_acctbal < 0 THEN 'overdrawn' ELSE 'active' END AS status, '2024-01-' || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0') AS registered_at, "
+    "CASE WHEN c_custkey % 9 <> 0 THEN c_name END AS last_seen, CAST(floor(abs(c_acctbal)) AS INTEGER) % 101 AS battery_pct "
+    "FROM customer JOIN nation ON c_nationkey = n_nationkey"
+)
+
+
+@query("document_snapshot", _DOCUMENT_SQL)
 def document_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with more fields than the reference table wants."""
-    documents = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("device_id"),
+    """Documents with more fields than the nine that the reference table wants."""
+    key, nation = F.col("c_custkey"), table(spark, sf_dir, "nation")
+    documents = table(spark, sf_dir, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        key.alias("id"),
+        F.concat(F.lit("SN-"), key.cast("string")).alias("device_id"),
         F.col("c_mktsegment").alias("model"),
-        F.col("c_nationkey").alias("battery_pct"),
-        F.col("c_name").alias("_doc_type"),
+        F.concat(F.lit("v"), (key % 7).cast("string")).alias("firmware"),
+        F.col("n_name").alias("region"),
+        F.concat(F.lit("site "), F.col("c_nationkey").cast("string")).alias("site"),
+        F.concat(F.lit("2024-01-"), F.lpad((key % 28 + 1).cast("string"), 2, "0")).alias("registered_at"),
+        F.when(F.col("c_acctbal") < 0, "overdrawn").otherwise("active").alias("status"),
+        F.when(key % 9 != 0, F.col("c_name")).alias("last_seen"),
+        (F.floor(F.abs("c_acctbal")) % 101).cast("int").alias("battery_pct"),
+        F.lit("device_state").alias("_doc_type"),
     )
     path = export_ndjson(documents, fresh_path(spark, "documents"))
-    return load_documents(spark, path, "device_id bigint, model string, battery_pct int")
+    return load_documents(spark, path)
 
 
 @query("remote_orders", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 300000")

@@ -32,7 +32,7 @@ MESSAGES_SQL = (
     "(SELECT CASE WHEN value < 2 THEN NULL ELSE 'SN-' || CAST(user_id AS VARCHAR) END AS device_id, "
     f"{_METRIC_SQL} AS metric, CASE WHEN value BETWEEN 2 AND 3 THEN NULL ELSE value END AS value, "
     "CAST(floor(value / 3) AS INTEGER) - 2 AS battery_pct, -CAST(floor(value) AS INTEGER) AS rssi, "
-    "event_id AS seq, user_id, ts FROM events) m"
+    "event_id AS seq, user_id, ts, event_type AS kind FROM events) m"
 )
 PASS_SQL = (
     "device_id IS NOT NULL AND value IS NOT NULL AND ((metric = 'temperature' AND value BETWEEN -50 AND 100) "
@@ -104,25 +104,33 @@ def event_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "telemetry_silver",
     "SELECT device_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_ts, metric, value, 'C' AS unit, battery_pct, rssi, "
-    f"seq, CAST(user_id % 4 AS INTEGER) AS log_partition, seq AS log_offset FROM {MESSAGES_SQL} WHERE {PASS_SQL}",
+    f"seq, CAST(user_id % 4 AS INTEGER) AS log_partition, seq AS log_offset, strftime(ts, '%Y-%m-%d %H:%M:%S') AS enqueued_ts FROM {MESSAGES_SQL} WHERE {PASS_SQL}",
 )
 def telemetry_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = telemetry.silver(raw_messages(spark, sf_dir))
-    return silver.drop("enqueued_ts").withColumn("event_ts", F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"))
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("event_ts", "enqueued_ts")}
+    return telemetry.silver(raw_messages(spark, sf_dir)).withColumns(times)
 
 
-@query(
-    "telemetry_quarantine",
-    "SELECT device_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS event_ts, metric, value, battery_pct, seq, "
+#: Text of a message, as it is sent: NULL fields are left out.
+_RAW_SQL = (
+    "'{' || CASE WHEN device_id IS NULL THEN '' ELSE '\"device_id\":\"' || device_id || '\",' END || "
+    "'\"event_ts\":\"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '\",\"metric\":\"' || metric || '\",' || "
+    "CASE WHEN value IS NULL THEN '' ELSE '\"value\":' || CAST(value AS VARCHAR) || ',' END || '\"unit\":\"C\",\"battery_pct\":' || battery_pct || "
+    "',\"rssi\":' || rssi || ',\"seq\":' || seq || ',\"_inject_kind\":\"' || kind || '\"}'"
+)
+QUARANTINE_SQL = (
+    "SELECT device_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS event_ts, metric, value, 'C' AS unit, battery_pct, rssi, seq, kind AS _inject_kind, "
+    f"{_RAW_SQL} AS raw_json, CAST(user_id % 4 AS INTEGER) AS log_partition, seq AS log_offset, "
     "CASE WHEN device_id IS NULL THEN 'null_device_id' "
     f"WHEN NOT ({PASS_SQL.split(' AND ', 1)[1].rsplit(' AND ', 1)[0]}) THEN 'value_out_of_range' "
     "WHEN battery_pct < 0 THEN 'negative_battery' ELSE 'null_rule_input' END AS quarantine_reason "
-    f"FROM {MESSAGES_SQL} WHERE NOT coalesce({PASS_SQL}, false)",
+    f"FROM {MESSAGES_SQL} WHERE NOT coalesce({PASS_SQL}, false)"
 )
+
+
+@query("telemetry_quarantine", QUARANTINE_SQL)
 def telemetry_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry.quarantined(raw_messages(spark, sf_dir)).select(
-        "device_id", "event_ts", "metric", "value", "battery_pct", "seq", "quarantine_reason"
-    )
+    return telemetry.quarantined(raw_messages(spark, sf_dir))
 
 
 def enriched(spark: SparkSession, sf_dir: str, segment: str | None = None) -> DataFrame:

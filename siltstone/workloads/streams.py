@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from siltstone.streaming.ingest import (
 )
 from siltstone.streaming.keyindex import run_unique
 from siltstone.streaming.states import Gold, read_gold, run_gold
-from siltstone.workloads.enrichment import MESSAGES_SQL, PASS_SQL, USERS_SQL, messages, users
+from siltstone.workloads.enrichment import MESSAGES_SQL, PASS_SQL, QUARANTINE_SQL, USERS_SQL, messages, users
 from siltstone.workloads.layers import ALL_EVENT_RULES, BROKEN_EVENT, EVENT_RULES
 from siltstone.workloads.registry import mean_sql, query, stream_of, table
 
@@ -80,20 +81,20 @@ def split_keeps_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "run_write_metrics",
-    "SELECT 1 AS run, count(*) AS input_rows, 1 AS batches FROM events WHERE event_id % 3 = 0 "
-    "UNION ALL SELECT 2, count(*), 1 FROM events WHERE event_id % 3 <> 0",
+    "SELECT 1 AS run, count(*) AS input_rows, count(*) FILTER (value > 50) AS written_rows, 1 AS batches FROM events WHERE event_id % 3 = 0 "
+    "UNION ALL SELECT 2, count(*), count(*) FILTER (value > 50), 1 FROM events WHERE event_id % 3 <> 0",
 )
 def run_write_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs of an ingest, each of which finds new rows; their record is read back."""
+    """Two runs of an ingest that keeps some of the new rows; their record is read back."""
     root = fresh_path(spark, "recorded")
     events = table(spark, sf_dir, "events")
     for part in ("event_id % 3 = 0", "event_id % 3 <> 0"):
         events.where(part).write.mode("append").parquet(f"{root}/landing")
         stream = stream_table(spark, f"{root}/landing", events.schema)
-        run_incremental(stream, f"{root}/data", f"{root}/checkpoint", record=f"{root}/record")
+        run_incremental(stream.where("value > 50"), f"{root}/data", f"{root}/checkpoint", record=f"{root}/record")
     # a handful of runs, so one window over all of them is small
     number = F.row_number().over(Window.orderBy("started_at"))
-    return recorded_metrics(spark, f"{root}/record").select(number.alias("run"), "input_rows", F.col("batches").cast("int").alias("batches"))
+    return recorded_metrics(spark, f"{root}/record").select(number.alias("run"), "input_rows", "written_rows", F.col("batches").cast("int").alias("batches"))
 
 
 @query("streaming_quarantine", f"SELECT * FROM events WHERE {BROKEN_EVENT}")
@@ -133,6 +134,16 @@ def streaming_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/data")
 
 
+def _devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return users(spark, sf_dir).select(
+        F.concat(F.lit("SN-"), F.col("user_id").cast("string")).alias("device_id"),
+        "model",
+        "region",
+        F.col("nation").alias("site"),
+        "status",
+    )
+
+
 @query(
     "streaming_telemetry_gold",
     f"SELECT region, metric, count(*) AS readings, {mean_sql('value', 2)} AS avg_value, min(value) AS min_value, "
@@ -145,19 +156,54 @@ def streaming_telemetry_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "telemetry")
     log = messages(spark, sf_dir)
     stored = stream_table(spark, write_table(log, f"{root}/log"), log.schema)
-    reference = users(spark, sf_dir).select(
-        F.concat(F.lit("SN-"), F.col("user_id").cast("string")).alias("device_id"),
-        "model",
-        "region",
-        F.col("nation").alias("site"),
-        "status",
-    )
-    run_incremental(
-        telemetry.enriched(telemetry.silver(message_columns(stored)), reference), f"{root}/silver", f"{root}/checkpoint"
-    )
+    silver = telemetry.silver(message_columns(stored))
+    run_incremental(telemetry.enriched(silver, _devices(spark, sf_dir)), f"{root}/silver", f"{root}/checkpoint")
     return region_metric(spark.read.parquet(f"{root}/silver"), mean=stable_mean)
 
 
+def _telemetry(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Everything that two runs make of the message log, each of which finds half of it."""
+    root, log = fresh_path(spark, "telemetry-run"), messages(spark, sf_dir)
+    for part in range(2):
+        log.where(F.col("offset") % 2 == part).write.mode("append").parquet(f"{root}/log")
+        telemetry.run_telemetry(message_columns(stream_table(spark, f"{root}/log", log.schema)), f"{root}/tables")
+    return telemetry.read_telemetry(spark, f"{root}/tables", _devices(spark, sf_dir), stable_mean)
+
+
+@query("streaming_telemetry_quarantine", QUARANTINE_SQL)
+def streaming_telemetry_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored by the same pass as silver, with the reason and the text as it came."""
+    return _telemetry(spark, sf_dir)["quarantine"]
+
+
+_SILVER_SQL = (
+    f"(SELECT m.*, d.model, d.region, d.status FROM (SELECT * FROM {MESSAGES_SQL} WHERE {PASS_SQL}) m "
+    f"LEFT JOIN (SELECT 'SN-' || CAST(user_id AS VARCHAR) AS device_id, model, region, status FROM {USERS_SQL}) d ON m.device_id = d.device_id) s"
+)
+
+
+@query(
+    "streaming_device_summary",
+    f"SELECT device_id, model, region, status AS device_status, count(*) AS readings, {mean_sql('battery_pct', 1)} AS avg_battery, "
+    f"strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_event_ts FROM {_SILVER_SQL} GROUP BY 1, 2, 3, 4",
+)
+def streaming_device_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _telemetry(spark, sf_dir)["gold_device_summary"]
+    return found.withColumn("last_event_ts", F.date_format("last_event_ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query(
+    "telemetry_update_counts",
+    f"SELECT 'silver' AS dataset, count(*) AS n FROM {_SILVER_SQL} UNION ALL SELECT 'enriched', count(*) FROM {_SILVER_SQL} "
+    f"UNION ALL SELECT 'quarantine', count(*) FROM {MESSAGES_SQL} WHERE NOT coalesce({PASS_SQL}, false) "
+    f"UNION ALL SELECT 'gold_region_metric', count(*) FROM (SELECT DISTINCT region, metric FROM {_SILVER_SQL}) "
+    f"UNION ALL SELECT 'gold_device_summary', count(*) FROM (SELECT DISTINCT device_id, model, region, status FROM {_SILVER_SQL})",
+)
+def telemetry_update_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dataset"), "n") for name, df in _telemetry(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
 GOLD = Gold(
     {"event_type": "event_type", "d": "to_date(ts)"},
     {
