@@ -82,6 +82,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SAID = "</s>[INST] ok [/INST]"
 
+def _as_events(turn: Column, role: Column, text: Column) -> Column:
+    """How a log tells a row: an assistant's text comes in three parts, other texts are drafts first and then edited."""
+    size = F.length(text)
+    third = F.floor(size / 3).cast("int")
+    first, second, last = (F.substr(text, start, length) for start, length in ((F.lit(1), third), (third + 1, third), (third * 2 + 1, size)))
+    place = F.coalesce(turn, F.lit(0)).cast("bigint") * 4
+
+    def event(later: int, kind: str, said: Column) -> Column:
+        return F.struct((place + later).alias("seq"), F.lit(kind).alias("kind"), said.alias("text"))
+
+    streamed = F.array(event(0, "message", first), event(1, "delta", second), event(2, "delta", last))
+    edited = F.array(event(0, "message", F.concat(F.lit("draft of "), first)), event(1, "edit", text))
+    return F.when(role == "assistant", streamed).otherwise(edited)
+
+
 @_query("op6_chat_events", sql.CHATS)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -93,7 +108,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
     rows = counted.select("conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("copy"))
     target = F.struct("turn", "role", F.md5(F.col("text").cast("binary")).alias("text"), "copy")
-    events = rows.select("conv_id", target.alias("target"), F.col("turn").alias("seq"), F.lit("message").alias("kind"), "role", "text")
+    events = rows.select("conv_id", target.alias("target"), "role", F.inline(_as_events(F.col("turn"), F.col("role"), F.col("text"))))
     rendered = chat.format_events(events, conversation="conv_id")
     return chat.read_back(rendered).withColumnRenamed("conversation", "conv_id")
 
