@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +153,41 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_unreadable_lines_are_kept(spark, tmp_path, rows):
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([('{"a": 1, "b": "x"}',), ("{broken",), ('{"a": "one", "b": "y"}',), ("[1]",)], "value string").write.text(path)
+    got = load_ndjson(spark, path, "a int, b string", unreadable="text")
+    assert got.columns == ["a", "b", "text"]
+    assert {(r.a, r.b, r.text) for r in got.collect()} >= {(1, "x", None), (None, "y", None), (None, None, "{broken")}
+    assert load_ndjson(spark, path, "a int, b string").columns == ["a", "b"]
+    with pytest.raises(ValueError, match="is a column"):
+        load_ndjson(spark, path, "a int, b string", unreadable="b")
+
+
+def test_comments_and_properties_are_read_back(spark):
+    from siltstone.sources.writers import described, save_table
+
+    df = spark.range(3).withColumn("v", F.lit("x")).withMetadata("v", {"comment": "what it's like"})
+    name = f"described_{uuid.uuid4().hex}"
+    try:
+        save_table(df, name, "it's three rows", {"steward": "team 'a'"})
+        got = {(r.kind, r.name): r.value for r in described(spark, name).collect()}
+        assert got["comment", "table"] == "it's three rows" and got["property", "steward"] == "team 'a'" and got["column", "v"] == "what it's like"
+        assert ("column", "id") not in got
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_written_rows_of_a_run(spark, tmp_path):
+    from siltstone.operators.eventlog import recorded_metrics
+    from siltstone.sources.readers import stream_table
+    from siltstone.streaming.ingest import run_incremental
+
+    landing, record = str(tmp_path / "landing"), str(tmp_path / "record")
+    spark.range(40).write.parquet(landing)
+    stream = stream_table(spark, landing, "id long").where("id % 4 = 0")
+    run_incremental(stream, str(tmp_path / "out"), str(tmp_path / "mark"), record=record)
+    (got,) = recorded_metrics(spark, record).collect()
+    assert (got.input_rows, got.written_rows, got.batches) == (40, 10, 1)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from siltstone.operators.aggregates import daily, device_summary, histogram, region_metric
 from siltstone.operators.checks import apply_checks, has_errors, has_warnings
 from siltstone.plans import telemetry
+from siltstone.plans.telemetry import quarantined, silver
 from siltstone.sources.readers import message_columns
 
 OK = {"device_id": "SN-0001", "event_ts": "2026-07-28T01:02:03", "metric": "temperature", "value": 21.5, "unit": "C", "battery_pct": 80, "rssi": -60, "seq": 1000, "_inject_kind": "ok"}
@@ -96,3 +97,39 @@ def test_daily_vitals(spark, rows):
     assert [(r[0], str(r[1]), r[2], r[3]) for r in got.orderBy("patient_id").collect()] == [
         ("P001", "2026-07-01", 73.5, 122), ("P002", "2026-07-02", 68.0, 118),
     ]
+
+
+def test_one_run_stores_both_outcomes(spark, tmp_path, rows):
+    """Silver and quarantine from one pass, with the reasons and texts of the batch functions; a batch again replaces itself."""
+    from siltstone.plans.telemetry import read_telemetry, run_telemetry
+    from siltstone.sources.readers import stream_table
+
+    texts = [
+        '{"device_id":"SN-1","event_ts":"2024-01-01T00:00:00","metric":"co2","value":400.5,"unit":"ppm","battery_pct":50,"rssi":-40,"seq":1,"_inject_kind":"none"}',
+        '{"device_id":"SN-2","event_ts":"2024-01-01T00:00:05","metric":"co2","value":9000,"battery_pct":50,"seq":2}',
+        '{"event_ts":"no time","metric":"co2","value":400,"battery_pct":50,"seq":3}',
+        '{"device_id":"SN-1","event_ts":"2024-01-01T00:01:00","metric":"humidity","value":4,"battery_pct":-1,"seq":4,"_inject_kind":"battery"}',
+        "no json at all",
+        '{"device_id":"SN-3","event_ts":"2024-01-02T00:00:00","metric":"humidity","value":40,"battery_pct":9,"seq":5}',
+    ]
+    schema = "raw_json string, log_partition int, log_offset bigint, enqueued_ts timestamp"
+    log = spark.createDataFrame([(t, 0, i) for i, t in enumerate(texts)], "raw_json string, log_partition int, log_offset bigint")
+    log = log.withColumn("enqueued_ts", F.timestamp_seconds(F.col("log_offset") + 1_700_000_000))
+    landing, root = str(tmp_path / "log"), str(tmp_path / "tables")
+    taken = []
+    for part in (log.where("log_offset < 3"), log.where("log_offset >= 3")):
+        part.coalesce(1).write.mode("append").parquet(landing)
+        taken.append(run_telemetry(stream_table(spark, landing, schema), root))
+    assert taken == [3, 3]
+    (tmp_path / "tables" / "checkpoint" / "commits" / "1").unlink()
+    (tmp_path / "tables" / "checkpoint" / "commits" / ".1.crc").unlink(missing_ok=True)
+    run_telemetry(stream_table(spark, landing, schema), root)
+    reference = spark.createDataFrame([("SN-1", "m", "north", "s", "active")], "device_id string, model string, region string, site string, status string")
+    tables = read_telemetry(spark, root, reference)
+    assert rows(tables["silver"]) == rows(silver(log)) and tables["silver"].columns == silver(log).columns
+    assert rows(tables["quarantine"]) == rows(quarantined(log)) and tables["quarantine"].columns == quarantined(log).columns
+    assert {(r.seq, r.quarantine_reason) for r in tables["quarantine"].collect()} == {
+        (2, "value_out_of_range"), (3, "null_device_id"), (4, "negative_battery"), (None, "null_device_id")
+    }
+    assert {(r.device_id, r.region) for r in tables["gold_device_summary"].collect()} == {("SN-1", "north"), ("SN-3", None)}
+    assert {r.region for r in tables["gold_region_metric"].collect()} == {"north", None}
