@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.text import fresh_name
+from siltstone.llm.text import fresh_name, give_back
 
 #: Bytes of runs of text with their ids that an encoder remembers, and as many of older ones, and of pairs of tokens.
 REMEMBERED_BYTES = 24 << 20
@@ -258,5 +258,6 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text_col: s
                 new.append(pa.ListArray.from_arrays(pa.array(bounds), flat))
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, *new], names=[*batch.schema.names[:-1], *added])
+        give_back()
 
     return docs.withColumn(work, F.col(f"`{text_col}`")).mapInArrow(run, ", ".join([*fields, *kinds]))
