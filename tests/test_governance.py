@@ -9,40 +9,40 @@ from siltstone.operators.reconcile import reconciliation_passes
 from siltstone.operators.scan import scan_report
 from siltstone.sources.readers import load_event_log, load_inventory
 
-# The health example with its two described tables and one derived one.
+# A harbour's tables.  Fixed values: field names of an inventory, rule types, and PHI as the mark of what is classified.
 INVENTORY = {
     "metadata": {
-        "patients": {
-            "description": "patient master",
-            "labels": {"pii": "true", "data_domain": "health", "layer": "bronze"},
-            "columns": {"patient_id": "identifier (PHI)", "name": "full name (PHI)", "birth_year": "year", "region": "home"},
+        "vessels": {
+            "description": "ships that have called here",
+            "labels": {"keeper": "harbour office", "layer": "raw"},
+            "columns": {"imo": "registry number (PHI)", "owner": "who to write to (PHI)", "built": "launched in", "flag": "home port's country"},
         },
-        "vitals": {
+        "soundings": {
             "description": None,
-            "labels": {"pii": "true", "data_domain": "health", "layer": "bronze"},
-            "columns": {"patient_id": "identifier (PHI)", "heart_rate": "bpm", "systolic": "", "diastolic": None},
+            "labels": {"keeper": "survey boat", "layer": "raw", "unit": "metre", "datum": "low water"},
+            "columns": {"imo": "registry number (PHI)", "depth": "below the keel", "swell": "", "wind": None},
         },
-        "vitals_daily": {
-            "description": "derived",
-            "labels": {"data_domain": "health", "layer": "gold"},
-            "columns": {"patient_id": None, "d": None},
+        "soundings_by_tide": {
+            "description": "one line per tide",
+            "labels": {"layer": "summary"},
+            "columns": {"imo": None, "tide": None},
         },
     },
     "aspects": {
-        "patients": {
-            "aspect_type": "tenant.zone.data-classification",
-            "data": {"steward": "data-team", "sensitivity": "high", "pii_category": "PHI"},
+        "vessels": {
+            "aspect_type": "port.authority.access-policy",
+            "data": {"reader": "pilots", "writer": "clerks", "kept_for": "10 years"},
         }
     },
     "data_quality": {
-        "target": "vitals",
+        "target": "soundings",
         "rules": [
-            {"column": "patient_id", "dimension": "COMPLETENESS", "type": "non_null_expectation"},
-            {"column": "heart_rate", "dimension": "VALIDITY", "type": "range_expectation", "min": "20", "max": "300"},
-            {"column": "systolic", "dimension": "VALIDITY", "type": "range_expectation", "min": "50", "max": "250"},
-            {"column": "unit", "dimension": "VALIDITY", "type": "set_expectation"},
+            {"column": "imo", "dimension": "COMPLETENESS", "type": "non_null_expectation"},
+            {"column": "depth", "dimension": "VALIDITY", "type": "range_expectation", "min": "1", "max": "40"},
+            {"column": "swell", "dimension": "VALIDITY", "type": "range_expectation", "min": "0", "max": "9"},
+            {"column": "datum", "dimension": "VALIDITY", "type": "set_expectation"},
         ],
-        "latest_result": {"passed": True, "row_count": 5, "rules": [{"column": "patient_id", "passed": True, "pass_ratio": 1.0}]},
+        "latest_result": {"passed": False, "row_count": 812, "rules": [{"column": "depth", "passed": False, "pass_ratio": 0.97}]},
     },
     "lineage": [],
 }
@@ -57,73 +57,68 @@ def inventory(spark, tmp_path):
 
 @pytest.fixture
 def described(inventory):
-    return gov.tables(inventory, exclude=["vitals_daily"])
+    return gov.tables(inventory, exclude=["soundings_by_tide"])
 
 
 def test_comments(described, rows):
     assert rows(gov.inventory_comments(described)) == sorted(
         [
-            ("patients", 0, None, "patient master"),
-            ("patients", 1, "patient_id", "identifier (PHI)"),
-            ("patients", 2, "name", "full name (PHI)"),
-            ("patients", 3, "birth_year", "year"),
-            ("patients", 4, "region", "home"),
-            ("vitals", 1, "patient_id", "identifier (PHI)"),
-            ("vitals", 2, "heart_rate", "bpm"),
+            ("vessels", 0, None, "ships that have called here"),
+            ("vessels", 1, "imo", "registry number (PHI)"),
+            ("vessels", 2, "owner", "who to write to (PHI)"),
+            ("vessels", 3, "built", "launched in"),
+            ("vessels", 4, "flag", "home port's country"),
+            ("soundings", 1, "imo", "registry number (PHI)"),
+            ("soundings", 2, "depth", "below the keel"),
         ],
         key=repr,
     )
     listed = gov.list_comments(gov.inventory_comments(described)).collect()
-    assert [r["column_name"] for r in listed] == ["patient_id", "name", "birth_year", "region", "patient_id", "heart_rate"]
+    assert [r["column_name"] for r in listed] == ["imo", "depth", "imo", "owner", "built", "flag"]
 
 
 def test_derived_table_has_no_column_comments(inventory, rows):
-    derived = gov.tables(inventory).where("table_name = 'vitals_daily'")
-    assert rows(gov.inventory_comments(derived)) == [("vitals_daily", 0, None, "derived")]
+    derived = gov.tables(inventory).where("table_name = 'soundings_by_tide'")
+    assert rows(gov.inventory_comments(derived)) == [("soundings_by_tide", 0, None, "one line per tide")]
 
 
 def test_tags(described, inventory, rows):
     labels = gov.inventory_tags(described)
-    assert labels.count() == 6 and ("vitals", "layer", "bronze") in rows(labels)
+    assert labels.count() == 6 and ("soundings", "datum", "low water") in rows(labels)
     flat = gov.flatten_aspects(gov.aspects(inventory))
     assert rows(flat) == [
-        ("patients", "data_classification_pii_category", "PHI"),
-        ("patients", "data_classification_sensitivity", "high"),
-        ("patients", "data_classification_steward", "data-team"),
+        ("vessels", "access_policy_kept_for", "10 years"),
+        ("vessels", "access_policy_reader", "pilots"),
+        ("vessels", "access_policy_writer", "clerks"),
     ]
     listed = gov.list_tags(labels.unionByName(flat)).collect()
-    assert [r["tag_name"] for r in listed][:3] == ["data_classification_pii_category", "data_classification_sensitivity", "data_classification_steward"]
-    assert rows(reconciliation_passes(labels, labels.where("tag_name <> 'pii'"), labels.columns)) == [(2, 0, False)]
+    assert [r["tag_name"] for r in listed][4:] == ["access_policy_kept_for", "access_policy_reader", "access_policy_writer", "keeper", "layer"]
+    assert rows(reconciliation_passes(labels, labels.where("tag_name <> 'keeper'"), labels.columns)) == [(2, 0, False)]
 
 
 def test_classification(described, rows):
     tags = gov.classify_columns(described)
     assert [(r[0], r[1], r[2], r[3]) for r in gov.list_column_tags(tags).collect()] == [
-        ("patients", "name", "classification", "PHI"),
-        ("patients", "patient_id", "classification", "PHI"),
-        ("vitals", "patient_id", "classification", "PHI"),
+        ("soundings", "imo", "classification", "PHI"),
+        ("vessels", "imo", "classification", "PHI"),
+        ("vessels", "owner", "classification", "PHI"),
     ]
 
 
 def test_checks(inventory, rows):
     checks = gov.rules_to_checks(gov.rules(inventory))
-    assert rows(gov.list_checks(checks)) == [
-        ("chk_heart_rate", "heart_rate BETWEEN 20 AND 300"),
-        ("chk_systolic", "systolic BETWEEN 50 AND 250"),
-    ]
-    assert rows(gov.list_required(checks)) == [("vitals", "patient_id")]
-    assert inventory.select("data_quality.latest_result.row_count").first()[0] == 5
+    assert rows(gov.list_checks(checks)) == [("chk_depth", "depth BETWEEN 1 AND 40"), ("chk_swell", "swell BETWEEN 0 AND 9")]
+    assert rows(gov.list_required(checks)) == [("soundings", "imo")]
+    assert inventory.select("data_quality.latest_result.row_count").first()[0] == 812
 
 
 def test_rules_are_measured(spark, inventory):
-    vitals = spark.createDataFrame([("P001", 72, 120), ("P002", 310, 118)], "patient_id string, heart_rate int, systolic int")
-    rules = gov.scan_rules(gov.rules(inventory), "vitals")
-    report = scan_report(vitals, rules).collect()
-    assert [(r["column"], r["passed"], r["pass_ratio"]) for r in report] == [
-        ("patient_id", True, 1.0), ("heart_rate", False, 0.5), ("systolic", True, 1.0),
-    ]
+    soundings = spark.createDataFrame([("9074729", 12, 2), ("9176187", 55, 1)], "imo string, depth int, swell int")
+    rules = gov.scan_rules(gov.rules(inventory), "soundings")
+    report = scan_report(soundings, rules).collect()
+    assert [(r["column"], r["passed"], r["pass_ratio"]) for r in report] == [("imo", True, 1.0), ("depth", False, 0.5), ("swell", True, 1.0)]
     with pytest.raises(ValueError, match="more than 2"):
-        gov.scan_rules(gov.rules(inventory), "vitals", most=2)
+        gov.scan_rules(gov.rules(inventory), "soundings", most=2)
 
 
 def test_ranges_with_one_bound_or_none(spark, rows):
