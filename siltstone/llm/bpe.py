@@ -43,7 +43,9 @@ class Vocabulary:
         self.longest = max(map(len, ranks))
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
-        self.pairs: dict[int, bool] = {}
+        #: For each token on the left whether tokens may stand behind it, and how many are known.
+        self.pairs: dict[int, dict[int, bool]] = {rank: {} for rank in ranks.values()}
+        self.known = 0
         self._heads: dict[int, list[tuple[bytes, int]]] = {}
         self._tails: dict[int, list[tuple[bytes, int]]] = {}
         self._endings = ahocorasick.Automaton()
@@ -84,15 +86,18 @@ class Vocabulary:
         other make a token that ranks before what ends either part.  Of equal ranks the
         leftmost is merged first.  A token ranks behind its parts, so ranks tell the time.
         """
-        if len(self.pairs) * _PAIR_BYTES > REMEMBERED_BYTES:
-            self.pairs.clear()
+        if self.known * _PAIR_BYTES > REMEMBERED_BYTES:
+            for row in self.pairs.values():
+                row.clear()
+            self.known = 0
         apart, rank_of = True, self.ranks.get
         for tail, tail_ends in self._tails[left]:
             for head, head_ends in self._heads[right]:
                 rank = rank_of(tail + head)
                 if rank is not None and rank < tail_ends and rank <= head_ends:
                     apart = False
-        self.pairs[left << 32 | right] = apart
+        self.pairs[left][right] = apart
+        self.known += 1
         return apart
 
 
@@ -127,14 +132,14 @@ class PrefixEncoding:
 
     def _fill(self, done: int, old: tuple[list[int], int, int] | None = None) -> int:
         """Finds the last tokens of the prefixes beyond ``done``, up to the end or until they settle into the old ones."""
-        last, neighbours, known = self.last, self.vocabulary.neighbours, self.vocabulary.pairs.get
+        last, neighbours, known = self.last, self.vocabulary.neighbours, self.vocabulary.pairs
         add, same = last.append, 0
         for at, (rank, length) in self.vocabulary.endings(self.piece, max(0, done - self.vocabulary.longest)):
             if at < done:
                 continue
             start = at + 1 - length
             if start:
-                fits = known(last[start] << 32 | rank)
+                fits = known[last[start]].get(rank)
                 if fits is None:
                     fits = neighbours(last[start], rank)
             if not start or fits:
@@ -186,8 +191,12 @@ class Encoder(dict):
     def __missing__(self, run: str) -> bytes:
         packed = self._older.get(run)
         if packed is None:
-            ids = [i for piece in self.pieces(run) for i in self.piece(piece.encode())]
-            packed = array("I", ids).tobytes()
+            pieces = self.pieces(run)
+            if len(pieces) == 1:
+                packed = array("I", self.piece(run.encode())).tobytes()
+            else:  # words are often known without what stands around them
+                word = lambda p: p.isalpha() or (p[0] == " " and p[1:].isalpha())
+                packed = b"".join([self[p] if word(p) else array("I", self.piece(p.encode())).tobytes() for p in pieces])
         if len(run) < 64:
             self._held += len(run) + len(packed) + _RUN_BYTES
             if self._held > REMEMBERED_BYTES:  # what is still in use comes back from the older ones
@@ -202,7 +211,8 @@ class Encoder(dict):
 
         A space before something else than white space always begins a match, so such
         runs are encoded, and remembered, one by one.  This needs a pattern in which
-        a space is the first character of a match or in a run of white space.
+        a space is the first character of a match or in a run of white space, and in which
+        letters that are a match, with a space in front or without, are one by themselves.
         """
         if self._inside_spaces(text) or text.endswith(" "):
             return b"".join(map(self.__getitem__, self.pieces(text)))
