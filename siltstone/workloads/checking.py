@@ -86,7 +86,11 @@ _WARN_SQL = (
 )
 _ANY_ERR = "(e1 OR e2 OR e3 OR e4 OR e5)"
 _ANY_WARN = "(w1 OR w2 OR w3)"
-_LINE_SQL = f"SELECT l_orderkey, l_linenumber, l_quantity, {_ERR_SQL} AS errors, {_WARN_SQL} AS warnings FROM {_FLAGS_SQL}"
+_LINE_SQL = (
+    "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, "
+    "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate, "
+    f"{_ERR_SQL} AS errors, {_WARN_SQL} AS warnings FROM {_FLAGS_SQL}"
+)
 
 
 def annotated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +104,9 @@ def _names(column: str) -> Column:
 
 
 def _readable(df: DataFrame) -> DataFrame:
-    return df.select(
-        "l_orderkey", "l_linenumber", "l_quantity", _names(ERRORS).alias("errors"), _names(WARNINGS).alias("warnings")
-    )
+    """All columns of the rows; verdicts as names, times as text."""
+    shown = df.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+    return shown.withColumns({"errors": _names(ERRORS), "warnings": _names(WARNINGS)}).drop(ERRORS, WARNINGS)
 
 
 @query("checks_annotated", _LINE_SQL)
@@ -141,13 +145,14 @@ _DEVICES_SQL = "(SELECT 'SN-' || CAST(c_custkey AS VARCHAR) AS device_id FROM cu
 
 
 _CHECKED_SQL = (
-    "WITH f AS (SELECT m.seq, m.device_id IS NULL AS e1, NOT coalesce((metric = 'temperature' AND value BETWEEN -50 AND 100) "
+    "WITH f AS (SELECT m.device_id, strftime(m.ts, '%Y-%m-%d %H:%M:%S') AS event_ts, m.metric, m.value, 'C' AS unit, m.battery_pct, m.rssi, m.seq, "
+    "CAST(m.user_id % 4 AS INTEGER) AS log_partition, m.seq AS log_offset, m.device_id IS NULL AS e1, NOT coalesce((metric = 'temperature' AND value BETWEEN -50 AND 100) "
     "OR (metric = 'humidity' AND value BETWEEN 0 AND 100) OR (metric = 'co2' AND value BETWEEN 300 AND 5000) "
     "OR (metric = 'vibration' AND value BETWEEN 0 AND 100), true) AS e2, "
     "(m.device_id IS NOT NULL AND d.device_id IS NULL) AS e3, ((SELECT count(*) FROM events) > (SELECT count(*) FROM events) - {below}) AS e4, "
     "NOT (battery_pct BETWEEN 0 AND 100) AS w1, NOT (rssi >= -100) AS w2 "
     f"FROM {MESSAGES_SQL} LEFT JOIN {_DEVICES_SQL} d ON m.device_id = d.device_id) " 
-    "SELECT seq, concat_ws(',', CASE WHEN e3 THEN 'device_in_reference' END, CASE WHEN e1 THEN 'device_id_not_null' END, "
+    "SELECT device_id, event_ts, metric, value, unit, battery_pct, rssi, seq, log_partition, log_offset, concat_ws(',', CASE WHEN e3 THEN 'device_in_reference' END, CASE WHEN e1 THEN 'device_id_not_null' END, "
     "CASE WHEN e4 THEN 'rowcount_guard' END, CASE WHEN e2 THEN 'value_in_metric_range' END) AS errors, "
     "concat_ws(',', CASE WHEN w1 THEN 'battery_healthy' END, CASE WHEN w2 THEN 'signal_ok' END) AS warnings FROM f"
 )
@@ -177,7 +182,8 @@ def _checked(spark: SparkSession, sf_dir: str, below: int) -> DataFrame:
     if problems:
         raise ValueError("; ".join(problems))
     checked = apply_checks(parsed, checks, refs)
-    return checked.select("seq", _names(ERRORS).alias("errors"), _names(WARNINGS).alias("warnings"))
+    shown = checked.withColumn("event_ts", F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss")).drop("enqueued_ts")  # equal to event_ts here
+    return shown.withColumns({"errors": _names(ERRORS), "warnings": _names(WARNINGS)}).drop(ERRORS, WARNINGS)
 
 
 SCAN_RULES = [
@@ -210,9 +216,10 @@ def customer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "scan_verdict",
     f"SELECT bool_and(passed) AS passed, (SELECT count(*) FROM customer) AS row_count, "
-    f"string_agg(\"column\" || '=' || CAST(passed AS VARCHAR), ',' ORDER BY \"column\") AS rules FROM ({_SCAN_SQL})",
+    f"string_agg(\"column\" || '=' || CAST(passed AS VARCHAR), ',' ORDER BY \"column\") AS rules, min(pass_ratio) AS lowest_ratio FROM ({_SCAN_SQL})",
 )
 def customer_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = scan_verdict(table(spark, sf_dir, "customer"), SCAN_RULES)
     shown = F.transform("rules", lambda r: F.concat(r["column"], F.lit("="), r["passed"].cast("string")))
-    return verdict.withColumn("rules", F.concat_ws(",", F.sort_array(shown)))
+    lowest = F.array_min(F.transform("rules", lambda r: r["pass_ratio"]))
+    return verdict.withColumn("lowest_ratio", lowest).withColumn("rules", F.concat_ws(",", F.sort_array(shown)))

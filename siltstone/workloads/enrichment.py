@@ -164,13 +164,13 @@ def enriched_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "enriched_events",
-    "SELECT event_id, e.user_id, event_type, value, model, region, status AS device_status FROM events e "
+    "SELECT event_id, e.user_id, event_type, value, model, nation, region, status AS device_status FROM events e "
     f"LEFT JOIN (SELECT * FROM {USERS_SQL} WHERE model = 'BUILDING') b ON e.user_id = b.user_id",
 )
 def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only one segment is in the reference, so most events stay without dimensions."""
     return enriched(spark, sf_dir, "BUILDING").select(
-        "event_id", "user_id", "event_type", "value", "model", "region", "device_status"
+        "event_id", "user_id", "event_type", "value", "model", "nation", "region", "device_status"
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.means import stable_mean
-from siltstone.operators.aggregates import histogram
+from siltstone.operators.aggregates import by_dimension, histogram
 from siltstone.operators.quality import (
     at_least,
     expectation_metrics,
@@ -232,8 +232,17 @@ def branch_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "medallion_stored",
-    f"SELECT l_returnflag AS dimension_value, count(*) AS lines, "
-    f"CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem WHERE {LINE_FILTER} GROUP BY 1",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, CAST({dimension} AS VARCHAR) AS dimension_value, count(*) AS lines, "
+        f"CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem WHERE {rows} GROUP BY 2"
+        for name, dimension, rows in (
+            ("bronze_lines", "'all'", "true"),
+            ("silver_lines", "'all'", LINE_FILTER),
+            ("quarantine", "'all'", f"NOT coalesce({LINE_FILTER}, false)"),
+            ("gold_by_flag", "l_returnflag", LINE_FILTER),
+            ("gold_by_line", "l_linenumber", LINE_FILTER),
+        )
+    ),
 )
 def medallion_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers written and read back from one configuration."""
@@ -243,11 +252,15 @@ def medallion_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
             "bronze_table": "bronze_lines",
             "silver_table": "silver_lines",
             "expectations": LINE_RULES,
-            "gold_tables": [{"name": "gold_by_flag", "dimension": "l_returnflag"}],
+            "gold_tables": [{"name": "gold_by_flag", "dimension": "l_returnflag"}, {"name": "gold_by_line", "dimension": "l_linenumber"}],
             "measures": {"lines": "count(*)", "quantity": "sum(CAST(l_quantity AS BIGINT))"},
         }
     )
-    return medallion.materialize(spark, config, fresh_path(spark, "medallion"))["gold_by_flag"]
+    tables = medallion.materialize(spark, config, fresh_path(spark, "medallion"))
+    whole = [by_dimension(tables[name], "'all'", medallion.measures_of(config)).withColumn("dataset", F.lit(name)) for name in ("bronze_lines", "silver_lines", "quarantine")]
+    gold = [tables[name].withColumn("dataset", F.lit(name)) for name in ("gold_by_flag", "gold_by_line")]
+    shown = [t.withColumn("dimension_value", F.col("dimension_value").cast("string")) for t in (*whole, *gold)]
+    return reduce(DataFrame.unionByName, shown)
 
 
 UPDATE_SQL = (
