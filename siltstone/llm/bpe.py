@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.text import fresh_name, give_back
 
 #: Bytes of runs of text with their ids that an encoder remembers, and as many of older ones, and of pairs of tokens.
-REMEMBERED_BYTES = 24 << 20
+REMEMBERED_BYTES = 32 << 20
 #: What a remembered run costs beside its own length, and what a pair of tokens costs.
 _RUN_BYTES, _PAIR_BYTES = 180, 100
 _NEVER = 1 << 60
@@ -101,6 +101,45 @@ class Vocabulary:
         return apart
 
 
+def fill(vocabulary: Vocabulary, piece: bytes, last: list[int], done: int = 0, old: tuple[list[int], int, int] | None = None) -> int:
+    """Adds to ``last``, which has -1 and the last tokens of the first ``done`` prefixes, those of longer ones; says how many there are then.
+
+    Goes on to the end, or until as many in a row as the longest token has bytes are ``old`` ones, moved:
+    the old list, where the edit ends, and by how much it moves what is behind.
+    """
+    add, neighbours, known, same = last.append, vocabulary.neighbours, vocabulary.pairs, 0
+    for at, (rank, length) in vocabulary.endings(piece, max(0, done - vocabulary.longest)):
+        if at < done:
+            continue
+        start = at + 1 - length
+        if start:
+            fits = known[last[start]].get(rank)
+            if fits is None:
+                fits = neighbours(last[start], rank)
+            if not fits:
+                continue
+        add(rank)
+        done += 1
+        if old is not None:
+            before, edited, shift = old
+            same = same + 1 if done > edited and rank == before[done - shift] else 0
+            if same == vocabulary.longest:
+                return done
+    if done != len(piece):
+        raise ValueError(f"no token ends with byte {piece[done]:#04x}")
+    return done
+
+
+def walked_back(vocabulary: Vocabulary, last: list[int], at: int) -> list[int]:
+    """The encoding of the first ``at`` bytes."""
+    found, sizes = [], vocabulary.sizes
+    while at:
+        rank = last[at]
+        found.append(rank)
+        at -= sizes[rank]
+    return found[::-1]
+
+
 class PrefixEncoding:
     """The last token of each byte prefix of one piece: ``last[i]`` belongs to the first i bytes."""
 
@@ -114,7 +153,7 @@ class PrefixEncoding:
         """Adds bytes at the end; what is stored for shorter prefixes stays as it is."""
         done = len(self.piece)
         self.piece += more
-        self._fill(done)
+        fill(self.vocabulary, self.piece, self.last, done)
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Replaces bytes, and says how many prefixes were encoded anew.
@@ -126,42 +165,13 @@ class PrefixEncoding:
         edited, shift = start + len(new), len(new) - (stop - start)
         self.piece = self.piece[:start] + new + self.piece[stop:]
         self.last = last[: start + 1]
-        done = self._fill(start, (last, edited, shift))
+        done = fill(self.vocabulary, self.piece, self.last, start, (last, edited, shift))
         self.last += last[done + 1 - shift :]
         return done - start
 
-    def _fill(self, done: int, old: tuple[list[int], int, int] | None = None) -> int:
-        """Finds the last tokens of the prefixes beyond ``done``, up to the end or until they settle into the old ones."""
-        last, neighbours, known = self.last, self.vocabulary.neighbours, self.vocabulary.pairs
-        add, same = last.append, 0
-        for at, (rank, length) in self.vocabulary.endings(self.piece, max(0, done - self.vocabulary.longest)):
-            if at < done:
-                continue
-            start = at + 1 - length
-            if start:
-                fits = known[last[start]].get(rank)
-                if fits is None:
-                    fits = neighbours(last[start], rank)
-            if not start or fits:
-                add(rank)
-                done += 1
-                if old is not None:
-                    before, edited, shift = old
-                    same = same + 1 if done > edited and rank == before[done - shift] else 0
-                    if same == self.vocabulary.longest:
-                        return done
-        if done != len(self.piece):
-            raise ValueError(f"no token ends with byte {self.piece[done]:#04x}")
-        return done
-
     def ids(self, size: int | None = None) -> list[int]:
         """The encoding of the first ``size`` bytes."""
-        at, sizes = len(self.piece) if size is None else size, self.vocabulary.sizes
-        found = []
-        while at:
-            found.append(self.last[at])
-            at -= sizes[found[-1]]
-        return found[::-1]
+        return walked_back(self.vocabulary, self.last, len(self.piece) if size is None else size)
 
 
 class Encoder(dict):
@@ -186,7 +196,8 @@ class Encoder(dict):
         whole = self.vocabulary.ranks.get(piece)
         if whole is not None:
             return [whole]
-        return PrefixEncoding(self.vocabulary, piece).ids()
+        last = [-1]
+        return walked_back(self.vocabulary, last, fill(self.vocabulary, piece, last))
 
     def __missing__(self, run: str) -> bytes:
         packed = self._older.get(run)
