@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltstone.functions.casts import struct_of
-from siltstone.operators.skew import FAN, ROWS, any_null, fan_of, fits_broadcast, key_counts, skew_left_join
+from siltstone.operators.skew import FAN, ROWS, any_null, fan_of, fits_broadcast, key_counts, skew_left_join, skew_left_flags
 from siltstone.session import fresh_path
 
 ERRORS = "_errors"
@@ -50,6 +50,7 @@ class Frame:
     as_of: Any = None
     run: bool = True
     flags: list[str] = field(default_factory=list)
+    large: list[tuple[DataFrame, list[str], DataFrame]] = field(default_factory=list)
 
     def flag(self, verdicts: DataFrame, keys: Sequence[str]) -> Column:
         """Mark the rows whose key has ``__bad`` set in ``verdicts`` (one row per key, with counts).
@@ -57,7 +58,7 @@ class Frame:
         Bad and hot keys are worked out first and stored in the shared folder.
         While the bad ones are few, which is what a check is for, marking rows
         is a broadcast join on the way through the table and its rows never
-        shuffle; only a large set of bad keys is joined by shuffle.
+        shuffle; only large sets of bad keys are joined by shuffle, by :meth:`join_large`.
         """
         name = f"__flag_{len(self.flags)}"
         self.flags.append(name)
@@ -73,9 +74,26 @@ class Frame:
         if fits_broadcast(bad):
             self.df = self.df.join(F.broadcast(bad), list(keys), "left")
         else:
-            self.df = skew_left_join(self.df, bad, keys, hot=stored.where(F.col(FAN) > 1))
+            self.large.append((bad, list(keys), stored.where(F.col(FAN) > 1)))
         return F.coalesce(F.col(name), F.lit(False))
 
+    def join_large(self) -> None:
+        """Join the large sets of bad keys; the rows shuffle once for two kinds of keys if one has all columns of the other."""
+        waiting = sorted(self.large, key=lambda x: len(x[1]))
+        while waiting:
+            fewest = set(waiting[0][1])
+            more = next((set(keys) for _, keys, _ in waiting if fewest < set(keys) and self._hashes_alike(set(keys) - fewest)), fewest)
+            together = [x for x in waiting if set(x[1]) in (fewest, more)]
+            waiting = [x for x in waiting if set(x[1]) not in (fewest, more)]
+            if len(together) == 1:
+                self.df = skew_left_join(self.df, *together[0])
+            else:
+                self.df = skew_left_flags(self.df, together)
+
+    def _hashes_alike(self, columns: set[str]) -> bool:
+        """Whether equal values have equal hashes, which texts with a collation need not have."""
+        return "collate" not in self.source.select(*columns).schema.simpleString()
+
     def mark_missing(self, found: DataFrame, keys: Sequence[str]) -> Column:
         """Rows whose key is not among the few of ``found``; a NULL part is not missing.
 
@@ -225,6 +243,7 @@ def _annotated(df: DataFrame, specs: Sequence[Mapping[str, Any]], frame: Frame)
             F.lit(function).alias("check"),
         )
         found[CRITICALITIES[spec.get("criticality", "error")]].append(F.when(outcome.broken, entry))
+    frame.join_large()
     return frame.df.select(*df.columns, *(_collected(cols).alias(side) for side, cols in found.items()))
 
 

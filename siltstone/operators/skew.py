@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
@@ -16,7 +16,7 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 256 * 1024**2
 _FIXED_WIDTH = (NumericType, BooleanType, DatetimeType)
 
-_SALT = "__salt"
+_SALT, _PARTS, _ROW = "__salt", "__parts", "__row"
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,6 +72,50 @@ def skew_left_join(
     return salted.drop(FAN).join(repeated.drop(FAN), [*keys, _SALT], "left").select(*left.columns, *added)
 
 
+def skew_left_flags(
+    left: DataFrame, rights: Sequence[tuple[DataFrame, Sequence[str], DataFrame]], shares: int = SHARES
+) -> DataFrame:
+    """What left joins with several tables of flags would add, spread like :func:`skew_left_join`, behind one shuffle of ``left``.
+
+    ``rights`` holds tables of keys and a flag, one row per key, the names of
+    the keys, and which of them are hot.  All have the same key columns, or some of
+    them these and the same further ones.  Joins on different columns would
+    shuffle each by its own, so keys travel among the rows and windows hand on
+    their flags.  All go by the shared columns and a salt.  Within a hot shared
+    key the salt follows the further columns, so a key is repeated no more
+    often than it has parts itself.
+    """
+    shared, whole = (list(end((keys for _, keys, _ in rights), key=len)) for end in (min, max))
+    further = [k for k in whole if k not in shared]
+    hot = {len(keys): hot for _, keys, hot in rights}
+
+    def with_parts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        for of, name in ((shared, _PARTS), (whole, FAN)):
+            if len(of) <= len(keys):
+                df = df.join(F.broadcast(hot[len(of)].select(*of, F.col(FAN).alias(name))), of, "left")
+        return df
+
+    parts = F.coalesce(_PARTS, F.lit(1))
+    # whole keys are counted without those that have a NULL, so their shares may be the larger ones
+    own = F.least(F.coalesce(FAN, F.lit(1)), parts)
+    start = F.pmod(F.xxhash64(*further), parts) if further else F.lit(0)
+    place = F.xxhash64(F.spark_partition_id(), *_hashable(left))
+    salt = F.when(any_null(shared), F.pmod(place, F.lit(shares))).when(any_null(whole), F.pmod(place, parts))
+    salt = salt.otherwise(F.pmod(start + F.pmod(place, own), parts)).cast("int")
+    rows, flags = with_parts(left, whole).select(*left.columns, salt.alias(_SALT), F.lit(True).alias(_ROW)), {}
+    for right, keys, _ in rights:
+        copies = F.sequence(F.lit(0), parts - 1)
+        if len(keys) == len(whole):
+            copies = F.transform(F.sequence(F.lit(0), own - 1), lambda i: F.pmod(start + i, parts).cast("int"))
+        repeated = with_parts(right, keys).select(*right.columns, F.explode(copies).alias(_SALT))
+        rows = rows.unionByName(repeated, allowMissingColumns=True)
+        flags |= {c: keys for c in right.columns if c not in keys}
+    rows = rows.repartition(*shared, _SALT)
+    for flag, keys in flags.items():
+        rows = rows.withColumn(flag, F.max(flag).over(Window.partitionBy(_SALT, *keys)))
+    return rows.where(_ROW).select(*left.columns, *flags)
+
+
 def _hashable(df: DataFrame) -> list[Column]:
     """Columns that can be hashed: all but those with a map or a variant inside."""
     return [F.col(f"`{f.name}`") for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]

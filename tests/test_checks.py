@@ -1,4 +1,5 @@
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,6 +130,39 @@ def test_unique_on_a_hot_key_keeps_every_row(spark, monkeypatch, few):
     assert got.where(has_errors()).count() == 3000
 
 
+def test_many_bad_keys_shuffle_the_rows_once(spark, monkeypatch, capsys):
+    monkeypatch.setattr(checks, "fits_broadcast", lambda df: False)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # a third of all rows has one k, a fifth no n, a fifth of the rest one pair, a seventh of them no k
+        k = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 300)
+        n = F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 4 == 0, 0).otherwise(F.col("id") % 700)
+        df = spark.range(7000).select(k.alias("k"), n.alias("n"), "id")
+        ref = spark.range(2, 300, 2).select(F.col("id").alias("r"))
+        specs = [
+            spec("pair", "error", "is_unique", columns=["k", "n"]),
+            spec("known", "error", "foreign_key", columns=["k"], ref_columns=["r"], ref=ref),
+            spec("turned", "error", "is_unique", columns=["n", "k"]),
+            spec("alone", "warn", "is_unique", columns=["k"]),
+        ]
+        got = apply_checks(df, specs)
+        got.explain()
+        assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+        found = [(r.k, r.n, r.id, set(names(r["_errors"]) or ()), bool(r["_warnings"])) for r in got.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    rows, known = df.collect(), {r.r for r in ref.collect()}
+    pairs, keys = Counter((r.k, r.n) for r in rows), Counter(r.k for r in rows)
+    wanted = []
+    for r in rows:
+        twice = r.k is not None and r.n is not None and pairs[r.k, r.n] > 1
+        errors = {"pair", "turned"} if twice else set()
+        errors |= {"known"} if r.k is not None and r.k not in known else set()
+        wanted.append((r.k, r.n, r.id, errors, r.k is not None and keys[r.k] > 1))
+    assert sorted(found, key=lambda x: x[2]) == sorted(wanted, key=lambda x: x[2])
+
+
 def test_validation_reports_each_problem(spark):
     bad = [
         spec("fine", "error", "is_not_null", column="device_id"),
