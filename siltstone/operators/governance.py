@@ -172,15 +172,16 @@ def profile(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataF
     """Per column: rows, NULLs, distinct values, smallest and largest, in one scan.
 
     Distinct values are estimated (one sketch per column); ``exact`` counts
-    them, which repeats every row once per column before the shuffle.
+    them, in a scan of each column alone.  Counted together, each value takes
+    a row as wide as all columns and their results, and a task holds those of all
+    columns at once.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
     measured = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *(
             F.struct(
                 F.count(F.col(c)).alias("filled"),
-                distinct(F.col(c)).alias("distinct_values"),
+                *([] if exact else [F.approx_count_distinct(F.col(c)).alias("distinct_values")]),
                 F.min(c).cast("string").alias("min_value"),
                 F.max(c).cast("string").alias("max_value"),
             ).alias(c)
@@ -193,7 +194,7 @@ def profile(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataF
                 F.lit(c).alias("column_name"),
                 F.col("rows"),
                 (F.col("rows") - F.col(f"`{c}`.filled")).alias("nulls"),
-                F.col(f"`{c}`.distinct_values").alias("distinct_values"),
+                (_distinct(df, c) if exact else F.col(f"`{c}`.distinct_values")).alias("distinct_values"),
                 F.col(f"`{c}`.min_value").alias("min_value"),
                 F.col(f"`{c}`.max_value").alias("max_value"),
             )
@@ -203,6 +204,10 @@ def profile(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataF
     return measured.select(F.inline(entries))
 
 
+def _distinct(df: DataFrame, column: str) -> Column:
+    return F.coalesce(df.select(F.col(column)).distinct().agg(F.count(F.col(column))).scalar(), F.lit(0))
+
+
 def drift(baseline: DataFrame, current: DataFrame) -> DataFrame:
     """Change of two profiles, column by column; both hold one row per column."""
     b, c = baseline.alias("b"), current.alias("c")

@@ -165,6 +165,16 @@ def test_profile_and_drift(spark, rows):
     assert rows(gov.drift(exact, gov.profile(after, ["n", "s"], exact=True))) == [("n", -1, 0.0, -1), ("s", -1, 0.083333, 0)]
 
 
+def test_exact_profile_counts_each_column_alone(spark, rows, capsys):
+    values = [(1, "a", 0.0), (1, "a", -0.0), (None, None, float("nan")), (2, "", float("nan")), (3, "b", None)]
+    df = spark.createDataFrame(values, "n int, s string, d double")
+    profile = gov.profile(df, ["n", "s", "d"], exact=True)
+    profile.explain()
+    assert "Expand" not in capsys.readouterr().out  # no rows as wide as all columns
+    assert [r[:4] for r in rows(profile)] == [("d", 5, 1, 2), ("n", 5, 1, 3), ("s", 5, 1, 3)]
+    assert [r[:4] for r in rows(gov.profile(df.limit(0), ["n", "d"], exact=True))] == [("d", 0, 0, 0), ("n", 0, 0, 0)]
+
+
 def event(ts, passed, failed, flow="silver", status="COMPLETED", name="valid_fare"):
     entry = {"name": name, "dataset": flow, "passed_records": passed, "failed_records": failed}
     details = {"flow_progress": {"data_quality": {"expectations": [entry]}}}
