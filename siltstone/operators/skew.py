@@ -111,8 +111,12 @@ def skew_left_flags(
         rows = rows.unionByName(repeated, allowMissingColumns=True)
         flags |= {c: keys for c in right.columns if c not in keys}
     rows = rows.repartition(*shared, _SALT)
+    group = Window.partitionBy(_SALT, *shared)
+    if further:  # the order that windows of whole keys need, so rows are sorted once
+        group = group.orderBy(*further).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     for flag, keys in flags.items():
-        rows = rows.withColumn(flag, F.max(flag).over(Window.partitionBy(_SALT, *keys)))
+        within = group if len(keys) == len(shared) else Window.partitionBy(_SALT, *shared, *further)
+        rows = rows.withColumn(flag, F.max(flag).over(within))
     return rows.where(_ROW).select(*left.columns, *flags)
 
 

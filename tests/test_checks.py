@@ -163,6 +163,22 @@ def test_many_bad_keys_shuffle_the_rows_once(spark, monkeypatch, capsys):
     assert sorted(found, key=lambda x: x[2]) == sorted(wanted, key=lambda x: x[2])
 
 
+def test_many_bad_keys_sort_the_rows_once(spark, monkeypatch, capsys):
+    monkeypatch.setattr(checks, "fits_broadcast", lambda df: False)
+    df = spark.range(600).select((F.col("id") % 70).alias("k"), (F.col("id") % 9).alias("n"), "id")
+    specs = [
+        spec("pair", "error", "is_unique", columns=["n", "k"]),
+        spec("known", "error", "foreign_key", columns=["k"], ref_columns=["r"], ref=spark.range(1, 70).toDF("r")),
+        spec("other", "warn", "foreign_key", columns=["k"], ref_columns=["r"], ref=spark.range(2, 70).toDF("r")),
+    ]
+    got = apply_checks(df.union(df.where("id < 20")), specs)
+    got.explain()
+    assert capsys.readouterr().out.count("Sort [") == 1
+    found = {(r.id, tuple(sorted(names(r["_errors"]) or ())), bool(r["_warnings"])) for r in got.collect()}
+    errors = lambda i: (("known",) if i % 70 == 0 else ()) + (("pair",) if i < 20 else ())
+    assert found == {(i, errors(i), i % 70 < 2) for i in range(600)}
+
+
 def test_validation_reports_each_problem(spark):
     bad = [
         spec("fine", "error", "is_not_null", column="device_id"),
