@@ -175,6 +175,14 @@ def test_exact_profile_counts_each_column_alone(spark, rows, capsys):
     assert [r[:4] for r in rows(gov.profile(df.limit(0), ["n", "d"], exact=True))] == [("d", 0, 0, 0), ("n", 0, 0, 0)]
 
 
+def test_drift_of_exact_profiles_counts_each_column_alone(spark, rows, capsys):
+    df = spark.createDataFrame([(1, "a", 5.0), (1, None, -1.0), (2, "b", 0.0), (None, "b", None)], "n int, s string, d double")
+    found = gov.drift(gov.profile(df, ["n", "s", "d"], exact=True), gov.profile(df.where("d >= 0"), ["n", "s", "d"], exact=True))
+    found.explain()
+    assert "Expand" not in capsys.readouterr().out
+    assert rows(found) == [("d", -2, -0.25, -1), ("n", -2, -0.25, 0), ("s", -2, -0.25, 0)]
+
+
 def event(ts, passed, failed, flow="silver", status="COMPLETED", name="valid_fare"):
     entry = {"name": name, "dataset": flow, "passed_records": passed, "failed_records": failed}
     details = {"flow_progress": {"data_quality": {"expectations": [entry]}}}
