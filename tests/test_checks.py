@@ -14,6 +14,7 @@ from siltstone.operators.checks import (
 )
 from siltstone.operators.scan import NON_NULL, RANGE, REGEX, SET, scan_report, scan_verdict
 from siltstone.sources.writers import read_split, write_split
+from siltstone.workloads import QUERIES
 
 SCHEMA = "device_id string, value double, battery int, ts timestamp, seq long"
 T = dt.datetime(2024, 1, 1)
@@ -179,6 +180,19 @@ def test_many_bad_keys_sort_the_rows_once(spark, monkeypatch, capsys):
     assert found == {(i, errors(i), i % 70 < 2) for i in range(600)}
 
 
+@pytest.mark.parametrize("name", ["checks_annotated"])
+def test_queries_share_the_shuffle_of_many_bad_keys(spark, rows, monkeypatch, tmp_path, name):
+    line = ["1D", "100D", "0.05D", "0.1D", "'R'", "'O'", "timestamp'1999-01-01'"]
+    named = "l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+    keys = ["if(id % 11 = 0, null, id % 50) AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "int(id % 7) AS l_linenumber"]
+    spark.range(500).selectExpr(*keys, *(f"{v} AS {n}" for v, n in zip(line, named, strict=True))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(40).selectExpr("id AS o_orderkey", "if(id % 3 = 0, 'F', 'O') AS o_orderstatus").write.parquet(f"{tmp_path}/orders.parquet")
+    few = rows(QUERIES[name](spark, str(tmp_path)))
+    monkeypatch.setattr(checks, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(checks, "skew_left_join", None)  # a join of one set alone
+    assert rows(QUERIES[name](spark, str(tmp_path))) == few
+
+
 def test_validation_reports_each_problem(spark):
     bad = [
         spec("fine", "error", "is_not_null", column="device_id"),
