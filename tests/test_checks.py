@@ -180,7 +180,7 @@ def test_many_bad_keys_sort_the_rows_once(spark, monkeypatch, capsys):
     assert found == {(i, errors(i), i % 70 < 2) for i in range(600)}
 
 
-@pytest.mark.parametrize("name", ["checks_annotated", "checks_verdict_counts"])
+@pytest.mark.parametrize("name", ["checks_annotated", "checks_verdict_counts", "checks_stored_split"])
 def test_queries_share_the_shuffle_of_many_bad_keys(spark, rows, monkeypatch, tmp_path, name):
     line = ["1D", "100D", "0.05D", "0.1D", "'R'", "'O'", "timestamp'1999-01-01'"]
     named = "l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
